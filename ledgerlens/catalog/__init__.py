@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("features",)
+MODULES = ("features", "dimensions", "matrix", "scoring")
 
 
 def load():

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerlens.session import stage
+
 SLICES = 256
 
 
@@ -100,3 +102,23 @@ def ranked_percentiles(
         ).alias(n)
         for n in probs
     ])
+
+
+def global_rank(df: DataFrame, order: Sequence[Column], output: str = "rank") -> DataFrame:
+    """Number all rows 1, 2, 3, ... by a total order, without a single-task window.
+
+    A range-partitioned sort gives each row its place inside its partition; the partition sizes give the offset.
+    The sorted rows are staged, so both steps see the same partitioning even if executors are lost in between.
+    """
+    placed = stage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("_at", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
+    # One row per partition reaches this window.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+        .withColumn(output, F.col("_offset") + inside + 1)
+        .drop("_at", "_part", "_offset")
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,13 @@ def stage(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(stage_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table in the shared folder and read it back.
+
+    For inputs that many operators scan: unlike a checkpoint, later scans read only the columns they need.
+    """
+    path = f"{stage_folder(df.sparkSession)}/ledgerlens-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
