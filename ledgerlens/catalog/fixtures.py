@@ -97,9 +97,9 @@ SELECT CAST(user_id AS STRING) AS account_id, CASE user_id % 9 WHEN 0 THEN 'PMJJ
     "scores": f"SELECT CAST(user_id AS STRING) AS account_id, CAST(user_id * 7919 % 100 AS DOUBLE) / 100 AS score FROM {_USERS}",
     "member_scores": f"""
 SELECT CAST(user_id AS STRING) AS account_id, CAST(CASE WHEN user_id % 11 = 0 THEN 1 ELSE 0 END AS INT) AS is_mule,
- CAST(user_id * 7919 % 101 AS DOUBLE) / 128 AS a, CAST(user_id * 104729 % 113 AS DOUBLE) / 128 AS b,
- CAST((user_id * 31 + CASE WHEN user_id % 11 = 0 THEN 40 ELSE 0 END) % 97 AS DOUBLE) / 128 AS c, CAST(user_id * 613 % 127 AS DOUBLE) / 128 AS x,
- CAST(user_id * 17 % 89 AS DOUBLE) / 128 AS cat FROM {_USERS} WHERE user_id % 5 <> 4""",
+ CAST(user_id * 7919 % 61 AS DOUBLE) / 64 AS a, CAST(user_id * 104729 % 53 AS DOUBLE) / 64 AS b,
+ CAST((user_id * 31 + CASE WHEN user_id % 11 = 0 THEN 20 ELSE 0 END) % 59 AS DOUBLE) / 64 AS c, CAST(user_id * 613 % 47 AS DOUBLE) / 64 AS x,
+ CAST(user_id * 17 % 43 AS DOUBLE) / 64 AS cat FROM {_USERS} WHERE user_id % 5 <> 4""",
     "windows": f"""
 SELECT CAST(user_id AS STRING) AS account_id,
  CASE WHEN user_id % 13 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(user_id * 7 % 200 AS INT) END AS window_start,

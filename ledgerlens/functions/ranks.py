@@ -26,42 +26,53 @@ def _log_scale(value: Column) -> Column:
     return F.signum(value) * F.log1p(F.abs(value))
 
 
-def running_totals(
-    df: DataFrame, group: Sequence[str], order: str, sums: Mapping[str, str], slices: int = SLICES,
-) -> DataFrame:
-    """Add, per entry ``{new: source}``, the total of ``source`` over rows of the group with a smaller ``order``.
-
-    ``df`` must hold one row per (group, order) value. NULL order values are not allowed.
-    """
-    group = list(group)
+def _sliced(df: DataFrame, group: Sequence[str], order: str, slices: int) -> DataFrame:
+    """Add ``_slice``, a number that never falls as ``order`` rises; equal values share a slice."""
     value = F.col(order).cast("double")
     finite = F.when(F.abs(value) != float("inf"), value)
     bounds = df.groupBy(*group).agg(
         F.min(_log_scale(finite)).alias("_lo"), F.max(_log_scale(finite)).alias("_hi"))
     position = (_log_scale(value) - F.col("_lo")) * slices / (F.col("_hi") - F.col("_lo"))
-    sliced = (
-        df.join(bounds, group) if group else with_single_row(df, bounds)
-    ).withColumn(
+    return (df.join(bounds, list(group)) if group else with_single_row(df, bounds)).withColumn(
         "_slice",
         F.when(value == float("-inf"), F.lit(-1))
         .when(value == float("inf"), F.lit(slices))
         .when(F.col("_hi") > F.col("_lo"), F.least(F.floor(position), F.lit(slices - 1)).cast("int"))
         .otherwise(F.lit(0)),
     ).drop("_lo", "_hi")
-    per_slice = sliced.groupBy(*group, "_slice").agg(
-        *[F.sum(source).alias(f"_offset_{new}") for new, source in sums.items()])
-    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # At most ``slices`` + 2 rows per group reach this window, whatever the size of the group.
-    offsets = per_slice.withColumns(
-        {f"_offset_{new}": F.coalesce(F.sum(f"_offset_{new}").over(earlier), F.lit(0)) for new in sums})
+
+
+def _slice_offsets(sliced: DataFrame, group: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
+    """Totals of all earlier slices (``_offset_*``), of the slice (``_own_*``) and of the group (``_all_*``).
+
+    At most ``slices`` + 2 rows per group reach the window, whatever the size of the group.
+    """
+    own = sliced.groupBy(*group, "_slice").agg(*[F.sum(source).alias(f"_own_{new}") for new, source in sums.items()])
+    everything = Window.partitionBy(*group)
+    earlier = everything.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return own.withColumns({
+        **{f"_offset_{new}": F.coalesce(F.sum(f"_own_{new}").over(earlier), F.lit(0)) for new in sums},
+        **{f"_all_{new}": F.sum(f"_own_{new}").over(everything) for new in sums},
+    })
+
+
+def running_totals(
+    df: DataFrame, group: Sequence[str], order: str, sums: Mapping[str, str], slices: int = SLICES,
+) -> DataFrame:
+    """Add, per entry ``{new: source}``, the total of ``source`` over rows of the group with a smaller ``order``,
+    and as ``{new}_total`` its total over the group.
+
+    ``df`` must hold one row per (group, order) value. NULL order values are not allowed.
+    """
+    group = list(group)
+    sliced = _sliced(df, group, order, slices)
+    offsets = _slice_offsets(sliced, group, sums)
     inside = Window.partitionBy(*group, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     totals = sliced.withColumns(
         {new: F.coalesce(F.sum(source).over(inside), F.lit(0)) for new, source in sums.items()})
-    return (
-        totals.join(offsets, [*group, "_slice"])
-        .withColumns({new: F.col(new) + F.col(f"_offset_{new}") for new in sums})
-        .drop("_slice", *[f"_offset_{new}" for new in sums])
-    )
+    return totals.join(offsets, [*group, "_slice"]).select(*df.columns, *[
+        c for new in sums
+        for c in ((F.col(new) + F.col(f"_offset_{new}")).alias(new), F.col(f"_all_{new}").alias(f"{new}_total"))])
 
 
 def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
@@ -74,28 +85,30 @@ def ranked_percentiles(
 ) -> DataFrame:
     """Exact interpolated percentiles per group, one output column per entry of ``probs``.
 
-    Equals ``percentile(value, p)`` but never gathers a group: repeated values are counted first and the wanted
-    ranks are located with :func:`running_totals`.
+    Equals ``percentile(value, p)`` but never gathers a group: repeated values are counted first, slice totals tell
+    in which slices the wanted ranks lie, and only the values of those slices are ordered.
     """
     group = list(group)
-    counts = value_counts(df, group, value)
-    ranked = running_totals(counts, group, value, {"below": "n"}, slices)
-    sizes = counts.groupBy(*group).agg(F.sum("n").alias("_size"))
-    located = ranked.join(sizes, group) if group else with_single_row(ranked, sizes)
+    sliced = _sliced(value_counts(df, group, value), group, value, slices)
+    offsets = _slice_offsets(sliced, group, {"n": "n"})
+    positions = {name: (F.col("_all_n") - 1) * F.lit(float(p)) for name, p in probs.items()}
+    ends = [end(position) for position in positions.values() for end in (F.floor, F.ceil)]
+    wanted = F.lit(False)
+    for index in ends:
+        wanted = wanted | ((index >= F.col("_offset_n")) & (index < F.col("_offset_n") + F.col("_own_n")))
+    near = sliced.join(offsets.where(wanted), [*group, "_slice"])
+    inside = Window.partitionBy(*group, "_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    located = near.withColumn("_below", F.col("_offset_n") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
 
     def at(index: Column) -> Column:
-        inside = (F.col("below") <= index) & (index < F.col("below") + F.col("n"))
-        return F.max(F.when(inside, F.col(value).cast("double")))
+        hit = (F.col("_below") <= index) & (index < F.col("_below") + F.col("n"))
+        return F.max(F.when(hit, F.col(value).cast("double")))
 
-    picks = []
-    for name, p in probs.items():
-        position = (F.col("_size") - 1) * F.lit(float(p))
-        picks += [
+    picked = located.groupBy(*group).agg(*[
+        column for name, position in positions.items() for column in (
             at(F.floor(position)).alias(f"_{name}_lo"),
             at(F.ceil(position)).alias(f"_{name}_hi"),
-            F.max(position - F.floor(position)).alias(f"_{name}_part"),
-        ]
-    picked = located.groupBy(*group).agg(*picks)
+            F.max(position - F.floor(position)).alias(f"_{name}_part"))])
     return picked.select(*group, *[
         F.when(F.col(f"_{n}_part") == 0, F.col(f"_{n}_lo")).otherwise(
             F.col(f"_{n}_lo") * (1 - F.col(f"_{n}_part")) + F.col(f"_{n}_hi") * F.col(f"_{n}_part")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -36,9 +37,10 @@ def blend_grid(scores: DataFrame, members: Sequence[str] = MEMBERS, parts: int =
     thresholds (F1) and into counts per distinct blended score (AUC) before they are shuffled.
     """
     grid = weight_grid(len(members), parts)
-    entries = F.array(*[
-        F.struct(F.lit(i).alias("w"), *[F.lit(v).alias(m) for m, v in zip(members, weights)])
-        for i, weights in enumerate(grid)])
+    # One literal that the optimizer folds to a constant array, instead of thousands of literal nodes.
+    text = json.dumps([{"w": i, **dict(zip(members, weights))} for i, weights in enumerate(grid)])
+    fields = ",".join(f"{name}:int" for name in ("w", *members))
+    entries = F.from_json(F.lit(text), f"array<struct<{fields}>>")
     total = F.lit(0.0)
     for member in members:
         total = total + F.col(f"_g.{member}") * F.col(member)

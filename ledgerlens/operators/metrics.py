@@ -22,19 +22,14 @@ def score_counts(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
         F.sum(flag(_POSITIVE)).alias("pos"), F.sum(flag(~_POSITIVE)).alias("neg"))
 
 
-def _with_totals(counts: DataFrame, group: Sequence[str]) -> DataFrame:
-    totals = counts.groupBy(*group).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    return counts.join(totals, list(group)) if group else with_single_row(counts, totals)
-
-
 def ranking_metrics(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """E-1 and E-2: tie-aware ROC AUC and step-wise average precision from one set of running totals."""
-    ranked = running_totals(score_counts(scores, group), group, "score", {"below_pos": "pos", "below_neg": "neg"})
-    rows = _with_totals(ranked, group)
+    rows = running_totals(score_counts(scores, group), group, "score", {"below_pos": "pos", "below_neg": "neg"})
+    all_pos, all_neg = F.col("below_pos_total"), F.col("below_neg_total")
     wins = F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") / 2))
-    caught = F.col("_p") - F.col("below_pos")
-    flagged = caught + F.col("_n") - F.col("below_neg")
-    positives, negatives = F.max("_p"), F.max("_n")
+    caught = all_pos - F.col("below_pos")
+    flagged = caught + all_neg - F.col("below_neg")
+    positives, negatives = F.max(all_pos), F.max(all_neg)
     return rows.groupBy(*group).agg(
         F.when((positives > 0) & (negatives > 0), wins / (positives * negatives)).alias("auc"),
         F.when(positives > 0, F.sum(F.col("pos") * caught.cast("double") / flagged) / positives).alias("pr_auc"),
