@@ -298,7 +298,7 @@ def _(d):
 
 @query("j6_anti_join_novelty", "account_id new_cp_14d:i new_cp_14d_rate:f", X1_SQL.replace("30", "14"), _cp("tx"))
 def _(d):
-    return network.novel_counterparties(d.edges, 14)
+    return network.novel_counterparties(d.edges, d.hot, 14)
 
 
 @query("j7_anchor_join", "transaction_id account_id days_before_last:i", """

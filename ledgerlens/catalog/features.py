@@ -346,13 +346,13 @@ FROM life l LEFT JOIN (SELECT a.account_id, count(DISTINCT a.counterparty_id) AS
 
 @query("x1_novel_counterparties", "account_id new_cp_30d:i new_cp_30d_rate:f", X1_SQL, _cp("tx_long"))
 def _(d):
-    return network.novel_counterparties(d.edges_long)
+    return network.novel_counterparties(d.edges_long, d.hot_long)
 
 
 @query("x1_novel_counterparties_7d", "account_id new_cp_7d:i new_cp_7d_rate:f",
        X1_SQL.replace("30", "7"), _cp("tx"))
 def _(d):
-    return network.novel_counterparties(d.edges, 7)
+    return network.novel_counterparties(d.edges, d.hot, 7)
 
 
 @query("x2_cp_window_concentration", "account_id w30_cp_concentration:f w90_cp_concentration:f", """
@@ -360,7 +360,7 @@ SELECT account_id, count(DISTINCT counterparty_id) FILTER (WHERE ts >= anchor -
  count(DISTINCT counterparty_id) FILTER (WHERE ts >= anchor - INTERVAL 90 DAY) * 1e0 / count(DISTINCT counterparty_id) AS w90_cp_concentration
 FROM anchored GROUP BY account_id""", _cp("tx_long"))
 def _(d):
-    return network.cp_window_concentration(d.edges_long)
+    return network.cp_window_concentration(d.edges_long, d.hot_long)
 
 
 @query("x3_top_counterparty_share", "account_id top1_cp_share:f", """

@@ -1,8 +1,9 @@
 """Distributed prefix sums and exact percentiles for groups of any size.
 
 A running total ordered inside one group normally means one window partition, hence one task, per group. Here
-a group is first cut into value slices, so the work of one group spreads over up to ``SLICES`` tasks: totals per
-slice give each slice its starting offset, and only the rows inside a slice are sorted together.
+a group is first cut into value slices, so its work spreads over many tasks: totals per slice give each slice its
+starting offset, and only the rows inside a slice are sorted together. Slices are a pure function of exact minima
+and maxima, so a recomputed task always places a row as before.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.session import stage
 
-SLICES = 256
+SLICES_PER_E = 64  # first cut, by magnitude: slices per factor e
+SUBSLICES = 64  # second cut, inside each slice's own range
 
 
 def with_single_row(df: DataFrame, row: DataFrame) -> DataFrame:
@@ -23,29 +25,33 @@ def with_single_row(df: DataFrame, row: DataFrame) -> DataFrame:
 
 
 def _log_scale(value: Column) -> Column:
-    return F.signum(value) * F.log1p(F.abs(value))
+    """Monotone scale on which values from 1e-6 to the largest are spread by magnitude."""
+    return F.signum(value) * F.log1p(F.abs(value) * F.lit(1e6))
 
 
-def _sliced(df: DataFrame, group: Sequence[str], order: str, slices: int) -> DataFrame:
-    """Add ``_slice``, a number that never falls as ``order`` rises; equal values share a slice."""
+def _sliced(df: DataFrame, group: Sequence[str], order: str) -> DataFrame:
+    """Add ``_slice``, a number that never falls as ``order`` rises; equal values share a slice.
+
+    The first cut is by magnitude, about 1.6 % wide, and needs no look at the data. Values that crowd together
+    there are cut again, evenly between the smallest and largest value of their slice.
+    """
     value = F.col(order).cast("double")
-    finite = F.when(F.abs(value) != float("inf"), value)
-    bounds = df.groupBy(*group).agg(
-        F.min(_log_scale(finite)).alias("_lo"), F.max(_log_scale(finite)).alias("_hi"))
-    position = (_log_scale(value) - F.col("_lo")) * slices / (F.col("_hi") - F.col("_lo"))
-    return (df.join(bounds, list(group)) if group else with_single_row(df, bounds)).withColumn(
-        "_slice",
-        F.when(value == float("-inf"), F.lit(-1))
-        .when(value == float("inf"), F.lit(slices))
-        .when(F.col("_hi") > F.col("_lo"), F.least(F.floor(position), F.lit(slices - 1)).cast("int"))
-        .otherwise(F.lit(0)),
-    ).drop("_lo", "_hi")
+    beyond = F.lit(1_000_000)
+    first = df.withColumn(
+        "_first",
+        F.when(value == float("-inf"), -beyond).when(value == float("inf"), beyond)
+        .otherwise(F.floor(_log_scale(value) * SLICES_PER_E).cast("int")))
+    inner = first.groupBy(*group, "_first").agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    position = (value - F.col("_lo")) * SUBSLICES / (F.col("_hi") - F.col("_lo"))
+    second = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(position), F.lit(SUBSLICES - 1)).cast("int"))
+    return first.join(inner, [*group, "_first"]).select(
+        *df.columns, (F.col("_first") * SUBSLICES + F.coalesce(second, F.lit(0))).alias("_slice"))
 
 
 def _slice_offsets(sliced: DataFrame, group: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
     """Totals of all earlier slices (``_offset_*``), of the slice (``_own_*``) and of the group (``_all_*``).
 
-    At most ``slices`` + 2 rows per group reach the window, whatever the size of the group.
+    A group reaches the window as its occupied slices, a bounded number whatever the size of the group.
     """
     own = sliced.groupBy(*group, "_slice").agg(*[F.sum(source).alias(f"_own_{new}") for new, source in sums.items()])
     everything = Window.partitionBy(*group)
@@ -57,7 +63,7 @@ def _slice_offsets(sliced: DataFrame, group: Sequence[str], sums: Mapping[str, s
 
 
 def running_totals(
-    df: DataFrame, group: Sequence[str], order: str, sums: Mapping[str, str], slices: int = SLICES,
+    df: DataFrame, group: Sequence[str], order: str, sums: Mapping[str, str],
 ) -> DataFrame:
     """Add, per entry ``{new: source}``, the total of ``source`` over rows of the group with a smaller ``order``,
     and as ``{new}_total`` its total over the group.
@@ -65,7 +71,7 @@ def running_totals(
     ``df`` must hold one row per (group, order) value. NULL order values are not allowed.
     """
     group = list(group)
-    sliced = _sliced(df, group, order, slices)
+    sliced = _sliced(df, group, order)
     offsets = _slice_offsets(sliced, group, sums)
     inside = Window.partitionBy(*group, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     totals = sliced.withColumns(
@@ -81,7 +87,7 @@ def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
 
 
 def ranked_percentiles(
-    df: DataFrame, group: Sequence[str], value: str, probs: Mapping[str, float], slices: int = SLICES,
+    df: DataFrame, group: Sequence[str], value: str, probs: Mapping[str, float],
 ) -> DataFrame:
     """Exact interpolated percentiles per group, one output column per entry of ``probs``.
 
@@ -89,7 +95,7 @@ def ranked_percentiles(
     in which slices the wanted ranks lie, and only the values of those slices are ordered.
     """
     group = list(group)
-    sliced = _sliced(value_counts(df, group, value), group, value, slices)
+    sliced = _sliced(value_counts(df, group, value), group, value)
     offsets = _slice_offsets(sliced, group, {"n": "n"})
     positions = {name: (F.col("_all_n") - 1) * F.lit(float(p)) for name, p in probs.items()}
     ends = [end(position) for position in positions.values() for end in (F.floor, F.ceil)]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.functions.ranks import ranked_percentiles
 
-HOT_ROWS = 2_000_000
+HOT_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)

@@ -30,9 +30,14 @@ def ip_profile(ips: DataFrame, popularity: DataFrame) -> DataFrame:
     """F2, addresses: distinct ips (a blank is a value), blank share, and transaction-weighted ip sharing.
 
     The join to ip popularity runs at the (account, ip) grain. A popular ip is one row per account there, and the
-    popularity side holds one row per ip, so a skewed ip is split by the adaptive join.
+    popularity side holds one row per ip, so a skewed ip is split by the adaptive join. Rows without an address
+    match nothing; they join on a key of their own account, or they would all meet in one partition.
     """
-    weighted = ips.join(popularity, "ip_address", "left")
+    no_address = F.col("ip_address").isNull() | (F.col("ip_address") == "")
+    keyed = ips.withColumn("_ip", F.when(no_address, F.concat(F.lit("none:"), "account_id")).otherwise(
+        F.concat(F.lit("ip:"), "ip_address")))
+    weighted = keyed.join(
+        popularity.select(F.concat(F.lit("ip:"), "ip_address").alias("_ip"), "ip_account_count"), "_ip", "left")
     known = F.when(F.col("ip_account_count").isNotNull(), F.col("n"))
     blank = F.col("ip_address").isNull() | (F.col("ip_address") == "")
     return weighted.groupBy("account_id").agg(

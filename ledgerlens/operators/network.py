@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.columns import count_if, ratio
+from ledgerlens.functions.skew import HotKeys, join_per_key
 
 
 def counterparty_network(edges: DataFrame) -> DataFrame:
@@ -58,32 +59,32 @@ def _known(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("counterparty_id").isNotNull())
 
 
-def _anchored_edges(edges: DataFrame) -> DataFrame:
+def _anchored_edges(edges: DataFrame, hot: HotKeys) -> DataFrame:
     """Known edges with the account's last time over counterparty rows."""
     anchors = _known(edges).groupBy("account_id").agg(F.max("last_ts").alias("anchor"))
-    return _known(edges).join(anchors, "account_id")
+    return join_per_key(_known(edges), anchors, hot)
 
 
 def _days_before(days: int) -> Column:
     return F.col("anchor") - F.make_interval(days=F.lit(days))
 
 
-def novel_counterparties(edges: DataFrame, days: int = 30) -> DataFrame:
+def novel_counterparties(edges: DataFrame, hot: HotKeys, days: int = 30) -> DataFrame:
     """Counterparties first seen within ``days`` of the account's last counterparty row.
 
     "Seen in the window and never before it" is "first seen in the window", so no anti join is needed.
     """
     fresh = count_if(F.col("first_ts") >= _days_before(days))
-    out = _anchored_edges(edges).groupBy("account_id").agg(fresh.alias("_new"), F.count("*").alias("_all"))
+    out = _anchored_edges(edges, hot).groupBy("account_id").agg(fresh.alias("_new"), F.count("*").alias("_all"))
     return out.select(
         "account_id", F.col("_new").alias(f"new_cp_{days}d"),
         ratio(F.col("_new"), F.col("_all")).alias(f"new_cp_{days}d_rate"))
 
 
-def cp_window_concentration(edges: DataFrame, windows: Sequence[int] = (30, 90)) -> DataFrame:
+def cp_window_concentration(edges: DataFrame, hot: HotKeys, windows: Sequence[int] = (30, 90)) -> DataFrame:
     """Distinct counterparties in the last N days over distinct counterparties ever."""
     counts = [count_if(F.col("last_ts") >= _days_before(d)).alias(f"_w{d}") for d in windows]
-    out = _anchored_edges(edges).groupBy("account_id").agg(*counts, F.count("*").alias("_all"))
+    out = _anchored_edges(edges, hot).groupBy("account_id").agg(*counts, F.count("*").alias("_all"))
     return out.select("account_id", *[
         ratio(F.col(f"_w{d}"), F.col("_all")).alias(f"w{d}_cp_concentration") for d in windows])
 
@@ -117,14 +118,14 @@ def direction_unique_cp(edges: DataFrame) -> DataFrame:
 
 
 def counterparty_dynamics(
-    edges: DataFrame, novelty_days: int = 30, windows: Sequence[int] = (30, 90), prefix: int = 8,
+    edges: DataFrame, hot: HotKeys, novelty_days: int = 30, windows: Sequence[int] = (30, 90), prefix: int = 8,
 ) -> DataFrame:
     """X1-X6 fused: prefix grain, then one aggregation per account over anchored edges."""
     everything = count_if(F.lit(True))
     fresh = count_if(F.col("first_ts") >= _days_before(novelty_days))
     both = count_if((F.col("n_in") > 0) & (F.col("n_out") > 0))
     outgoing, incoming = count_if(F.col("n_out") > 0), count_if(F.col("n_in") > 0)
-    main = _anchored_edges(edges).groupBy("account_id").agg(
+    main = _anchored_edges(edges, hot).groupBy("account_id").agg(
         fresh.alias(f"new_cp_{novelty_days}d"),
         ratio(fresh, everything).alias(f"new_cp_{novelty_days}d_rate"),
         *[ratio(count_if(F.col("last_ts") >= _days_before(d)), everything).alias(f"w{d}_cp_concentration")

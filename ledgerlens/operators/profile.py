@@ -1,7 +1,8 @@
 """Customer, branch and product context (G, H, K).
 
 Dimension tables are joined without hints: those that fit ``spark.sql.autoBroadcastJoinThreshold`` are broadcast by
-size, larger ones are shuffled, and adaptive execution splits a branch that holds a large part of all accounts.
+size and larger ones are shuffled. Customer tables meet each other first, one row per customer, so that accounts are
+joined to a customer once; a customer or branch with a large part of all accounts is then split by the adaptive join.
 """
 
 from __future__ import annotations
@@ -44,12 +45,15 @@ def account_profile(
     """G1: ages, flags, product counts and scheme risk, one row per account."""
     base = yn_to_int(accounts, YN_ACCOUNTS, skip_numeric=True)
     people = yn_to_int(demographics, YN_DEMOGRAPHICS, skip_numeric=True)
-    wide = (
-        base.join(primary_customer(link), "account_id", "left")
+    per_customer = (
+        accounts_per_customer(link)
         .join(customers.select("customer_id", "customer_pin"), "customer_id", "left")
         .join(products.select("customer_id", "sa_count", "loan_count", "cc_count"), "customer_id", "left")
         .join(people.select("customer_id", "nri_flag"), "customer_id", "left")
-        .join(accounts_per_customer(link), "customer_id", "left")
+    )
+    wide = (
+        base.join(primary_customer(link), "account_id", "left")
+        .join(per_customer, "customer_id", "left")
         .join(extra.select("account_id", "scheme_code"), "account_id", "left")
     )
     frozen = F.col("freeze_date").isNotNull() if "freeze_date" in accounts.columns else F.lit(False)
@@ -99,12 +103,13 @@ def digital_products(
     people = yn_to_int(customers, DIGITAL_FLAGS + ("credit_card_flag", "fastag_flag"), skip_numeric=True)
     homes = yn_to_int(demographics, YN_DEMOGRAPHICS, skip_numeric=True)
     dates = ("address_last_update_date", "passbook_last_update_date")
-    wide = (
-        primary_customer(link)
+    per_customer = (
+        link.select("customer_id").distinct()
         .join(people.select("customer_id", *DIGITAL_FLAGS, "credit_card_flag", "fastag_flag"), "customer_id", "left")
         .join(homes.select("customer_id", "joint_account_flag", *existing(homes, dates)), "customer_id", "left")
         .join(products.select("customer_id", *PRODUCT_COUNTS), "customer_id", "left")
     )
+    wide = primary_customer(link).join(per_customer, "customer_id", "left")
 
     def zero(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0))

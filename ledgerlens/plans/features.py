@@ -81,7 +81,7 @@ def feature_groups(full: DataFrame, dims: Dimensions, hot: HotKeys, as_of: str =
         profile.branch_context(dims.accounts, dims.branch),
         recent.anchored_windows(ledger, hot),
         residence,
-        network.counterparty_dynamics(edges),
+        network.counterparty_dynamics(edges, hot),
         dormancy.reactivation(daily),
         velocity.burst_stats(daily), velocity.hourly_peak(grains.hourly_table(full)), velocity.inter_txn_gaps(full, hot),
         profile.digital_products(dims.link, dims.customers, dims.demographics, dims.products, as_of),
