@@ -134,8 +134,8 @@ SELECT account_id, count(*) FILTER (WHERE txn_type = 'C') AS credits, count(*) F
  avg(CASE WHEN txn_type = 'C' THEN 1e0 ELSE 0e0 END) AS credit_share FROM tx GROUP BY account_id""")
 def _(d):
     return d.tx.groupBy("account_id").agg(
-        C.count_if(C.IS_CREDIT).alias("credits"), C.count_if(C.IS_DEBIT).alias("debits"),
-        C.share(C.IS_CREDIT).alias("credit_share"))
+        C.count_if(C.is_credit()).alias("credits"), C.count_if(C.is_debit()).alias("debits"),
+        C.share(C.is_credit()).alias("credit_share"))
 
 
 @query("c4_clip", "transaction_id clipped:f floored:f", """

@@ -9,8 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ledgerlens.functions.ranks import ranked_percentiles, with_single_row
 from ledgerlens.schema import REFERENCE_DATE
 
-IS_CREDIT = F.col("txn_type") == "C"
-IS_DEBIT = F.col("txn_type") == "D"
+
+def is_credit() -> Column:
+    """C3."""
+    return F.col("txn_type") == "C"
+
+
+def is_debit() -> Column:
+    """C3."""
+    return F.col("txn_type") == "D"
 
 
 def existing(df: DataFrame, cols: Iterable[str]) -> list[str]:

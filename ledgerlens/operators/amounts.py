@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.columns import IS_CREDIT, IS_DEBIT, clip, count_if, share
+from ledgerlens.functions.columns import is_credit, is_debit, clip, count_if, share
 from ledgerlens.functions.ranks import ranked_percentiles, with_single_row
 from ledgerlens.functions.skew import HotKeys, aggregate_per_key
 
@@ -41,8 +41,8 @@ def amount_aggregates(bands: AmountBands = FULL_PRESET) -> dict[str, Column]:
         "avg_txn_amount": F.avg(amt),
         "high_value_share": share(amt >= bands.high if bands.high_closed else amt > bands.high),
         "micro_txn_share": share(amt < bands.micro),
-        "total_credit_amt": F.sum(F.when(IS_CREDIT, amt).otherwise(0.0)),
-        "total_debit_amt": F.sum(F.when(IS_DEBIT, amt).otherwise(0.0)),
+        "total_credit_amt": F.sum(F.when(is_credit(), amt).otherwise(0.0)),
+        "total_debit_amt": F.sum(F.when(is_debit(), amt).otherwise(0.0)),
         "txn_count": F.count("*"),
     }
 
@@ -63,8 +63,8 @@ def ledger_overview(tx: DataFrame) -> DataFrame:
     """One row of totals. The median over the whole ledger is located by distributed ranks."""
     totals = tx.agg(
         F.count("*").alias("total_txns"),
-        count_if(IS_CREDIT).alias("credits"),
-        count_if(IS_DEBIT).alias("debits"),
+        count_if(is_credit()).alias("credits"),
+        count_if(is_debit()).alias("debits"),
         F.avg("amt").alias("avg_amount"),
         F.min("ts").alias("first_txn"),
         F.max("ts").alias("last_txn"),

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlens.functions.columns import flag
 from ledgerlens.functions.ranks import ranked_percentiles, running_totals
@@ -72,7 +72,7 @@ def mann_whitney(features: DataFrame, cols: Sequence[str], min_class: int = 5) -
     return out.withColumn("p_value", _two_sided(F.col("z")))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _two_sided(z: pd.Series) -> pd.Series:
     return z.map(lambda v: math.nan if v is None or math.isnan(v) else math.erfc(abs(v) / math.sqrt(2)))
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.columns import IS_DEBIT, count_if, ratio, share, whole_seconds
+from ledgerlens.functions.columns import is_debit, count_if, ratio, share, whole_seconds
 
 NEAR_ZERO = 500
-DRAIN_STEP = IS_DEBIT & (F.col("prev_type") == "C")
+
+
+def drain_step() -> Column:
+    """A debit whose previous row is a credit."""
+    return is_debit() & (F.col("prev_type") == "C")
 
 
 def near_zero(limit: float = NEAR_ZERO) -> Column:
@@ -36,8 +40,8 @@ def balance_profile(ledger: DataFrame, limit: float = NEAR_ZERO) -> DataFrame:
 def drain_aggregates(seconds: int = 3600) -> dict[str, Column]:
     elapsed = whole_seconds(F.col("ts"), F.col("prev_ts"))
     return {
-        "rapid_drain_rate": share(DRAIN_STEP & (elapsed <= seconds)),
-        "avg_drain_seconds": F.avg(F.when(DRAIN_STEP, elapsed)),
+        "rapid_drain_rate": share(drain_step() & (elapsed <= seconds)),
+        "avg_drain_seconds": F.avg(F.when(drain_step(), elapsed)),
     }
 
 
@@ -64,9 +68,9 @@ def turnover_ratio(ledger: DataFrame) -> DataFrame:
 def near_zero_on_debit(ledger: DataFrame, limit: float = NEAR_ZERO) -> DataFrame:
     """Near-zero balances on debits only, and the largest amount against the mean."""
     return ledger.groupBy("account_id").agg(
-        share(near_zero(limit) & IS_DEBIT).alias("near_zero_balance_share"),
+        share(near_zero(limit) & is_debit()).alias("near_zero_balance_share"),
         (F.max("amt") / (F.avg("amt") + 1)).alias("peak_to_avg"))
 
 
 def near_zero_debits(limit: float = NEAR_ZERO) -> Column:
-    return count_if(near_zero(limit) & IS_DEBIT)
+    return count_if(near_zero(limit) & is_debit())

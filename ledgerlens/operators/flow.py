@@ -10,9 +10,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.columns import IS_CREDIT, count_if, exact_hours, ratio
+from ledgerlens.functions.columns import is_credit, count_if, exact_hours, ratio
 from ledgerlens.functions.skew import HotKeys, aggregate_per_key, neighbours
-from ledgerlens.operators.balance import DRAIN_STEP, near_zero
+from ledgerlens.operators.balance import drain_step, near_zero
 
 LAG_PROBS = {"median_residence_hours": 0.5, "p25_residence_hours": 0.25}
 DRAIN_HOURS = (1, 6, 24)
@@ -27,7 +27,7 @@ def next_step(ledger: DataFrame, hot: HotKeys) -> DataFrame:
 
 def with_lag(steps: DataFrame) -> DataFrame:
     """Add ``lag_hours``: hours from credit to debit on pair rows, NULL elsewhere."""
-    return steps.withColumn("lag_hours", F.when(DRAIN_STEP, exact_hours(F.col("ts"), F.col("prev_ts"))))
+    return steps.withColumn("lag_hours", F.when(drain_step(), exact_hours(F.col("ts"), F.col("prev_ts"))))
 
 
 def residence_aggregates() -> dict[str, Column]:
@@ -39,21 +39,21 @@ def residence_aggregates() -> dict[str, Column]:
 
 
 def drain_rate_aggregates(hours: Sequence[int] = DRAIN_HOURS) -> dict[str, Column]:
-    credits = count_if(IS_CREDIT)
+    credits = count_if(is_credit())
     return {f"drain_rate_{h}h": ratio(count_if(F.col("lag_hours") <= h), credits) for h in hours}
 
 
 def same_day_aggregates() -> dict[str, Column]:
-    same = count_if(DRAIN_STEP & (F.to_date("ts") == F.to_date("prev_ts")))
-    return {"same_day_drain_count": same, "same_day_drain_rate": ratio(same, count_if(IS_CREDIT))}
+    same = count_if(drain_step() & (F.to_date("ts") == F.to_date("prev_ts")))
+    return {"same_day_drain_count": same, "same_day_drain_rate": ratio(same, count_if(is_credit()))}
 
 
 def drawdown_aggregates() -> dict[str, Column]:
     """L5. The zero rate applies to every credit; despite its published name there is no size filter."""
     drawdown = F.when(F.col("prev_amt") != 0, (F.col("prev_amt") - F.col("amt")) / F.col("prev_amt"))
     return {
-        "avg_post_credit_drawdown": F.coalesce(F.avg(F.when(DRAIN_STEP, drawdown)), F.lit(0.0)),
-        "large_credit_to_zero_rate": ratio(count_if(DRAIN_STEP & near_zero()), count_if(IS_CREDIT)),
+        "avg_post_credit_drawdown": F.coalesce(F.avg(F.when(drain_step(), drawdown)), F.lit(0.0)),
+        "large_credit_to_zero_rate": ratio(count_if(drain_step() & near_zero()), count_if(is_credit())),
     }
 
 

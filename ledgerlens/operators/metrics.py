@@ -13,13 +13,16 @@ from ledgerlens.functions.ranks import global_rank, running_totals, with_single_
 
 SWEEP_START, SWEEP_STEP, SWEEP_COUNT = 0.05, 0.005, 180
 TOP_FRACTIONS = (0.01, 0.02, 0.05, 0.10)
-_POSITIVE = F.col("is_mule") == 1
+
+
+def _positive() -> Column:
+    return F.col("is_mule") == 1
 
 
 def score_counts(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score: tied rows are merged before anything is ordered."""
     return scores.groupBy(*group, "score").agg(
-        F.sum(flag(_POSITIVE)).alias("pos"), F.sum(flag(~_POSITIVE)).alias("neg"))
+        F.sum(flag(_positive())).alias("pos"), F.sum(flag(~_positive())).alias("neg"))
 
 
 def ranking_metrics(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
@@ -64,7 +67,7 @@ def threshold_sweep(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """
     group = list(group)
     histogram = scores.groupBy(*group, thresholds_passed(F.col("score")).alias("passed")).agg(
-        F.sum(flag(_POSITIVE)).alias("pos"), F.sum(flag(~_POSITIVE)).alias("neg"))
+        F.sum(flag(_positive())).alias("pos"), F.sum(flag(~_positive())).alias("neg"))
     # Every model needs all thresholds, also those no score falls between.
     axis = histogram.groupBy(*group).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n")).withColumn(
         "passed", F.explode(F.sequence(F.lit(0), F.lit(SWEEP_COUNT))))
@@ -101,7 +104,7 @@ def precision_recall_at(scores: DataFrame, fractions: Sequence[float] = TOP_FRAC
 
     k is at least 1 and rounds half to even.
     """
-    totals = scores.agg(F.count("*").alias("_rows"), count_if(_POSITIVE).alias("_p"))
+    totals = scores.agg(F.count("*").alias("_rows"), count_if(_positive()).alias("_p"))
     ranked = with_single_row(
         global_rank(scores.select("account_id", "is_mule", "score"), [F.desc("score"), F.asc("account_id")]), totals)
     cuts = [(f"{f * 100:g}pct", F.bround(F.col("_rows") * F.lit(float(f)), 0).cast("long")) for f in fractions]
@@ -112,8 +115,8 @@ def precision_recall_at(scores: DataFrame, fractions: Sequence[float] = TOP_FRAC
     largest = F.greatest(*[size for _, size in cuts], F.lit(1))
     tops = ranked.where(F.col("rank") <= largest).select("rank", "is_mule", "_p", cut.alias("c")).where("rank <= c.k")
     return tops.groupBy(F.col("c.cut").alias("cut"), F.col("c.k").alias("k")).agg(
-        F.avg(flag(_POSITIVE).cast("double")).alias("precision"),
-        (F.sum(flag(_POSITIVE)).cast("double") / F.greatest(F.max("_p"), F.lit(1))).alias("recall"))
+        F.avg(flag(_positive()).cast("double")).alias("precision"),
+        (F.sum(flag(_positive())).cast("double") / F.greatest(F.max("_p"), F.lit(1))).alias("recall"))
 
 
 def model_metrics_report(scores: DataFrame, members: Sequence[str]) -> DataFrame:

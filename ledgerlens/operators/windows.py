@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.columns import IS_CREDIT, IS_DEBIT, count_if, ratio
+from ledgerlens.functions.columns import is_credit, is_debit, count_if, ratio
 from ledgerlens.functions.skew import HotKeys, join_per_key
 from ledgerlens.operators.balance import near_zero, near_zero_debits
 
@@ -15,7 +15,7 @@ LARGE_CREDIT = 50000
 
 def lifetime_totals(ledger: DataFrame) -> DataFrame:
     """Anchor (last time) and lifetime totals: one partial aggregation over the ledger."""
-    credit = F.when(IS_CREDIT, F.col("amt"))
+    credit = F.when(is_credit(), F.col("amt"))
     return ledger.groupBy("account_id").agg(
         F.max("ts").alias("anchor"),
         F.count("*").alias("life_txn_count"),
@@ -46,10 +46,10 @@ def anchored_windows(
     daily = recent.groupBy("account_id", F.to_date("ts").alias("day")).agg(*[
         column.alias(f"{name}_{n}") for n in (short, long) for name, column in {
             "txns": count_if(inside(n)),
-            "near_zero": count_if(inside(n) & near_zero() & IS_DEBIT),
-            "credits": count_if(inside(n) & IS_CREDIT & F.col("amt").isNotNull()),
-            "credit_vol": F.sum(F.when(inside(n) & IS_CREDIT, F.col("amt"))),
-            "large": count_if(inside(n) & IS_CREDIT & (F.col("amt") > large)),
+            "near_zero": count_if(inside(n) & near_zero() & is_debit()),
+            "credits": count_if(inside(n) & is_credit() & F.col("amt").isNotNull()),
+            "credit_vol": F.sum(F.when(inside(n) & is_credit(), F.col("amt"))),
+            "large": count_if(inside(n) & is_credit() & (F.col("amt") > large)),
         }.items()])
     window = daily.groupBy("account_id").agg(
         *[F.sum(f"{name}_{n}").alias(f"{name}_{n}") for n in (short, long)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlens.functions.columns import IS_CREDIT, IS_DEBIT, count_if, has_valid_location
+from ledgerlens.functions.columns import is_credit, is_debit, count_if, has_valid_location
 from ledgerlens.functions.skew import HotKeys, neighbours
 
 
@@ -19,8 +19,8 @@ def edge_table(tx: DataFrame) -> DataFrame:
     """
     return tx.groupBy("account_id", "counterparty_id").agg(
         F.count("*").alias("n"),
-        count_if(IS_CREDIT).alias("n_in"),
-        count_if(IS_DEBIT).alias("n_out"),
+        count_if(is_credit()).alias("n_in"),
+        count_if(is_debit()).alias("n_out"),
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
     )
@@ -30,7 +30,7 @@ def daily_table(tx: DataFrame) -> DataFrame:
     """One row per (account, active date): count, credit volume and last time."""
     return tx.groupBy("account_id", F.to_date("ts").alias("txn_date")).agg(
         F.count("*").alias("n"),
-        F.sum(F.when(IS_CREDIT, F.col("amt")).otherwise(0.0)).alias("credit"),
+        F.sum(F.when(is_credit(), F.col("amt")).otherwise(0.0)).alias("credit"),
         F.max("ts").alias("last_ts"),
     )
 
