@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.columns import is_credit, is_debit, clip, count_if, share
+from ledgerlens.functions.columns import clip, count_if, is_credit, is_debit, share
 from ledgerlens.functions.ranks import ranked_percentiles, with_single_row
 from ledgerlens.functions.skew import HotKeys, aggregate_per_key
 

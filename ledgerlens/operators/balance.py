@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.columns import is_debit, count_if, ratio, share, whole_seconds
+from ledgerlens.functions.columns import count_if, is_debit, ratio, share, whole_seconds
 
 NEAR_ZERO = 500
 

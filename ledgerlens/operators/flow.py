@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.columns import is_credit, count_if, exact_hours, ratio
+from ledgerlens.functions.columns import count_if, exact_hours, is_credit, ratio
 from ledgerlens.functions.skew import HotKeys, aggregate_per_key, neighbours
 from ledgerlens.operators.balance import drain_step, near_zero
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.functions.columns import flag, has_valid_location, share
 
@@ -18,12 +18,22 @@ def ip_popularity(ips: DataFrame) -> DataFrame:
     return used.groupBy("ip_address").agg(F.count("*").alias("ip_account_count"))
 
 
+def coordinate_aggregates() -> dict[str, Column]:
+    return {"lat_std": F.stddev_samp("latitude"), "lon_std": F.stddev_samp("longitude")}
+
+
+def _length(lat: str, lon: str) -> Column:
+    return F.sqrt(F.pow(F.coalesce(lat, F.lit(0.0)), F.lit(2)) + F.pow(F.coalesce(lon, F.lit(0.0)), F.lit(2)))
+
+
+def geo_spread() -> Column:
+    return _length("lat_std", "lon_std")
+
+
 def coordinate_spread(ledger: DataFrame) -> DataFrame:
     """F2, coordinates: sample deviations (0/0 points included) and their combined length."""
-    return ledger.groupBy("account_id").agg(
-        F.stddev_samp("latitude").alias("lat_std"), F.stddev_samp("longitude").alias("lon_std"),
-    ).withColumn("geo_spread", F.sqrt(
-        F.pow(F.coalesce("lat_std", F.lit(0.0)), F.lit(2)) + F.pow(F.coalesce("lon_std", F.lit(0.0)), F.lit(2))))
+    named = [column.alias(name) for name, column in coordinate_aggregates().items()]
+    return ledger.groupBy("account_id").agg(*named).withColumn("geo_spread", geo_spread())
 
 
 def ip_profile(ips: DataFrame, popularity: DataFrame) -> DataFrame:
@@ -53,22 +63,32 @@ def geo_ip_profile(ledger: DataFrame, ips: DataFrame, popularity: DataFrame) ->
     return ip_profile(ips, popularity).join(coordinate_spread(ledger), "account_id")
 
 
-def location_stats(ledger: DataFrame, cells: DataFrame) -> DataFrame:
-    """Distinct cells (a NULL cell is a value), located share, coordinate range, deposit-channel share.
-
-    ``max_distance_km_approx`` keeps its published name but is measured in degrees.
-    """
-    places = cells.groupBy("account_id", "lat_bin", "lon_bin").agg(F.count("*").alias("_k")).groupBy(
-        "account_id").agg(F.count("*").alias("unique_location_count"))
+def location_aggregates() -> dict[str, Column]:
     deposit = F.col("atm_deposit_channel_code")
-    spread = ledger.groupBy("account_id").agg(
-        share(has_valid_location()).alias("txns_with_location"),
-        (F.max("latitude") - F.min("latitude")).alias("_lat"),
-        (F.max("longitude") - F.min("longitude")).alias("_lon"),
-        share(deposit.isNotNull() & (deposit != "")).alias("atm_deposit_channel_flag"),
-    )
-    distance = F.sqrt(F.pow(F.coalesce("_lat", F.lit(0.0)), F.lit(2)) + F.pow(F.coalesce("_lon", F.lit(0.0)), F.lit(2)))
-    return spread.withColumn("max_distance_km_approx", distance).drop("_lat", "_lon").join(places, "account_id")
+    return {
+        "txns_with_location": share(has_valid_location()),
+        "lat_range": F.max("latitude") - F.min("latitude"),
+        "lon_range": F.max("longitude") - F.min("longitude"),
+        "atm_deposit_channel_flag": share(deposit.isNotNull() & (deposit != "")),
+    }
+
+
+def max_distance() -> Column:
+    """Length of the coordinate ranges. The published output name says km, but it is in degrees."""
+    return _length("lat_range", "lon_range")
+
+
+def distinct_cells(cells: DataFrame) -> DataFrame:
+    """Distinct grid cells; a cell with NULL coordinates is a value."""
+    return cells.groupBy("account_id", "lat_bin", "lon_bin").agg(F.count("*").alias("_k")).groupBy("account_id").agg(
+        F.count("*").alias("unique_location_count"))
+
+
+def location_stats(ledger: DataFrame, cells: DataFrame) -> DataFrame:
+    """Distinct cells, located share, coordinate range, deposit-channel share."""
+    named = [column.alias(name) for name, column in location_aggregates().items()]
+    spread = ledger.groupBy("account_id").agg(*named).withColumn("max_distance_km_approx", max_distance())
+    return spread.drop("lat_range", "lon_range").join(distinct_cells(cells), "account_id")
 
 
 def location_entropy(cells: DataFrame) -> DataFrame:

@@ -6,54 +6,61 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.columns import is_credit, is_debit, count_if, ratio
+from ledgerlens.functions.columns import count_if, is_credit, is_debit, ratio
 from ledgerlens.functions.skew import HotKeys, join_per_key
 from ledgerlens.operators.balance import near_zero, near_zero_debits
 
 LARGE_CREDIT = 50000
 
 
-def lifetime_totals(ledger: DataFrame) -> DataFrame:
-    """Anchor (last time) and lifetime totals: one partial aggregation over the ledger."""
+def lifetime_aggregates() -> dict[str, Column]:
+    """Anchor (last time) and lifetime totals, except the active days."""
     credit = F.when(is_credit(), F.col("amt"))
-    return ledger.groupBy("account_id").agg(
-        F.max("ts").alias("anchor"),
-        F.count("*").alias("life_txn_count"),
-        F.sum(credit).alias("life_credit_vol"),
-        near_zero_debits().alias("life_near_zero"),
-        F.avg(credit).alias("life_avg_credit"),
-        F.stddev_samp(credit).alias("life_std_credit"),
-        F.countDistinct(F.to_date("ts")).alias("life_active_days"),
-    )
+    return {
+        "anchor": F.max("ts"),
+        "life_txn_count": F.count("*"),
+        "life_credit_vol": F.sum(credit),
+        "life_near_zero": near_zero_debits(),
+        "life_avg_credit": F.avg(credit),
+        "life_std_credit": F.stddev_samp(credit),
+    }
+
+
+def lifetime_totals(ledger: DataFrame) -> DataFrame:
+    """All lifetime columns in one aggregation over the ledger."""
+    named = [column.alias(name) for name, column in lifetime_aggregates().items()]
+    return ledger.groupBy("account_id").agg(*named, F.countDistinct(F.to_date("ts")).alias("life_active_days"))
 
 
 def anchored_windows(
     ledger: DataFrame, hot: HotKeys, days: Sequence[int] = (30, 90), large: float = LARGE_CREDIT,
+    life: DataFrame | None = None,
 ) -> DataFrame:
     """Counts in the last N days, their share of lifetime, and uplift against lifetime.
 
     A row is in the window when ``ts >= anchor - N days``. Only rows of the longest window survive the join with
-    the anchors; they are reduced to (account, date) before they are gathered per account.
+    the anchors; they are reduced to (account, date) before they are gathered per account. ``life`` may bring the
+    lifetime columns when they are computed along with other aggregates.
     """
     short, long = min(days), max(days)
-    life = lifetime_totals(ledger)
+    life = lifetime_totals(ledger) if life is None else life
     start = F.col("anchor") - F.make_interval(days=F.lit(long))
     recent = join_per_key(ledger, life.select("account_id", "anchor"), hot).where(F.col("ts") >= start)
 
     def inside(n: int) -> Column:
         return F.col("ts") >= F.col("anchor") - F.make_interval(days=F.lit(n))
 
-    daily = recent.groupBy("account_id", F.to_date("ts").alias("day")).agg(*[
-        column.alias(f"{name}_{n}") for n in (short, long) for name, column in {
+    measures = {
+        f"{name}_{n}": column for n in (short, long) for name, column in {
             "txns": count_if(inside(n)),
             "near_zero": count_if(inside(n) & near_zero() & is_debit()),
             "credits": count_if(inside(n) & is_credit() & F.col("amt").isNotNull()),
             "credit_vol": F.sum(F.when(inside(n) & is_credit(), F.col("amt"))),
             "large": count_if(inside(n) & is_credit() & (F.col("amt") > large)),
-        }.items()])
+        }.items()}
+    daily = recent.groupBy("account_id", F.to_date("ts").alias("day")).agg(*[c.alias(n) for n, c in measures.items()])
     window = daily.groupBy("account_id").agg(
-        *[F.sum(f"{name}_{n}").alias(f"{name}_{n}") for n in (short, long)
-          for name in ("txns", "near_zero", "credits", "credit_vol", "large")],
+        *[F.sum(name).alias(name) for name in measures],
         count_if(F.col(f"txns_{long}") > 0).alias("active_days"))
     return life.join(window, "account_id").select("account_id", *_outputs(short, long))
 

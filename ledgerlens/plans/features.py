@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerlens.functions.columns import count_if
 from ledgerlens.functions.skew import HotKeys, aggregate_per_key, find_hot_keys
 from ledgerlens.operators import amounts, balance, calendar, channels, dormancy, flow, geo, network, profile, velocity
 from ledgerlens.operators import windows as recent
@@ -51,41 +52,53 @@ def clustered_ledger(tx: DataFrame, extension: DataFrame) -> DataFrame:
 
 
 def feature_groups(full: DataFrame, dims: Dimensions, hot: HotKeys, as_of: str = REFERENCE_DATE) -> list[DataFrame]:
-    """All feature groups from the clustered ledger (rows without an extension row are marked, not missing)."""
+    """All feature groups from the clustered ledger (rows without an extension row are marked, not missing).
+
+    Everything with one row per account and no order is taken in two fused passes, one over all rows and one over
+    extended rows. Other operators read intermediate grains, each stored once.
+    """
     ledger = full.where("has_extension")
     edges = stage_table(grains.edge_table(full), "edges")
-    daily = stage_table(grains.daily_table(full), "daily")
+    hourly = stage_table(grains.hourly_table(full), "hourly")
+    daily = stage_table(grains.daily_from_hourly(hourly), "daily")
     cells = stage_table(grains.cell_table(ledger), "cells")
+    ips = stage_table(geo.ip_table(ledger), "ips")
 
     base = aggregate_per_key(
         full, hot,
         {**amounts.amount_aggregates(), **calendar.calendar_aggregates(), "total_volume": F.sum("amt")},
-        {"amt": {"median_txn_amount": 0.5}})
-    base = base.withColumn(
-        "credit_debit_ratio", amounts.credit_debit_ratio(F.col("total_credit_amt"), F.col("total_debit_amt")))
-    opened = calendar.days_to_first_txn(base, dims.accounts)
+        {"amt": {"median_txn_amount": 0.5}},
+    ).withColumn("credit_debit_ratio", amounts.credit_debit_ratio(F.col("total_credit_amt"), F.col("total_debit_amt")))
+    fused = aggregate_per_key(ledger, hot, {
+        **balance.balance_aggregates(), **geo.coordinate_aggregates(), **geo.location_aggregates(),
+        **recent.lifetime_aggregates(),
+    })
+    state = stage_table(base.join(fused, "account_id", "left").withColumns({
+        "balance_cv": balance.balance_cv(),
+        "turnover_v3": F.col("total_volume") / (F.col("avg_running_balance") + 100),
+        "geo_spread": F.when(F.col("life_txn_count").isNotNull(), geo.geo_spread()),
+        "max_distance_km_approx": geo.max_distance(),
+    }), "state")
+    extended = daily.groupBy("account_id").agg(count_if(F.col("n_extended") > 0).alias("life_active_days"))
+    life = state.where("life_txn_count IS NOT NULL").join(extended, "account_id")
     network_group = network.counterparty_network(edges)
-    deviation = network.deviation_from_group(
-        network_group, dims.accounts, "unique_counterparties", "branch_code", "cp_deviation_from_branch")
-    balances = balance.balance_profile(ledger)
-    turnover = balances.join(base, "account_id").select("account_id", (
-        (F.col("total_volume") / (F.col("avg_running_balance") + 100)).alias("turnover_v3")))
-    ips = geo.ip_table(ledger)
-    residence = flow.fund_residence(grains.step_table(ledger, hot), hot, extra=balance.drain_aggregates())
     return [
-        base, opened, network_group, deviation, channels.channel_mix(grains.channel_table(full)), balances, turnover,
+        state, calendar.days_to_first_txn(state, dims.accounts), network_group,
+        network.deviation_from_group(
+            network_group, dims.accounts, "unique_counterparties", "branch_code", "cp_deviation_from_branch"),
+        channels.channel_mix(grains.channel_table(full)),
         calendar.activity_span(daily), calendar.rolling_peak(daily),
-        geo.geo_ip_profile(ledger, ips, geo.ip_popularity(ips)),
+        geo.ip_profile(ips, geo.ip_popularity(ips)),
         profile.account_profile(
             dims.accounts, dims.link, dims.customers, dims.products, dims.demographics, dims.accounts_extra, as_of),
         profile.branch_context(dims.accounts, dims.branch),
-        recent.anchored_windows(ledger, hot),
-        residence,
+        recent.anchored_windows(ledger, hot, life=life),
+        flow.fund_residence(grains.step_table(ledger, hot), hot, extra=balance.drain_aggregates()),
         network.counterparty_dynamics(edges, hot),
         dormancy.reactivation(daily),
-        velocity.burst_stats(daily), velocity.hourly_peak(grains.hourly_table(full)), velocity.inter_txn_gaps(full, hot),
+        velocity.burst_stats(daily), velocity.hourly_peak(hourly), velocity.inter_txn_gaps(full, hot),
         profile.digital_products(dims.link, dims.customers, dims.demographics, dims.products, as_of),
-        geo.location_stats(ledger, cells), geo.location_entropy(cells), geo.impossible_travel(ledger),
+        geo.distinct_cells(cells), geo.location_entropy(cells), geo.impossible_travel(ledger),
     ]
 
 

@@ -6,9 +6,9 @@ spread over its counterparties, days or cells before anything is gathered per ac
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.columns import is_credit, is_debit, count_if, has_valid_location
+from ledgerlens.functions.columns import count_if, has_valid_location, is_credit, is_debit
 from ledgerlens.functions.skew import HotKeys, neighbours
 
 
@@ -26,19 +26,30 @@ def edge_table(tx: DataFrame) -> DataFrame:
     )
 
 
-def daily_table(tx: DataFrame) -> DataFrame:
-    """One row per (account, active date): count, credit volume and last time."""
-    return tx.groupBy("account_id", F.to_date("ts").alias("txn_date")).agg(
+def _time_measures(tx: DataFrame) -> list[Column]:
+    extended = [count_if(F.col("has_extension")).alias("n_extended")] if "has_extension" in tx.columns else []
+    return [
         F.count("*").alias("n"),
         F.sum(F.when(is_credit(), F.col("amt")).otherwise(0.0)).alias("credit"),
-        F.max("ts").alias("last_ts"),
-    )
+        *extended,
+    ]
+
+
+def daily_table(tx: DataFrame) -> DataFrame:
+    """One row per (account, active date): count, credit volume, and rows with an extension where that is known."""
+    return tx.groupBy("account_id", F.to_date("ts").alias("txn_date")).agg(*_time_measures(tx))
 
 
 def hourly_table(tx: DataFrame) -> DataFrame:
-    """One row per (account, date, hour) with its count."""
+    """One row per (account, date, hour) with the daily measures."""
     return tx.groupBy("account_id", F.to_date("ts").alias("txn_date"), F.hour("ts").alias("txn_hour")).agg(
-        F.count("*").alias("n"))
+        *_time_measures(tx))
+
+
+def daily_from_hourly(hourly: DataFrame) -> DataFrame:
+    """The daily grain from the hourly one, without another look at the ledger."""
+    measures = [c for c in hourly.columns if c not in ("account_id", "txn_date", "txn_hour")]
+    return hourly.groupBy("account_id", "txn_date").agg(*[F.sum(c).alias(c) for c in measures])
 
 
 def channel_table(tx: DataFrame) -> DataFrame:
