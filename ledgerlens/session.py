@@ -13,6 +13,20 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+# Only read when the session starts. Capturing the call site of every column expression costs several calls into the
+# JVM each, and wide matrices are built from thousands of expressions.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
+def builder(app: str, master: str | None = None, **settings: str) -> SparkSession.Builder:
+    """A session builder with all settings; ``settings`` use ``__`` for dots. Without ``master`` the launcher decides."""
+    chosen = SparkSession.builder.appName(app)
+    if master:
+        chosen = chosen.master(master)
+    extra = {name.replace("__", "."): value for name, value in settings.items()}
+    for name, value in {**SETTINGS, **START_SETTINGS, **extra}.items():
+        chosen = chosen.config(name, value)
+    return chosen
 
 
 def configure(spark: SparkSession) -> SparkSession:

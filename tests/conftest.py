@@ -4,7 +4,6 @@ import sys
 from pathlib import Path
 
 import pytest
-from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
@@ -15,15 +14,15 @@ TESTDATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    from ledgerlens.session import builder, configure
     session = (
-        SparkSession.builder.master("local[8]").appName("ledgerlens-tests")
+        builder("ledgerlens-tests", "local[8]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("stages")))
         .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
-    from ledgerlens.session import configure
     yield configure(session)
     session.stop()
 
