@@ -164,9 +164,11 @@ RANKED_VIEWS = {
     "tied": "SELECT feature, sum(k * k * k - k) AS tie_term FROM (SELECT feature, CAST(count(*) AS DOUBLE) AS k FROM ranked GROUP BY feature, value) AS s GROUP BY feature",
     "usums": """SELECT feature, CAST(count(*) FILTER (WHERE is_mule = 1) AS DOUBLE) AS m, CAST(count(*) FILTER (WHERE is_mule = 0) AS DOUBLE) AS n,
  sum(rk) FILTER (WHERE is_mule = 1) AS rank_sum FROM ranked GROUP BY feature""",
-    "mw": """SELECT s.feature, m, n, rank_sum - m * (m + 1) / 2 AS u, (rank_sum - m * (m + 1) / 2 - m * n / 2) / sqrt(m * n * (m + n + 1) / 12) AS r,
+    "mw_all": """SELECT s.feature, m, n, rank_sum - m * (m + 1) / 2 AS u, (rank_sum - m * (m + 1) / 2 - m * n / 2) / sqrt(m * n * (m + n + 1) / 12) AS r,
  sign(rank_sum - m * (m + 1) / 2 - m * n / 2) * greatest(abs(rank_sum - m * (m + 1) / 2 - m * n / 2) - 0.5e0, 0e0)
  / sqrt(m * n / 12 * (m + n + 1 - t.tie_term / ((m + n) * (m + n - 1)))) AS z FROM usums s JOIN tied t ON s.feature = t.feature""",
+    "mw": """SELECT feature, m, n, CASE WHEN m >= 5 AND n >= 5 THEN u END AS u, CASE WHEN m >= 5 AND n >= 5 THEN r END AS r,
+ CASE WHEN m >= 5 AND n >= 5 THEN z END AS z FROM mw_all""",
     "med": """SELECT feature, median(value) FILTER (WHERE is_mule = 1) AS mule_median, median(value) FILTER (WHERE is_mule = 0) AS legit_median
  FROM long_feat GROUP BY feature""",
 }
@@ -192,7 +194,7 @@ def _(d):
 SELECT e.feature, mule_mean, legit_mean, mule_median, legit_median, effect_size, z,
  CASE WHEN mule_median > legit_median THEN 'up' ELSE 'down' END AS direction,
  CASE WHEN effect_size >= 0.8 THEN 'T1' WHEN effect_size >= 0.5 THEN 'T2' WHEN effect_size >= 0.2 THEN 'T3' ELSE 'T4' END AS tier
-FROM ({EFFECT_SQL}) e JOIN med d ON e.feature = d.feature JOIN mw w ON e.feature = w.feature""", RANKED_VIEWS)
+FROM ({EFFECT_SQL}) e JOIN med d ON e.feature = d.feature JOIN mw_all w ON e.feature = w.feature""", RANKED_VIEWS)
 def _(d):
     return audit.feature_audit(_labelled(d), SMALL)
 
