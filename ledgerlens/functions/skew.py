@@ -62,6 +62,20 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, hot: HotKeys, how: str = "
     return cold.unionByName(spread)
 
 
+def with_key_max(rows: DataFrame, hot: HotKeys, value: str, output: str) -> DataFrame:
+    """Add the largest ``value`` of the row's key to every row, reading the rows once.
+
+    Usual keys take a window, which leaves the rows partitioned by key for the aggregation that follows. A hot key
+    is never gathered: its maximum is aggregated apart and broadcast.
+    """
+    largest = F.max(value).over(Window.partitionBy(hot.key))
+    if not hot:
+        return rows.withColumn(output, largest)
+    heavy = hot.hot_part(rows)
+    spread = heavy.join(F.broadcast(heavy.groupBy(hot.key).agg(F.max(value).alias(output))), hot.key)
+    return hot.cold_part(rows).withColumn(output, largest).unionByName(spread)
+
+
 def aggregate_per_key(
     rows: DataFrame, hot: HotKeys, aggregates: Mapping[str, Column],
     percentiles: Mapping[str, Mapping[str, float]] | None = None,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.functions.columns import count_if
 from ledgerlens.functions.ranks import with_single_row
@@ -18,22 +18,22 @@ def _entropy(part: Column) -> Column:
 def entropy(counts: DataFrame, output: str, key: str = "account_id", n: str = "n") -> DataFrame:
     """B2: Shannon entropy of counts within each key, from a (key, category) count table.
 
-    The total joins back to the count table, which is already partitioned by key and far smaller than the ledger.
+    The total is a window over the count table, whose groups are as long as the list of categories.
     """
-    totals = counts.groupBy(key).agg(F.sum(n).alias("_total"))
     part = F.col(n).cast("double") / F.col("_total")
-    return counts.join(totals, key).groupBy(key).agg(_entropy(part).alias(output))
+    totals = F.sum(n).over(Window.partitionBy(key))
+    return counts.withColumn("_total", totals).groupBy(key).agg(_entropy(part).alias(output))
 
 
 def channel_mix(channels: DataFrame, transfer: Sequence[str] = TRANSFER_CHANNELS, atm: str = "ATM") -> DataFrame:
     """B1 and B2: channel counts, shares and entropy from the (account, channel) grain."""
-    totals = channels.groupBy("account_id").agg(F.sum("n").alias("total_txns"))
+    total = F.sum("n").over(Window.partitionBy("account_id"))
     part = F.col("n").cast("double") / F.col("total_txns")
 
     def summed(condition: Column) -> Column:
         return F.sum(F.when(condition, F.col("n")).otherwise(0)).cast("double") / F.max("total_txns")
 
-    return channels.join(totals, "account_id").groupBy("account_id").agg(
+    return channels.withColumn("total_txns", total).groupBy("account_id").agg(
         _entropy(part).alias("channel_entropy"),
         summed(F.col("channel").isin(*transfer)).alias("neft_imps_share"),
         summed(F.col("channel") == atm).alias("atm_share"),

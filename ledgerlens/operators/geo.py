@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.functions.columns import flag, has_valid_location, share
+from ledgerlens.operators.channels import entropy
 
 
 def ip_table(ledger: DataFrame) -> DataFrame:
@@ -92,12 +93,9 @@ def location_stats(ledger: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def location_entropy(cells: DataFrame) -> DataFrame:
-    """Entropy over grid cells of usable locations."""
+    """Entropy over grid cells of usable locations; an account has at most as many cells as the grid."""
     usable = cells.where("located").groupBy("account_id", "lat_bin", "lon_bin").agg(F.sum("n").alias("n"))
-    totals = usable.groupBy("account_id").agg(F.sum("n").alias("_total"))
-    part = F.col("n").cast("double") / F.col("_total")
-    return usable.join(totals, "account_id").groupBy("account_id").agg(
-        F.sum(-part * F.log(part + F.lit(1e-9))).alias("location_entropy"))
+    return entropy(usable, "location_entropy")
 
 
 def impossible_travel(ledger: DataFrame, hours: float = 2, degrees: float = 5) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.columns import count_if, ratio
-from ledgerlens.functions.skew import HotKeys, join_per_key
+from ledgerlens.functions.skew import HotKeys, with_key_max
 
 
 def counterparty_network(edges: DataFrame) -> DataFrame:
@@ -61,8 +61,7 @@ def _known(edges: DataFrame) -> DataFrame:
 
 def _anchored_edges(edges: DataFrame, hot: HotKeys) -> DataFrame:
     """Known edges with the account's last time over counterparty rows."""
-    anchors = _known(edges).groupBy("account_id").agg(F.max("last_ts").alias("anchor"))
-    return join_per_key(_known(edges), anchors, hot)
+    return with_key_max(_known(edges), hot, "last_ts", "anchor")
 
 
 def _days_before(days: int) -> Column:

@@ -7,62 +7,48 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.columns import count_if, is_credit, is_debit, ratio
-from ledgerlens.functions.skew import HotKeys, join_per_key
+from ledgerlens.functions.skew import HotKeys, with_key_max
 from ledgerlens.operators.balance import near_zero, near_zero_debits
 
 LARGE_CREDIT = 50000
 
 
-def lifetime_aggregates() -> dict[str, Column]:
-    """Anchor (last time) and lifetime totals, except the active days."""
-    credit = F.when(is_credit(), F.col("amt"))
-    return {
-        "anchor": F.max("ts"),
-        "life_txn_count": F.count("*"),
-        "life_credit_vol": F.sum(credit),
-        "life_near_zero": near_zero_debits(),
-        "life_avg_credit": F.avg(credit),
-        "life_std_credit": F.stddev_samp(credit),
-    }
-
-
-def lifetime_totals(ledger: DataFrame) -> DataFrame:
-    """All lifetime columns in one aggregation over the ledger."""
-    named = [column.alias(name) for name, column in lifetime_aggregates().items()]
-    return ledger.groupBy("account_id").agg(*named, F.countDistinct(F.to_date("ts")).alias("life_active_days"))
-
-
 def anchored_windows(
     ledger: DataFrame, hot: HotKeys, days: Sequence[int] = (30, 90), large: float = LARGE_CREDIT,
-    life: DataFrame | None = None,
 ) -> DataFrame:
     """Counts in the last N days, their share of lifetime, and uplift against lifetime.
 
-    A row is in the window when ``ts >= anchor - N days``. Only rows of the longest window survive the join with
-    the anchors; they are reduced to (account, date) before they are gathered per account. ``life`` may bring the
-    lifetime columns when they are computed along with other aggregates.
+    A row is in the window when ``ts >= anchor - N days``, the anchor being the account's last time. Lifetime and
+    window measures come from one pass over the anchored rows. Distinct days are kept as sets of dates, which the
+    calendar bounds, instead of multiplying the rows once per distinct count.
     """
     short, long = min(days), max(days)
-    life = lifetime_totals(ledger) if life is None else life
-    start = F.col("anchor") - F.make_interval(days=F.lit(long))
-    recent = join_per_key(ledger, life.select("account_id", "anchor"), hot).where(F.col("ts") >= start)
+    rows = with_key_max(ledger.select("account_id", "ts", "txn_type", "amt", "bal"), hot, "ts", "anchor")
 
     def inside(n: int) -> Column:
         return F.col("ts") >= F.col("anchor") - F.make_interval(days=F.lit(n))
 
+    credit, day = F.when(is_credit(), F.col("amt")), F.to_date("ts")
+    lifetime = {
+        "life_txn_count": F.count("*"),
+        "life_credit_vol": F.sum(credit),
+        "life_near_zero": near_zero_debits(),
+        "life_avg_credit": F.avg(credit),
+        "life_std_credit": F.stddev_samp(credit),
+        "life_active_days": F.size(F.collect_set(day)),
+        "active_days": F.size(F.collect_set(F.when(inside(long), day))),
+        "mean_w": F.avg(F.when(inside(long), credit)),
+    }
     measures = {
         f"{name}_{n}": column for n in (short, long) for name, column in {
             "txns": count_if(inside(n)),
             "near_zero": count_if(inside(n) & near_zero() & is_debit()),
-            "credits": count_if(inside(n) & is_credit() & F.col("amt").isNotNull()),
-            "credit_vol": F.sum(F.when(inside(n) & is_credit(), F.col("amt"))),
-            "large": count_if(inside(n) & is_credit() & (F.col("amt") > large)),
+            "credit_vol": F.sum(F.when(inside(n), credit)),
+            "large": count_if(inside(n) & (credit > large)),
         }.items()}
-    daily = recent.groupBy("account_id", F.to_date("ts").alias("day")).agg(*[c.alias(n) for n, c in measures.items()])
-    window = daily.groupBy("account_id").agg(
-        *[F.sum(name).alias(name) for name in measures],
-        count_if(F.col(f"txns_{long}") > 0).alias("active_days"))
-    return life.join(window, "account_id").select("account_id", *_outputs(short, long))
+    aggregates = {**lifetime, **measures}
+    return rows.groupBy("account_id").agg(*[c.alias(n) for n, c in aggregates.items()]).select(
+        "account_id", *_outputs(short, long))
 
 
 def _outputs(short: int, long: int) -> list[Column]:
@@ -72,7 +58,7 @@ def _outputs(short: int, long: int) -> list[Column]:
     s, w = f"w{short}", f"w{long}"
     txns_s, txns_w = c(f"txns_{short}"), c(f"txns_{long}")
     zero_s, zero_w = c(f"near_zero_{short}"), c(f"near_zero_{long}")
-    mean_w = F.when(c(f"credits_{long}") > 0, c(f"credit_vol_{long}") / c(f"credits_{long}"))
+    mean_w = c("mean_w")
     life_rate = c("life_near_zero").cast("double") / c("life_txn_count")
     has_credit = mean_w.isNotNull()
     return [

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlens.functions.columns import count_if
 from ledgerlens.functions.skew import HotKeys, aggregate_per_key, find_hot_keys
 from ledgerlens.operators import amounts, balance, calendar, channels, dormancy, flow, geo, network, profile, velocity
 from ledgerlens.operators import windows as recent
@@ -71,16 +70,14 @@ def feature_groups(full: DataFrame, dims: Dimensions, hot: HotKeys, as_of: str =
     ).withColumn("credit_debit_ratio", amounts.credit_debit_ratio(F.col("total_credit_amt"), F.col("total_debit_amt")))
     fused = aggregate_per_key(ledger, hot, {
         **balance.balance_aggregates(), **geo.coordinate_aggregates(), **geo.location_aggregates(),
-        **recent.lifetime_aggregates(),
+        "extended_rows": F.count("*"),
     })
     state = stage_table(base.join(fused, "account_id", "left").withColumns({
         "balance_cv": balance.balance_cv(),
         "turnover_v3": F.col("total_volume") / (F.col("avg_running_balance") + 100),
-        "geo_spread": F.when(F.col("life_txn_count").isNotNull(), geo.geo_spread()),
-        "max_distance_km_approx": geo.max_distance(),
+        "geo_spread": F.when(F.col("extended_rows").isNotNull(), geo.geo_spread()),
+        "max_distance_km_approx": F.when(F.col("extended_rows").isNotNull(), geo.max_distance()),
     }), "state")
-    extended = daily.groupBy("account_id").agg(count_if(F.col("n_extended") > 0).alias("life_active_days"))
-    life = state.where("life_txn_count IS NOT NULL").join(extended, "account_id")
     network_group = network.counterparty_network(edges)
     return [
         state, calendar.days_to_first_txn(state, dims.accounts), network_group,
@@ -92,7 +89,7 @@ def feature_groups(full: DataFrame, dims: Dimensions, hot: HotKeys, as_of: str =
         profile.account_profile(
             dims.accounts, dims.link, dims.customers, dims.products, dims.demographics, dims.accounts_extra, as_of),
         profile.branch_context(dims.accounts, dims.branch),
-        recent.anchored_windows(ledger, hot, life=life),
+        recent.anchored_windows(ledger, hot),
         flow.fund_residence(grains.step_table(ledger, hot), hot, extra=balance.drain_aggregates()),
         network.counterparty_dynamics(edges, hot),
         dormancy.reactivation(daily),

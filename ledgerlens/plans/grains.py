@@ -26,24 +26,19 @@ def edge_table(tx: DataFrame) -> DataFrame:
     )
 
 
-def _time_measures(tx: DataFrame) -> list[Column]:
-    extended = [count_if(F.col("has_extension")).alias("n_extended")] if "has_extension" in tx.columns else []
-    return [
-        F.count("*").alias("n"),
-        F.sum(F.when(is_credit(), F.col("amt")).otherwise(0.0)).alias("credit"),
-        *extended,
-    ]
+def _time_measures() -> list[Column]:
+    return [F.count("*").alias("n"), F.sum(F.when(is_credit(), F.col("amt")).otherwise(0.0)).alias("credit")]
 
 
 def daily_table(tx: DataFrame) -> DataFrame:
-    """One row per (account, active date): count, credit volume, and rows with an extension where that is known."""
-    return tx.groupBy("account_id", F.to_date("ts").alias("txn_date")).agg(*_time_measures(tx))
+    """One row per (account, active date): count and credit volume."""
+    return tx.groupBy("account_id", F.to_date("ts").alias("txn_date")).agg(*_time_measures())
 
 
 def hourly_table(tx: DataFrame) -> DataFrame:
     """One row per (account, date, hour) with the daily measures."""
     return tx.groupBy("account_id", F.to_date("ts").alias("txn_date"), F.hour("ts").alias("txn_hour")).agg(
-        *_time_measures(tx))
+        *_time_measures())
 
 
 def daily_from_hourly(hourly: DataFrame) -> DataFrame:
