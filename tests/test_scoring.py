@@ -155,3 +155,25 @@ def test_imputation_on_train_rows_only(spark):
     train = df.where("account_id IN ('a', 'b')")
     got = {r.account_id: r for r in assemble.impute(df, ["x"], {"y": 9}, fit_rows=train).collect()}
     assert got["c"].x == 2 and got["a"].y == 9 and got["d"].x == 100
+
+
+def test_whole_scoring_plan(spark):
+    from ledgerlens.plans.scoring import train_and_score
+    rnd = random.Random(8)
+    people = [(f"{i:04d}", int(rnd.random() < 0.25)) for i in range(300)]
+    features = spark.createDataFrame([(a, y + rnd.gauss(0, 0.3), rnd.random()) for a, y in people],
+                                     "account_id string, s double, noise double")
+    labels = spark.createDataFrame(people[:240], "account_id string, is_mule int")
+    test = spark.createDataFrame([(a,) for a, _ in people[240:]], "account_id string")
+    accounts = spark.createDataFrame([(a, f"20{21 + i % 5}-03-{1 + i % 28:02d}") for i, (a, _) in enumerate(people)],
+                                     "account_id string, account_opening_date string")
+    counts = spark.createDataFrame([(a, f"M{i % 4}", 2) for i, (a, _) in enumerate(people)],
+                                   "account_id string, code string, n long")
+    specs = [s for s in members.small_specs(2, 2) if s.name in ("a", "c")]
+    got = train_and_score(features, labels, accounts, test, counts, ["s", "noise"], specs, parts=2)
+    assert got.grid.count() == 3 and sum(got.weights.values()) == pytest.approx(1) and 0.05 <= got.threshold < 0.95
+    sheet = got.sheet.toPandas().set_index("account_id")
+    truth = dict(people[240:])
+    assert len(sheet) == 60 and _auc([(sheet.is_mule[a], y) for a, y in truth.items()]) > 0.9
+    assert got.importances.first().feature == "s"
+    assert {r.model for r in got.report.collect()} == {"a", "c", "blend"}
