@@ -165,9 +165,29 @@ def _(d):
     return metrics.precision_recall_at(_scored(d))
 
 
-@query("e_5_model_metrics_report", "model auc:f", "\nUNION ALL ".join(f"""
-SELECT '{m}' AS model, sum(CASE WHEN p.{m} > q.{m} THEN 1e0 WHEN p.{m} = q.{m} THEN 0.5e0 ELSE 0e0 END) / count(*) AS auc
-FROM (SELECT {m} FROM member_scores WHERE is_mule = 1) p, (SELECT {m} FROM member_scores WHERE is_mule = 0) q""" for m in blend.MEMBERS))
+LONG_SCORES = {
+    "members": "\nUNION ALL ".join(
+        f"SELECT account_id, is_mule, '{m}' AS model, {m} AS score FROM member_scores" for m in blend.MEMBERS),
+    "ordered": """SELECT *, row_number() OVER (PARTITION BY model ORDER BY score DESC, account_id) AS rn,
+ sum(is_mule) OVER (PARTITION BY model) AS p, count(*) OVER (PARTITION BY model) AS k,
+ rank() OVER (PARTITION BY model ORDER BY score) + (count(*) OVER (PARTITION BY model, score) - 1) / 2e0 AS rk FROM members""",
+    "steps": """SELECT model, score, CAST(sum(pos) OVER (PARTITION BY model ORDER BY score DESC) AS DOUBLE) AS cum_pos, pos,
+ sum(k) OVER (PARTITION BY model ORDER BY score DESC) AS cum_all, sum(pos) OVER (PARTITION BY model) AS total
+ FROM (SELECT model, score, sum(is_mule) AS pos, count(*) AS k FROM members GROUP BY model, score) AS c""",
+    "areas": "SELECT model, sum(pos * cum_pos / cum_all) / max(total) AS pr_auc FROM steps GROUP BY model",
+    "cutoffs": """SELECT model, i, 2e0 * count(*) FILTER (WHERE is_mule = 1 AND score >= 0.05e0 + i * 0.005e0)
+ / (sum(is_mule) + count(*) FILTER (WHERE score >= 0.05e0 + i * 0.005e0)) AS f1
+ FROM members, (SELECT unnest(range(180)) AS i) t GROUP BY model, i""",
+    "chosen": "SELECT model, f1, i FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY f1 DESC, i) AS r FROM cutoffs) AS q WHERE r = 1",
+}
+
+
+@query("e_5_model_metrics_report", "model auc:f pr_auc:f best_threshold:f best_f1:f precision_at_5pct:f recall_at_Npos:f", """
+SELECT o.model, (sum(o.rk) FILTER (WHERE o.is_mule = 1) - max(o.p) * (max(o.p) + 1) / 2e0) / (max(o.p) * (max(o.k) - max(o.p))) AS auc,
+ max(a.pr_auc) AS pr_auc, round(0.05e0 + max(c.i) * 0.005e0, 3) AS best_threshold, max(c.f1) AS best_f1,
+ avg(o.is_mule) FILTER (WHERE o.rn <= greatest(round_even(o.k * 0.05e0, 0), 1)) AS precision_at_5pct,
+ sum(o.is_mule) FILTER (WHERE o.rn <= o.p) * 1e0 / max(o.p) AS recall_at_Npos
+FROM ordered o JOIN areas a ON o.model = a.model JOIN chosen c ON o.model = c.model GROUP BY o.model""", LONG_SCORES)
 def _(d):
     return metrics.model_metrics_report(d.member_scores, blend.MEMBERS)
 
