@@ -129,12 +129,13 @@ def anchored_runs(values: np.ndarray, bounds: np.ndarray, k: int, window: int):
     """Runs of consecutive window starts that share their anchor.
 
     The anchor of a window is its leftmost k values with the smallest hash, so equal windows have equal anchors at equal places.
-    Returns document, first start (from the document's beginning), number of starts and anchor hash of every run.
+    Returns document, first start (from the document's beginning), number of starts, anchor hash and the anchor's place after the first
+    start, of every run.
     """
     empty = np.zeros(0, np.int64)
     n = len(values) - window + 1
     if n <= 0:
-        return empty, empty, empty, np.zeros(0, np.uint64)
+        return empty, empty, empty, np.zeros(0, np.uint64), empty
     grams = windows_hash(values, k)
     bits = np.uint64(max(1, int(len(grams)).bit_length()))
     place = np.arange(len(grams), dtype=np.uint64)
@@ -150,4 +151,4 @@ def anchored_runs(values: np.ndarray, bounds: np.ndarray, k: int, window: int):
     keep = counts > 0
     begins, counts = begins[keep], counts[keep]
     d = doc[begins]
-    return d, begins - bounds[d], counts.astype(np.int64), grams[at[begins]]
+    return d, begins - bounds[d], counts.astype(np.int64), grams[at[begins]], at[begins] - begins
