@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlens.session import stage_table
 
 SPACES = "[ \\t-\\r]+"  # space and the five ASCII control characters from tab to carriage return
 WORD = "[^ \\t-\\r]+"
+HOME = str(Path(__file__).resolve().parents[2])
 BATCH_ROWS = 256  # rows per Arrow batch, so that a batch of long texts stays small
 
 
@@ -18,8 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Keep the Arrow batches of Python stages small; texts differ in length by orders of magnitude."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Prepare for a Python stage: small Arrow batches, as texts differ in length by orders of magnitude, and workers that find this package.
+
+    On a cluster the package is installed on every machine or sent with ``--py-files``.
+    """
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if HOME not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (HOME, known)))
     return df
 
 
@@ -32,6 +44,27 @@ def numbered(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, F.monotonically_increasing_id().alias("_row"))
 
 
+def packed(df: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and the text compressed to ``packed``, for texts that travel through a shuffle."""
+    chosen = df.select(*keep, "text")
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            texts = [pack((text.as_py() or "").encode()) for text in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in keep), pa.array(texts, pa.binary())],
+                                             names=[*keep, "packed"])
+
+    fields = ", ".join(f"`{name}` {chosen.schema[name].dataType.simpleString()}" for name in keep)
+    return small_batches(chosen).mapInArrow(run, f"{fields}, packed binary")
+
+
+def unpacked(column: pa.Array) -> pa.Array:
+    """The texts of an Arrow column made by ``packed``."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([unpack(x.as_buffer()) for x in column], pa.large_binary())
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, also inside array functions."""
     return F.transform(F.array(value), body)[0]
