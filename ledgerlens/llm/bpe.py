@@ -25,12 +25,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ledgerlens.llm.frames import small_batches
+from ledgerlens.llm.frames import fields, small_batches
 
-LEAF_BYTES = 32
+LEAF_BYTES = 6
+SHORT_BYTES = 32  # up to this length pairs are searched, beyond it they are queued
 LEAF_CHARS = 1 << 14
 NONE = 1 << 40
-KNOWN = 300_000  # remembered encodings of frequent words per worker; forgetting them costs time only
+MARKS = ",.;:!?"
+KNOWN = 500_000  # remembered encodings of frequent words per worker; forgetting them costs time only
 
 
 class ByteBPE:
@@ -40,7 +42,8 @@ class ByteBPE:
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.split = regex.compile(pattern)
         self._known: dict[str, tuple[int, ...]] = {}
-        self._fits: dict[int, bool] = {}
+        self._seams: dict[int, tuple[int, ...]] = {}
+        self._leaves: dict[bytes, list[int]] = {}
 
     # Byte strings
 
@@ -48,7 +51,7 @@ class ByteBPE:
         """Merge neighbouring parts, the lowest rank first and the leftmost among equals, until none can be merged."""
         ranks = self.ranks
         n = len(data)
-        if n <= LEAF_BYTES:
+        if n <= SHORT_BYTES:
             return self._merge_short(data)
         end = list(range(1, n + 1))  # end of the part that starts here
         before = list(range(-1, n - 1))  # start of the part before
@@ -87,23 +90,29 @@ class ByteBPE:
                 pairs[i - 1] = rank_of(parts[i - 1] + parts[i], NONE)
         return [self.ranks[part] for part in parts]
 
-    def fits(self, left: int, right: int) -> bool:
-        """Whether two tokens side by side are the encoding of their bytes."""
+    def seam(self, left: int, right: int) -> tuple[int, ...]:
+        """Encoding of the bytes of two tokens."""
         key = left << 32 | right
-        found = self._fits.get(key)
+        found = self._seams.get(key)
         if found is None:
-            if len(self._fits) >= KNOWN:
-                self._fits.clear()
-            found = self._fits[key] = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+            if len(self._seams) >= KNOWN:
+                self._seams.clear()
+            found = self._seams[key] = tuple(self.merge(self.bytes_of[left] + self.bytes_of[right]))
         return found
 
+    def fits(self, left: int, right: int) -> bool:
+        """Whether two tokens side by side are the encoding of their bytes."""
+        return self.seam(left, right) == (left, right)
+
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """Encoding of the concatenation of two encoded strings."""
         if not left or not right:
             return left or right
+        window = list(self.seam(left[-1], right[0]))
+        if window == [left[-1], right[0]]:
+            return left + right
         a = b = 1
         while True:
-            window = self.merge(b"".join(self.bytes_of[t] for t in left[-a:] + right[:b]))
             left_stable = a >= len(left) or self.fits(left[-a - 1], window[0])
             right_stable = b >= len(right) or self.fits(window[-1], right[b])
             if left_stable and right_stable:
@@ -112,10 +121,16 @@ class ByteBPE:
                 a = min(2 * a, len(left))
             if not right_stable:
                 b = min(2 * b, len(right))
+            window = self.merge(b"".join(self.bytes_of[t] for t in left[-a:] + right[:b]))
 
     def encode_bytes(self, data: bytes) -> list[int]:
         if len(data) <= LEAF_BYTES:
-            return self.merge(data)
+            found = self._leaves.get(data)
+            if found is None:
+                if len(self._leaves) >= KNOWN:
+                    self._leaves.clear()
+                found = self._leaves[data] = self.merge(data)
+            return found
         half = len(data) // 2
         return self.join(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
 
@@ -138,9 +153,24 @@ class ByteBPE:
             return None
         if len(self._known) >= KNOWN:
             self._known.clear()
-        found = self._known[word] = tuple(self._matches(" " + word))
+        stem = word[:-1]
+        if word[-1] in MARKS and stem.isalpha():
+            # Letters and one mark are two matches; the letters are often known already.
+            ids = self._known.get(stem) or tuple(self._letters(stem))
+            found = (*ids, self.ranks[word[-1].encode()])
+        elif word.isalpha():
+            found = tuple(self._letters(word))
+        else:
+            found = tuple(self._matches(" " + word))
+        self._known[word] = found
         return found
 
+    def _letters(self, word: str) -> list[int]:
+        """Encoding of a space and letters, which are one match."""
+        data = b" " + word.encode()
+        token = self.ranks.get(data)
+        return self.encode_bytes(data) if token is None else [token]
+
     def _leaf(self, text: str) -> list[int]:
         """Encode a short text word by word; stretches around unusual white space are matched as a whole."""
         words = text.split(" ")
@@ -228,8 +258,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("d
                 [*[batch.column(name) for name in keep], pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
                 names=[*keep, "ids", "decoded"])
 
-    fields = ", ".join(f"`{name}` {chosen.schema[name].dataType.simpleString()}" for name in keep)
-    return small_batches(chosen).mapInArrow(run, f"{fields}, ids array<int>, decoded string")
+    return small_batches(chosen).mapInArrow(run, fields(chosen, keep, "ids array<int>, decoded string"))
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -250,4 +279,4 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return small_batches(docs.select("doc_id", "text")).mapInArrow(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        run, fields(docs, ["doc_id"], "n_tokens bigint, ids_sha256 string, decoded_sha256 string"))
