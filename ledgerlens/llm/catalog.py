@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlens.llm import bpe, extract, licenses, mixing, ngrams, quality, sharding, simhash, substrings, suffixes
@@ -40,10 +41,11 @@ WITH sized AS (
   FROM sized GROUP BY source
 ), leveled AS (
   SELECT *, (1.5e0 * sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0))
-    / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
+    / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level,
+    row_number() OVER (ORDER BY cap::DOUBLE / w, source NULLS LAST) AS place
   FROM s WINDOW before AS (ORDER BY cap::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), t AS (
-  SELECT source, source_size, least(cap::DOUBLE, w * coalesce(min(CASE WHEN level * w <= cap THEN level END) OVER (), 'inf'::DOUBLE)) AS target
+  SELECT source, source_size, least(cap::DOUBLE, w * coalesce(arg_min(level, place) FILTER (WHERE level * w <= cap) OVER (), 'inf'::DOUBLE)) AS target
   FROM leveled
 ), drawn AS (
   SELECT doc_id, size, source_size, target, sized.source,
@@ -171,3 +173,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_trees")
 def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

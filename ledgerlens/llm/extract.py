@@ -19,7 +19,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgerlens.llm.frames import small_batches
+from ledgerlens.llm.frames import fields, small_batches
 
 # Element kinds of the HTML standard and names that mark page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -222,5 +222,4 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> Dat
                 [*[batch.column(name) for name in keep], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=[*keep, "text", "n_chars"])
 
-    fields = ", ".join(f"`{name}` {chosen.schema[name].dataType.simpleString()}" for name in keep)
-    return small_batches(chosen).mapInArrow(run, f"{fields}, text string, n_chars bigint")
+    return small_batches(chosen).mapInArrow(run, fields(chosen, keep, "text string, n_chars bigint"))

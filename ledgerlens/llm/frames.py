@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from pathlib import Path
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlens.session import stage_table
 
@@ -44,6 +45,11 @@ def numbered(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, F.monotonically_increasing_id().alias("_row"))
 
 
+def fields(df: DataFrame, keep: Iterable[str], more: str) -> StructType:
+    """Schema of the columns ``keep`` of a frame and of further ones in SQL notation."""
+    return StructType([df.schema[name] for name in keep] + StructType.fromDDL(more).fields)
+
+
 def packed(df: DataFrame, *keep: str) -> DataFrame:
     """``keep`` and the text compressed to ``packed``, for texts that travel through a shuffle."""
     chosen = df.select(*keep, "text")
@@ -51,18 +57,30 @@ def packed(df: DataFrame, *keep: str) -> DataFrame:
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            texts = [pack((text.as_py() or "").encode()) for text in batch.column("text")]
+            texts = [None if text is None else pack(text.encode()) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in keep), pa.array(texts, pa.binary())],
                                              names=[*keep, "packed"])
 
-    fields = ", ".join(f"`{name}` {chosen.schema[name].dataType.simpleString()}" for name in keep)
-    return small_batches(chosen).mapInArrow(run, f"{fields}, packed binary")
+    return small_batches(chosen).mapInArrow(run, fields(chosen, keep, "packed binary"))
 
 
 def unpacked(column: pa.Array) -> pa.Array:
     """The texts of an Arrow column made by ``packed``."""
     unpack = zstandard.ZstdDecompressor().decompress
-    return pa.array([unpack(x.as_buffer()) for x in column], pa.large_binary())
+    return pa.array([unpack(x) if x is not None else None for x in column.to_pylist()], pa.large_binary())
+
+
+def with_text(df: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and the text of a frame whose texts are packed."""
+    chosen = df.select(*keep, "packed")
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in keep), unpacked(batch.column("packed")).cast(pa.large_string()).cast(pa.string())],
+                names=[*keep, "text"])
+
+    return small_batches(chosen).mapInArrow(run, fields(chosen, keep, "text string"))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -23,7 +23,7 @@ from collections.abc import Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgerlens.llm.frames import small_batches
+from ledgerlens.llm.frames import fields, small_batches
 
 WORDS = re.compile("[a-z0-9]+")
 COVERAGE = 0.8
@@ -183,6 +183,6 @@ def license_scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, cove
                  *[pa.array(list(values), kind) for values, kind in zip(columns, kinds)], pa.array(names, pa.list_(pa.string()))],
                 names=["doc_id", "n_words", "license", "coverage", "n_matched", "first_word", "last_word", "licenses"])
 
-    return small_batches(chosen).mapInArrow(run, (
-        f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, n_words bigint, license string, coverage double, "
-        "n_matched bigint, first_word bigint, last_word bigint, licenses array<string>"))
+    return small_batches(chosen).mapInArrow(run, fields(chosen, ["doc_id"], (
+        "n_words bigint, license string, coverage double, n_matched bigint, first_word bigint, last_word bigint, "
+        "licenses array<string>")))

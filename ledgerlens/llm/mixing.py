@@ -19,7 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlens.llm.frames import WORD, kept, numbered
+from ledgerlens.llm.frames import WORD, kept, numbered, packed, with_text
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -51,9 +51,9 @@ def targets(source_sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     whole = Window.partitionBy()
     level = ((F.lit(share) * F.sum("source_size").over(whole) - F.coalesce(F.sum("_cap").over(before), F.lit(0)))
              / (F.sum("_w").over(whole) - F.coalesce(F.sum("_w").over(before), F.lit(0))))
-    leveled = weighed.withColumn("_level", level).withColumn(
+    leveled = weighed.withColumns({"_level": level, "_place": F.row_number().over(by_level)}).withColumn(
         # The first source whose cap is not reached sets the level for itself and all after it.
-        "_open", F.min(F.when(F.col("_level") * F.col("_w") <= F.col("_cap"), F.col("_level"))).over(whole))
+        "_open", F.min(F.when(F.col("_level") * F.col("_w") <= F.col("_cap"), F.struct("_place", "_level"))).over(whole)["_level"])
     return leveled.select(
         "source", "source_size",
         F.least(F.col("_cap").cast("double"), F.coalesce("_open", F.lit(float("inf"))) * F.col("_w")).alias("target"))
@@ -119,8 +119,9 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The documents of the mix with their own columns, each repeated as often as the mix takes it."""
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    whole = docs.select(row.alias("_doc"), F.monotonically_increasing_id().alias("_row"))
+    others = F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"])
+    whole = packed(numbered(docs.select(others.alias("_doc"), "text"), "_doc", "text"), "_row", "_doc")
     chosen = mix(docs, **settings).where("copies > 0").select("_row", "copies")
-    return (whole.join(chosen, "_row").select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-            .select("_doc.*"))
+    taken = with_text(whole.join(chosen, "_row"), "_doc", "copies")
+    return taken.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
+        *[F.col("text") if name == "text" else F.col(f"_doc.`{name}`") for name in docs.columns])

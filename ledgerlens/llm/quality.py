@@ -80,7 +80,11 @@ def _repeated_words(w: Column) -> Column:
 
 
 def text_counts(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and the counts that rules are made of."""
+    """The columns ``keep`` and the counts that rules are made of.
+
+    ``_place`` is there for the optimizer only: a later filter on counts must not be moved below this projection, where it would
+    compute every count anew.
+    """
     whole = F.coalesce(F.col(text), F.lit(""))
     stop = F.array(*[F.lit(form) for s in STOP_WORDS for form in (s, s.capitalize())])
     split = docs.select(
@@ -91,7 +95,7 @@ def text_counts(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("d
         return F.size(F.filter("_lines", condition)).cast("bigint")
 
     return split.select(
-        *keep,
+        *keep, F.monotonically_increasing_id().alias("_place"),
         F.size("_words").cast("bigint").alias("n_words"),
         F.char_length(F.array_join("_words", "")).cast("bigint").alias("word_chars"),
         F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
@@ -116,11 +120,11 @@ def judged(counts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def quality(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
             rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Counts and verdict of every document."""
-    return judged(text_counts(docs, text, keep), rules)
+    return judged(text_counts(docs, text, keep), rules).drop("_place")
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass, with their own columns."""
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    return (quality(docs.select(row.alias("_doc"), F.col("text")), keep=("_doc",), rules=rules)
-            .where("kept").select("_doc.*"))
+    counts = text_counts(docs.select(row.alias("_doc"), F.col("text")), keep=("_doc",))
+    return judged(counts, rules).where("kept and _place >= 0").select("_doc.*")
