@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.llm import text as T
-from ledgerlens.llm.frames import kept, numbered, small_batches
+from ledgerlens.llm.frames import kept, packed, small_batches, unpacked
 
 COMBINE_BYTES = 4 << 20  # pieces combined by one task before they are handed on
 SETTLE_BYTES = 1 << 20  # pieces whose groups are settled together
@@ -88,7 +88,7 @@ def anchors(docs: DataFrame, kind: Kind) -> DataFrame:
 
 
 def pieces(texts: DataFrame, kind: Kind) -> DataFrame:
-    """Pieces with their occurrences; ``texts`` has _row, doc_id, text and the runs that are wanted."""
+    """Pieces with their occurrences; ``texts`` has _row, doc_id, the packed text and the runs that are wanted."""
     schema = ("anchor bigint, body binary, starts int, offset int, rows array<bigint>, docs array<bigint>, "
               "places array<int>")
     names = [part.split()[0] for part in schema.split(", ")]
@@ -106,7 +106,7 @@ def pieces(texts: DataFrame, kind: Kind) -> DataFrame:
         held = 0
         for batch in batches:
             rows, docs = batch.column("_row").to_pylist(), batch.column("doc_id").to_pylist()
-            texts, runs = batch.column("text"), batch.column("runs")
+            texts, runs = unpacked(batch.column("packed")), batch.column("runs")
             for i in range(batch.num_rows):
                 data, bounds = T.raw(texts.slice(i, 1))
                 _, _, begins, ends = kind.units(data, bounds)
@@ -231,25 +231,26 @@ def spread(found: DataFrame, kind: Kind, keep_first: bool) -> DataFrame:
 
 
 def marked(docs: DataFrame, kind: Kind, settle: Settle, keep_first: bool, limit: int) -> DataFrame:
-    """_row, doc_id, text and ``marks``: intervals (first, length) of the window starts that are to be removed.
+    """The columns of ``docs``, its text packed, and ``marks``: intervals (first, length) of the window starts that are to be removed.
 
-    ``docs`` has _row, doc_id and text. ``keep_first`` leaves the earliest occurrence of every repeated window unmarked.
+    ``docs`` has _row, doc_id and text, and may have more. ``keep_first`` leaves the earliest occurrence of every repeated window unmarked.
     """
     runs = kept(anchors(docs, kind), "anchors")
     again = kept(runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "repeated-anchors")
 
     def found(of_anchors: DataFrame) -> DataFrame:
-        wanted = runs.join(of_anchors, "anchor").groupBy("_row").agg(
+        wanted = runs.join(of_anchors.hint("merge"), "anchor").groupBy("_row").agg(
             F.collect_list(F.struct("start", "starts", "offset", "anchor")).alias("runs"))
-        return pieces(docs.join(wanted, "_row").select("_row", "doc_id", "text", "runs"), kind)
+        return pieces(compact.join(wanted.hint("merge"), "_row"), kind)
 
-    # The texts are shuffled once: every join with them uses the same exchange.
+    # The texts are shuffled once, compressed: every join takes all of their columns and so uses the same exchange.
+    compact = packed(docs, *(name for name in docs.columns if name != "text"))
     marks = settled(found(again.where(F.col("n") <= limit)), settle)
     crowded = again.where(F.col("n") > limit)
     if not crowded.isEmpty():
         marks = marks.unionByName(spread(found(crowded), kind, keep_first))
     per_row = marks.groupBy("_row").agg(F.collect_list(F.struct("first", "length")).alias("marks"))
-    return docs.join(per_row, "_row", "left")
+    return compact.join(per_row.hint("merge"), "_row", "left")
 
 
 def covered(marks, n: int, window: int) -> np.ndarray:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.llm import text as T
-from ledgerlens.llm.frames import numbered, small_batches
+from ledgerlens.llm.frames import fields, numbered, small_batches, unpacked
 from ledgerlens.llm.repeats import Kind, Marks, Piece, _intervals, covered, marked
 
 WINDOW = 20
@@ -99,20 +99,19 @@ def settle(groups: list[list[Piece]], window: int = WINDOW) -> Iterator[tuple[Pi
             yield piece, (for_first, for_others)
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, limit: int = LIMIT, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, n_words, n_removed, kept_sha256 and ``kept``, the remaining words joined by one space."""
+def without_repeats(docs: DataFrame, window: int = WINDOW, limit: int = LIMIT, keep: tuple[str, ...] = ("doc_id",),
+                    with_text: bool = False) -> DataFrame:
+    """``keep``, n_words, n_removed, kept_sha256, ``kept``, the remaining words joined by one space, and on demand the whole text."""
     kind = Kind(by_words=True, window=window, k=min(ANCHOR, max(1, window // 3)))
-    extra = [name for name in keep if name not in ("doc_id", "text")]
-    texts = numbered(docs, *dict.fromkeys(["doc_id", "text", *extra])).withColumn("text", F.coalesce(F.col("text"), F.lit("")))
+    texts = numbered(docs, *dict.fromkeys(["doc_id", "text", *keep])).withColumn("text", F.coalesce(F.col("text"), F.lit("")))
     found = marked(texts, kind, partial(settle, window=window), keep_first=True, limit=limit)
 
     def run(batches):
         for batch in batches:
-            sizes, removed, rest, digest = [], [], [], []
-            texts, marks = batch.column("text"), batch.column("marks")
+            sizes, removed, rest, digest, whole = [], [], [], [], []
+            texts, marks = unpacked(batch.column("packed")), batch.column("marks")
             for i in range(batch.num_rows):
-                text = texts[i].as_py().encode()
-                words = text.split()  # bytes are split at the same six characters
+                words = texts[i].as_py().split()  # bytes are split at the same six characters
                 data, bounds = T.raw(texts.slice(i, 1))
                 n = len(T.word_spans(data, bounds)[0])
                 gone = covered(marks[i], n, window)
@@ -120,15 +119,17 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, limit: int = LIMIT, k
                 sizes.append(n)
                 removed.append(int(gone.sum()))
                 rest.append(left.decode())
+                whole.append(texts[i].as_py().decode() if with_text else None)
                 digest.append(hashlib.sha256(left).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in keep), *(pa.array(x, pa.int64()) for x in (sizes, removed)),
-                 pa.array(digest, pa.string()), pa.array(rest, pa.string())],
-                names=[*keep, "n_words", "n_removed", "kept_sha256", "kept"])
+                 pa.array(digest, pa.string()), pa.array(rest, pa.string()), pa.array(whole, pa.string())],
+                names=[*keep, "n_words", "n_removed", "kept_sha256", "kept", "text"])
 
-    chosen = found.select(*dict.fromkeys([*keep, "text", "marks"]))
-    fields = ", ".join(f"`{name}` {chosen.schema[name].dataType.simpleString()}" for name in keep)
-    return small_batches(chosen).mapInArrow(run, f"{fields}, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
+    chosen = found.select(*keep, "packed", "marks")
+    out = small_batches(chosen).mapInArrow(
+        run, fields(chosen, keep, "n_words bigint, n_removed bigint, kept_sha256 string, kept string, text string"))
+    return out if with_text else out.drop("text")
 
 
 def remove_substrings(docs: DataFrame, window: int = WINDOW, limit: int = LIMIT) -> DataFrame:
@@ -136,8 +137,8 @@ def remove_substrings(docs: DataFrame, window: int = WINDOW, limit: int = LIMIT)
 
     A column ``n_chars`` follows the text.
     """
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    cut = without_repeats(docs.select(row.alias("_doc"), "doc_id", "text"), window, limit, keep=("_doc",))
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("_doc.text"))
+    others = F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"])
+    cut = without_repeats(docs.select(others.alias("_doc"), "doc_id", "text"), window, limit, keep=("_doc",), with_text=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     changed = {"text": text, **({"n_chars": F.char_length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})}
     return cut.select(*[changed[name].alias(name) if name in changed else F.col(f"_doc.`{name}`").alias(name) for name in docs.columns])

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.llm import text as T
-from ledgerlens.llm.frames import numbered, small_batches
+from ledgerlens.llm.frames import fields, numbered, small_batches, unpacked
 from ledgerlens.llm.repeats import Kind, Marks, Piece, _intervals, covered, marked
 
 WINDOW = 200
@@ -229,7 +229,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, limit: int = LIMIT) -
     def run(batches):
         for batch in batches:
             sizes, removed, spans, rest, digest = [], [], [], [], []
-            texts, marks = batch.column("text"), batch.column("marks")
+            texts, marks = unpacked(batch.column("packed")), batch.column("marks")
             for i in range(batch.num_rows):
                 data, _ = T.raw(texts.slice(i, 1))
                 gone = covered(marks[i], len(data), window)
@@ -244,6 +244,5 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, limit: int = LIMIT) -
                  pa.array(digest, pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return small_batches(found.select("doc_id", "text", "marks")).mapInArrow(
-        run, f"doc_id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string")
+    return small_batches(found.select("doc_id", "packed", "marks")).mapInArrow(
+        run, fields(docs, ["doc_id"], "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string"))
