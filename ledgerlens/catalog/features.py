@@ -61,12 +61,12 @@ def _(d):
     return channels.entropy(d.channels, "channel_entropy")
 
 
-CODE_LIFT_SQL = """
-SELECT t.mcc_code, count(DISTINCT t.account_id) AS n_accounts,
- count(DISTINCT t.account_id) FILTER (WHERE l.is_mule = 1) AS n_mule_accs,
- round(count(DISTINCT t.account_id) FILTER (WHERE l.is_mule = 1) * 100e0 / count(DISTINCT t.account_id), 2) AS mule_rate_pct
-FROM tx t JOIN acct_labels l ON t.account_id = l.account_id GROUP BY t.mcc_code
-HAVING count(DISTINCT t.account_id) >= 50 ORDER BY mule_rate_pct DESC, t.mcc_code ASC NULLS LAST LIMIT 20"""
+CODE_RATES_SQL = """
+SELECT mcc_code, n_accounts, n_mule_accs, round(n_mule_accs * 100e0 / n_accounts, 2) AS mule_rate_pct FROM (
+ SELECT mcc_code, count(*) AS n_accounts, sum(is_mule) AS n_mule_accs
+ FROM (SELECT DISTINCT account_id, mcc_code FROM tx) AS used JOIN acct_labels USING (account_id) GROUP BY mcc_code) AS per_code
+WHERE n_accounts >= 50"""
+CODE_LIFT_SQL = CODE_RATES_SQL + " ORDER BY mule_rate_pct DESC, mcc_code NULLS LAST LIMIT 20"
 
 
 @query("b3_code_lift", "mcc_code:i n_accounts:i n_mule_accs:i mule_rate_pct:f", CODE_LIFT_SQL)
@@ -87,11 +87,11 @@ def _(d):
 
 
 @query("b5_risky_code_share_raw", "account_id risky_mcc_share_raw:f", f"""
-SELECT account_id, avg(CASE WHEN mcc_code IN (SELECT mcc_code FROM ({CODE_LIFT_SQL}) AS lift
+SELECT account_id, avg(CASE WHEN mcc_code IN (SELECT mcc_code FROM ({CODE_RATES_SQL}) AS lift
  WHERE mule_rate_pct >= 2.79e0 * 1.5e0 AND mcc_code IS NOT NULL) THEN 1e0 ELSE 0e0 END) AS risky_mcc_share_raw
 FROM tx GROUP BY account_id""")
 def _(d):
-    codes = channels.risky_codes_by_rate(channels.code_lift(d.tx, d.acct_labels))
+    codes = channels.risky_codes_by_rate(channels.code_lift(d.tx, d.acct_labels, top=None))
     return channels.risky_code_share_raw(d.tx, codes)
 
 

@@ -84,9 +84,9 @@ def _(d):
     return assemble.impute(_small(d), MEDIANS, {"cc_count": 2.0}, fit_rows=train)
 
 
-@query("m3_null_inf_report", "feature rows:i nulls:i infinities:i null_pct:f", "\nUNION ALL ".join(
+@query("m3_null_inf_report", "feature rows:i nulls:i nans:i infinities:i null_pct:f", "\nUNION ALL ".join(
     f"SELECT '{c}' AS feature, count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
-    f"count(*) FILTER (WHERE isinf({c})) AS infinities, avg(CASE WHEN {c} IS NULL THEN 100e0 ELSE 0e0 END) AS null_pct FROM feat"
+    f"count(*) FILTER (WHERE isnan({c})) AS nans, count(*) FILTER (WHERE isinf({c})) AS infinities, avg(CASE WHEN {c} IS NULL THEN 100e0 ELSE 0e0 END) AS null_pct FROM feat"
     for c in SMALL), SMALL_VIEWS)
 def _(d):
     return assemble.null_inf_report(_small(d), SMALL)

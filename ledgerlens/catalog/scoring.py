@@ -31,7 +31,7 @@ def _(d):
 
 CODE_VIEWS = {
     "picked": """SELECT account_id, is_mule FROM (SELECT account_id, is_mule, row_number() OVER (PARTITION BY is_mule ORDER BY account_id) AS rn,
- (SELECT sum(is_mule) FROM acct_labels) AS n1 FROM acct_labels) AS s WHERE (is_mule = 1 AND rn <= 5000) OR (is_mule = 0 AND rn <= n1 * {ratio})""",
+ (SELECT sum(is_mule) FROM acct_labels) AS n1 FROM acct_labels) AS s WHERE is_mule = 1 OR {ratio} IS NULL OR rn <= n1 * {ratio}""",
     "code_rates": """SELECT d.mnemonic_code AS code, count(*) FILTER (WHERE p.is_mule = 1) * 1e0 / (SELECT count(*) FROM picked WHERE is_mule = 1) AS rate1,
  count(*) FILTER (WHERE p.is_mule = 0) * 1e0 / (SELECT count(*) FROM picked WHERE is_mule = 0) AS rate0
  FROM led d JOIN picked p ON d.account_id = p.account_id WHERE d.mnemonic_code IS NOT NULL GROUP BY d.mnemonic_code""",
@@ -39,11 +39,11 @@ CODE_VIEWS = {
 }
 
 
-def _code_views(ratio: int, k: int) -> dict[str, str]:
+def _code_views(ratio: int | str, k: int) -> dict[str, str]:
     return {name: sql.format(ratio=ratio, k=k) for name, sql in CODE_VIEWS.items()}
 
 
-@query("y2_risky_codes", "code lift:f", "SELECT code, lift FROM risky", _code_views(10, 10))
+@query("y2_risky_codes", "code lift:f", "SELECT code, lift FROM risky", _code_views("NULL", 10))
 def _(d):
     return encoding.risky_codes(encoding.code_counts(d.ledger), d.acct_labels)
 
@@ -56,7 +56,7 @@ def _(d):
 @query("y3_risky_code_share", "account_id risky_mcc_share:f", """
 SELECT i.account_id, coalesce(s.share, 0) AS risky_mcc_share FROM ids i LEFT JOIN (SELECT account_id,
  avg(CASE WHEN mnemonic_code IN (SELECT code FROM risky) THEN 1e0 ELSE 0e0 END) AS share FROM led GROUP BY account_id) s
- ON i.account_id = s.account_id""", _code_views(10, 10))
+ ON i.account_id = s.account_id""", _code_views("NULL", 10))
 def _(d):
     counts = encoding.code_counts(d.ledger)
     return encoding.risky_code_share(counts, encoding.risky_codes(counts, d.acct_labels), d.ids)
@@ -91,10 +91,10 @@ def _grid_views(parts: int) -> dict[str, str]:
 
 
 @query("y9_blend_grid", "w:i weight_a:f weight_b:f weight_c:f weight_x:f weight_cat:f auc:f f1:f", """
-SELECT g.w, ga / 5e0 AS weight_a, gb / 5e0 AS weight_b, gc / 5e0 AS weight_c, gx / 5e0 AS weight_x, gcat / 5e0 AS weight_cat, u.auc, f.f1
-FROM grid g JOIN aucs u ON g.w = u.w JOIN f1s f ON g.w = f.w""", _grid_views(5))
+SELECT g.w, ga / 10e0 AS weight_a, gb / 10e0 AS weight_b, gc / 10e0 AS weight_c, gx / 10e0 AS weight_x, gcat / 10e0 AS weight_cat, u.auc, f.f1
+FROM grid g JOIN aucs u ON g.w = u.w JOIN f1s f ON g.w = f.w""", _grid_views(10))
 def _(d):
-    return blend.blend_grid(d.member_scores, parts=5)
+    return blend.blend_grid(d.member_scores)
 
 
 @query("y9_best_weights", "metric w:i weight_a:f weight_b:f weight_c:f weight_x:f weight_cat:f value:f", """

@@ -68,6 +68,11 @@ def clip(column: Column, low: float | None = None, high: float | None = None) ->
     return F.when(column.isNotNull(), bounded)
 
 
+def present(column: Column) -> Column:
+    """The value, NULL where it is NaN."""
+    return F.when(~F.isnan(column), column)
+
+
 def is_infinite(column: Column) -> Column:
     return F.abs(column.cast("double")) == F.lit(float("inf"))
 

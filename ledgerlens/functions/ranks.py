@@ -30,7 +30,7 @@ def _log_scale(value: Column) -> Column:
 
 
 def _sliced(df: DataFrame, group: Sequence[str], order: str) -> DataFrame:
-    """Add ``_slice``, a number that never falls as ``order`` rises; equal values share a slice.
+    """Add ``_slice``, a number that never falls as ``order`` rises; equal values share a slice. NaN comes last.
 
     The first cut is by magnitude, about 1.6 % wide, and needs no look at the data. Values that crowd together
     there are cut again, evenly between the smallest and largest value of their slice.
@@ -39,7 +39,7 @@ def _sliced(df: DataFrame, group: Sequence[str], order: str) -> DataFrame:
     beyond = F.lit(1_000_000)
     first = df.withColumn(
         "_first",
-        F.when(value == float("-inf"), -beyond).when(value == float("inf"), beyond)
+        F.when(value == float("-inf"), -beyond).when(F.isnan(value), beyond + 1).when(value == float("inf"), beyond)
         .otherwise(F.floor(_log_scale(value) * SLICES_PER_E).cast("int")))
     inner = first.groupBy(*group, "_first").agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     position = (value - F.col("_lo")) * SUBSLICES / (F.col("_hi") - F.col("_lo"))

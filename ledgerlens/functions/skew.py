@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerlens.functions.ranks import ranked_percentiles
 
 HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000  # a key is hot only above this part of all rows, too, which bounds the number of hot keys
+NO_TIME = -(1 << 62)
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys with more than ``rows`` rows. There are at most (all rows / ``rows``) of them, so ``ids`` broadcasts."""
+    """Keys with more than ``rows`` rows, at most ``HOT_KEYS`` of them, so ``ids`` broadcasts."""
 
     key: str
     ids: DataFrame | None = None
@@ -42,11 +44,14 @@ def find_hot_keys(
 ) -> HotKeys:
     """Find hot keys with one map-side combined count over the key column.
 
-    A table no longer than the limit cannot hold a hot key, so its row count alone settles the question.
+    A table no longer than the limit cannot hold a hot key, so its row count alone settles the question. The limit rises with
+    the table: fewer than ``HOT_KEYS`` keys can hold more than one ``HOT_KEYS``-th of all rows each.
     """
-    if df.count() <= rows:
+    everything = df.count()
+    if everything <= rows:
         return HotKeys(key, None, rows, slice_seconds)
-    counted = df.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > rows).select(key)
+    rows = max(rows, everything // HOT_KEYS)
+    counted = df.groupBy(key).agg(F.count("*").alias("n")).where((F.col("n") > rows) & F.col(key).isNotNull()).select(key)
     found = counted.collect()
     ids = df.sparkSession.createDataFrame(found, counted.schema) if found else None
     return HotKeys(key, ids, rows, slice_seconds)
@@ -134,7 +139,9 @@ def neighbours(
     def packed(names: Mapping[str, str]) -> Column:
         return F.struct(*[F.col(source).alias(new) for new, source in names.items()])
 
-    rows = hot.hot_part(df).withColumn("_slice", F.floor(F.unix_seconds(time) / hot.slice_seconds))
+    # Rows without a time come first, as in the plain window, in a slice of their own.
+    rows = hot.hot_part(df).withColumn("_slice", F.coalesce(
+        F.floor(F.unix_seconds(time) / hot.slice_seconds), F.lit(NO_TIME)))
     edges = rows.groupBy(hot.key, "_slice").agg(
         *([F.max_by(packed(previous), F.struct(*order)).alias("_last")] if previous else []),
         *([F.min_by(packed(following), F.struct(*order)).alias("_first")] if following else []),

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.columns import age_days, count_if, flag, is_infinite
+from ledgerlens.functions.columns import age_days, count_if, flag, is_infinite, present
 from ledgerlens.functions.ranks import ranked_percentiles, with_single_row
 from ledgerlens.schema import DUPLICATE_COLUMNS, LABEL_COLUMNS, LEAKY_COLUMNS, REFERENCE_DATE
 
@@ -45,30 +45,32 @@ def impute(
     features: DataFrame, median_cols: Sequence[str], fills: Mapping[str, float] | None = None,
     fit_rows: DataFrame | None = None,
 ) -> DataFrame:
-    """M2: NULLs in ``median_cols`` take the exact column median, others their fixed fill, the rest 0.
+    """M2: missing values in ``median_cols`` take the exact column median, others their fixed fill, the rest 0.
 
-    Medians come from ``fit_rows``; by default from all rows, train and test together.
+    NULL and NaN are missing. Medians come from ``fit_rows``; by default from all rows, train and test together.
     """
     fills = dict(fills or {})
-    medians = ranked_percentiles(
-        long_form(features if fit_rows is None else fit_rows, median_cols), ["feature"], "value", {"median": 0.5})
+    known = long_form(features if fit_rows is None else fit_rows, median_cols).where(~F.isnan("value"))
+    medians = ranked_percentiles(known, ["feature"], "value", {"median": 0.5})
     row = medians.groupBy().agg(*[
         F.max(F.when(F.col("feature") == c, F.col("median"))).alias(f"_m_{c}") for c in median_cols])
     rest = [c for c in features.columns if c != KEY and c not in median_cols]
+    fractions = {name for name, kind in features.dtypes if kind in ("double", "float")}
     return with_single_row(features, row).select(
         KEY,
-        *[F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}"), F.lit(0.0)).alias(c) for c in median_cols],
-        *[F.coalesce(F.col(c), F.lit(fills.get(c, 0))).alias(c) for c in rest],
+        *[F.coalesce(present(F.col(c).cast("double")), F.col(f"_m_{c}"), F.lit(0.0)).alias(c) for c in median_cols],
+        *[F.coalesce(present(F.col(c)) if c in fractions else F.col(c), F.lit(fills.get(c, 0))).alias(c) for c in rest],
     ).select(*features.columns)
 
 
 def null_inf_report(features: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """M3: rows, NULLs, infinities and NULL percentage per column."""
+    """M3: rows, NULLs, NaNs, infinities and the percentage of missing values (NULL or NaN) per column."""
     return long_form(features, cols).groupBy("feature").agg(
         F.count("*").alias("rows"),
         count_if(F.col("value").isNull()).alias("nulls"),
+        count_if(F.isnan("value")).alias("nans"),
         count_if(is_infinite(F.col("value"))).alias("infinities"),
-        (F.avg(F.when(F.col("value").isNull(), 1.0).otherwise(0.0)) * 100).alias("null_pct"),
+        (F.avg(F.when(present(F.col("value")).isNull(), 1.0).otherwise(0.0)) * 100).alias("null_pct"),
     )
 
 
@@ -86,9 +88,10 @@ def quality_gate(
     features: DataFrame, expected: DataFrame, required: Sequence[str] = (),
     banned: Sequence[str] = LEAKY_COLUMNS + LABEL_COLUMNS + DUPLICATE_COLUMNS,
 ) -> DataFrame:
-    """M6: one row per check with ``passed`` 0/1 and the number of offences ``found``."""
+    """M6: one row per check with ``passed`` 0/1 and the number of offences ``found``. NaN counts as a null value."""
     cols = [c for c in features.columns if c != KEY]
-    nulls = sum((flag(F.col(c).isNull()) for c in cols), F.lit(0))
+    fractions = {name for name, kind in features.dtypes if kind in ("double", "float")}
+    nulls = sum((flag((present(F.col(c)) if c in fractions else F.col(c)).isNull()) for c in cols), F.lit(0))
     per_id = features.groupBy(KEY).agg(F.count("*").alias("copies"), F.sum(nulls).alias("nulls"))
     wanted = expected.select(KEY).distinct().withColumn("wanted", F.lit(1))
     facts = per_id.join(wanted, KEY, "full").agg(

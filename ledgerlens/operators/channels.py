@@ -76,13 +76,14 @@ def _code_rates(tx: DataFrame, labels: DataFrame, code: str) -> DataFrame:
 
 
 def code_lift(
-    tx: DataFrame, labels: DataFrame, code: str = "mcc_code", min_accounts: int = 50, top: int = 20,
+    tx: DataFrame, labels: DataFrame, code: str = "mcc_code", min_accounts: int = 50, top: int | None = 20,
 ) -> DataFrame:
-    """Share of positive accounts per code among labelled accounts, for codes with enough accounts."""
-    return (
-        _code_rates(tx, labels, code).where(F.col("n_accounts") >= min_accounts)
-        .orderBy(F.desc("mule_rate_pct"), F.asc_nulls_last(code)).limit(top)
-    )
+    """Share of positive accounts per code among labelled accounts, for codes with enough accounts.
+
+    The ``top`` codes are a report; ``None`` gives all codes, unordered, as input of B5.
+    """
+    rates = _code_rates(tx, labels, code).where(F.col("n_accounts") >= min_accounts)
+    return rates if top is None else rates.orderBy(F.desc("mule_rate_pct"), F.asc_nulls_last(code)).limit(top)
 
 
 def risky_codes_by_rate(
@@ -95,10 +96,10 @@ def risky_codes_by_rate(
 def risky_code_share_raw(tx: DataFrame, codes: DataFrame, code: str = "mcc_code") -> DataFrame:
     """Share of an account's transactions with a code in ``codes``; 0 when none are.
 
-    Counted per (account, code) first; the code list is a top-k report and so is bounded by k.
+    Counted per (account, code) first. The code list is joined without a hint: codes may be many.
     """
     counts = tx.groupBy("account_id", code).agg(F.count("*").alias("n"))
-    marked = counts.join(F.broadcast(codes.select(code).distinct().withColumn("_risky", F.lit(1))), code, "left")
+    marked = counts.join(codes.select(code).distinct().withColumn("_risky", F.lit(1)), code, "left")
     risky = F.sum(F.when(F.col("_risky") == 1, F.col("n")).otherwise(0))
     return marked.groupBy("account_id").agg((risky.cast("double") / F.sum("n")).alias("risky_mcc_share_raw"))
 

@@ -47,23 +47,28 @@ def class_weight(labels: DataFrame) -> DataFrame:
         F.when(positives > 0, negatives.cast("double") / positives).alias("weight"))
 
 
-def _class_sample(train: DataFrame, ratio: int, cap: int) -> DataFrame:
-    """First ``cap`` positives and first ``ratio`` x positives negatives by id, with the class totals."""
+def _class_sample(train: DataFrame, ratio: int | None, cap: int | None) -> DataFrame:
+    """All labelled accounts; with limits, the first ``cap`` positives and the first ``ratio`` x positives negatives by id."""
+    if ratio is None and cap is None:
+        return train.select("account_id", "is_mule").where(F.col("is_mule").isin(0, 1))
     totals = train.agg(count_if(F.col("is_mule") == 1).alias("_pos"), count_if(F.col("is_mule") == 0).alias("_neg"))
     ordered = with_single_row(
         global_rank(train.select("account_id", "is_mule"), [F.desc("is_mule"), F.asc("account_id")]), totals)
     place = F.when(F.col("is_mule") == 1, F.col("rank")).otherwise(F.col("rank") - F.col("_pos"))
-    limit = F.when(F.col("is_mule") == 1, F.lit(cap)).otherwise(F.col("_pos") * ratio)
+    all_rows = F.lit((1 << 63) - 1)
+    limit = F.when(F.col("is_mule") == 1, all_rows if cap is None else F.lit(cap)).otherwise(
+        all_rows if ratio is None else F.col("_pos") * ratio)
     return ordered.where((place <= limit) & (F.col("_pos") > 0) & (F.col("_neg") > 0)).select("account_id", "is_mule")
 
 
 def risky_codes(
-    counts: DataFrame, train: DataFrame, k: int = 10, ratio: int = 10, cap: int = 5000,
+    counts: DataFrame, train: DataFrame, k: int = 10, ratio: int | None = None, cap: int | None = None,
     legacy_denominator: bool = False,
 ) -> DataFrame:
     """Y2: the ``k`` codes with the highest lift of transactions per positive over transactions per negative.
 
-    ``train`` holds account_id and is_mule. Rates are per sampled account; ``legacy_denominator`` divides the
+    ``train`` holds account_id and is_mule; every row counts unless ``ratio`` or ``cap`` ask for the published sample (10 and
+    5000). Rates are per account used; ``legacy_denominator`` divides the
     positive rate by all positives even when the cap cut some off. No positives or negatives: no codes.
     """
     sample = _class_sample(train, ratio, cap)
@@ -72,7 +77,7 @@ def risky_codes(
     per_code = counts.where(F.col("code").isNotNull()).join(sample, "account_id").groupBy("code").agg(
         F.sum(F.when(F.col("is_mule") == 1, F.col("n"))).alias("_k1"),
         F.sum(F.when(F.col("is_mule") == 0, F.col("n"))).alias("_k0"))
-    rated = with_single_row(per_code.where(F.col("_k1") > 0), sizes)
+    rated = with_single_row(per_code.where(F.col("_k1") > 0), sizes).where((F.col("_n1") > 0) & (F.col("_n0") > 0))
     lift = (F.col("_k1").cast("double") / F.col("_n1")) / (
         F.coalesce(F.col("_k0").cast("double") / F.col("_n0"), F.lit(0.0)) + F.lit(0.001))
     return rated.select("code", lift.alias("lift")).orderBy(F.desc("lift"), "code").limit(k)

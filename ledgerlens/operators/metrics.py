@@ -1,4 +1,7 @@
-"""Exact ranking and threshold metrics (E). ``group`` evaluates many models side by side."""
+"""Exact ranking and threshold metrics (E). ``group`` evaluates many models side by side.
+
+A row whose score is NULL or NaN has no score: it takes part in no metric.
+"""
 
 from __future__ import annotations
 
@@ -19,9 +22,13 @@ def _positive() -> Column:
     return F.col("is_mule") == 1
 
 
+def _with_score(scores: DataFrame) -> DataFrame:
+    return scores.where(F.col("score").isNotNull() & ~F.isnan(F.col("score").cast("double")))
+
+
 def score_counts(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score: tied rows are merged before anything is ordered."""
-    return scores.groupBy(*group, "score").agg(
+    return _with_score(scores).groupBy(*group, "score").agg(
         F.sum(flag(_positive())).alias("pos"), F.sum(flag(~_positive())).alias("neg"))
 
 
@@ -34,7 +41,7 @@ def ranking_metrics(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     flagged = caught + all_neg - F.col("below_neg")
     positives, negatives = F.max(all_pos), F.max(all_neg)
     return rows.groupBy(*group).agg(
-        F.when((positives > 0) & (negatives > 0), wins / (positives * negatives)).alias("auc"),
+        F.when((positives > 0) & (negatives > 0), wins / (positives.cast("double") * negatives)).alias("auc"),
         F.when(positives > 0, F.sum(F.col("pos") * caught.cast("double") / flagged) / positives).alias("pr_auc"),
     )
 
@@ -66,7 +73,7 @@ def threshold_sweep(scores: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     Scores become a histogram over the thresholds first (181 rows per model), so only that is ever sorted.
     """
     group = list(group)
-    histogram = scores.groupBy(*group, thresholds_passed(F.col("score")).alias("passed")).agg(
+    histogram = _with_score(scores).groupBy(*group, thresholds_passed(F.col("score")).alias("passed")).agg(
         F.sum(flag(_positive())).alias("pos"), F.sum(flag(~_positive())).alias("neg"))
     # Every model needs all thresholds, also those no score falls between.
     axis = histogram.groupBy(*group).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n")).withColumn(
@@ -104,6 +111,7 @@ def precision_recall_at(scores: DataFrame, fractions: Sequence[float] = TOP_FRAC
 
     k is at least 1 and rounds half to even.
     """
+    scores = _with_score(scores)
     totals = scores.agg(F.count("*").alias("_rows"), count_if(_positive()).alias("_p"))
     ranked = with_single_row(
         global_rank(scores.select("account_id", "is_mule", "score"), [F.desc("score"), F.asc("account_id")]), totals)

@@ -70,3 +70,31 @@ def test_replace_inf_uses_quantiles_of_the_whole_column(spark):
     assert got["999"] == pytest.approx(np.quantile(values, 0.01))
     zeroed = {r.account_id: r.x for r in replace_inf(df, ["x"], high=None, low=None).collect()}
     assert zeroed["998"] == zeroed["999"] == 0.0
+
+
+def test_nan_is_the_largest_value(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (None,)], "x double")
+    got = ranked_percentiles(df, [], "x", {"p50": 0.5, "p100": 1.0}).first()
+    assert got.p50 == 2.5 and got.p100 != got.p100
+
+
+def test_rows_without_a_score_count_nowhere(spark):
+    from ledgerlens.operators import metrics
+    rows = [("a", 1, 0.9), ("b", 0, 0.1), ("c", 1, None), ("d", 0, float("nan"))]
+    scores = spark.createDataFrame(rows, "account_id string, is_mule int, score double")
+    assert metrics.roc_auc(scores).first().auc == 1.0
+    sweep = {r.step: r for r in metrics.threshold_sweep(scores).collect()}
+    assert sweep[0].flags == 2 and sweep[179].flags == 0 and sweep[100].flags == 1
+    assert {r.k for r in metrics.precision_recall_at(scores).where("cut = 'Npos'").collect()} == {1}
+
+
+def test_nan_is_missing(spark):
+    from ledgerlens.operators import assemble
+    rows = [("a", 1.0, 5.0), ("b", float("nan"), None), ("c", None, float("nan")), ("d", 3.0, 1.0)]
+    features = spark.createDataFrame(rows, "account_id string, x double, y double")
+    filled = {r.account_id: (r.x, r.y) for r in assemble.impute(features, ["x"], {"y": 7.0}).collect()}
+    assert filled == {"a": (1.0, 5.0), "b": (2.0, 7.0), "c": (2.0, 7.0), "d": (3.0, 1.0)}
+    report = {r.feature: (r.nulls, r.nans, r.null_pct) for r in assemble.null_inf_report(features, ["x", "y"]).collect()}
+    assert report == {"x": (1, 1, 50.0), "y": (1, 1, 50.0)}
+    gate = {r.check_name: r.found for r in assemble.quality_gate(features, features.select("account_id")).collect()}
+    assert gate["null_values"] == 4

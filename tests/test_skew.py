@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.skew import HotKeys, find_hot_keys, join_per_key
+from ledgerlens.functions.skew import HotKeys, find_hot_keys, join_per_key, neighbours
 from ledgerlens.operators import amounts, flow, network, velocity, windows
 from ledgerlens.operators.balance import rapid_drain
 from ledgerlens.plans import grains
@@ -77,3 +77,19 @@ def test_fused_dynamics_equal_single_operators(data):
                    network.top_counterparty_share(data.edges_long), network.cp_branch_diversity(data.edges_long),
                    network.bidirectional_counterparties(data.edges_long), network.direction_unique_cp(data.edges_long)):
         _same(fused.select(single.columns), single)
+
+
+def test_hot_rows_without_a_time_stay(spark):
+    rows = [("a", i, None if i % 5 == 0 else f"2024-01-0{1 + i % 3} 0{i % 9}:00:00") for i in range(20)]
+    df = spark.createDataFrame(rows, "account_id string, id int, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    found = find_hot_keys(df, rows=10)
+    assert found
+    ask = dict(order=["ts", "id"], previous={"before": "id"}, following={"after": "id"})
+    plain = {tuple(r) for r in neighbours(df, HotKeys("account_id"), **ask).collect()}
+    assert len(plain) == 20
+    assert {tuple(r) for r in neighbours(df, found, **ask).collect()} == plain
+
+
+def test_hot_keys_are_few(spark):
+    df = spark.range(100).selectExpr("concat('k', id % 3) AS account_id").union(spark.sql("SELECT CAST(NULL AS STRING) FROM range(50)"))
+    assert {r[0] for r in find_hot_keys(df, rows=10).ids.collect()} == {"k0", "k1", "k2"}
