@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.llm import text as T
 from ledgerlens.llm.components import components
-from ledgerlens.llm.frames import kept, numbered, packed, small_batches, unpacked
+from ledgerlens.llm.frames import fields, kept, numbered, packed, small_batches, unpacked, with_text
 
 K = 5
 SIMILAR = (3, 4)  # intersection / union of at least 3/4
@@ -66,9 +66,8 @@ def sketches(docs: DataFrame, k: int = K) -> DataFrame:
                  pa.array([s[:SKETCH].view(np.int64) for s in sets], pa.list_(pa.int64()))],
                 names=["_row", "doc_id", "n", "sign", "columns"])
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
     return small_batches(docs.select("_row", "doc_id", "text")).mapInArrow(
-        run, f"_row bigint, doc_id {id_type}, n bigint, sign binary, columns array<bigint>")
+        run, fields(docs, ["_row", "doc_id"], "n bigint, sign binary, columns array<bigint>"))
 
 
 def _least_common(smaller: Column, larger: Column) -> Column:
@@ -97,7 +96,7 @@ def overlaps(pairs: DataFrame, texts: DataFrame, k: int = K) -> DataFrame:
 
     left = texts.select(F.col("_row").alias("a"), F.col("packed").alias("x"))
     right = texts.select(F.col("_row").alias("b"), F.col("packed").alias("y"))
-    rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    rows = pairs.select("a", "b").hint("merge").join(left, "a").hint("merge").join(right, "b").select("a", "b", "x", "y")
     return small_batches(rows).mapInArrow(count, "a bigint, b bigint, overlap bigint").where("overlap is not null")
 
 
@@ -207,14 +206,15 @@ def similar_groups(docs: DataFrame, k: int = K) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_row"))).alias("low")), "ngram-nodes")
 
     # Columns of the nodes' rows, and how many nodes have each.
-    entries = full.join(nodes.select(F.col("node").alias("_row")), "_row", "left_semi").select(
+    # Both sides of the joins below grow with the corpus, so they are merged at every size.
+    entries = full.join(nodes.select(F.col("node").alias("_row")).hint("merge"), "_row", "left_semi").select(
         F.col("_row").alias("node"), "n", F.explode("columns").alias("col"))
     shared = kept(entries.groupBy("col").agg(F.count("*").alias("df")).where("df > 1"), "ngram-columns")
-    entries = kept(entries.join(shared, "col"), "ngram-entries")
+    entries = kept(entries.join(shared.hint("merge"), "col"), "ngram-entries")
 
     light = entries.where(F.col("df") <= LIGHT)
     x, y = (light.select("col", F.col("node").alias(name), F.col("n").alias(f"n{name}")) for name in ("a", "b"))
-    met = x.join(y, "col").where((F.col("a") > F.col("b")) & _alike("na", "nb")).groupBy("a", "b", "na", "nb").agg(
+    met = x.join(y.hint("merge"), "col").where((F.col("a") > F.col("b")) & _alike("na", "nb")).groupBy("a", "b", "na", "nb").agg(
         F.count("*").alias("both"))
     crowded = entries.where(F.col("df") > LIGHT)
     load = crowded.groupBy("node", "n").agg(F.count("*").alias("h"), F.sort_array(F.collect_list("col")).alias("columns"),
@@ -237,7 +237,7 @@ def similar_groups(docs: DataFrame, k: int = K) -> DataFrame:
 
     # Only texts of rows in a candidate pair or a family go on, compressed.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("_row")).unionByName(crowd.select(F.col("node").alias("_row"))).distinct()
-    chosen = kept(packed(texts, "_row").join(wanted, "_row", "left_semi"), "ngram-texts")
+    chosen = kept(packed(texts, "_row").join(wanted.hint("merge"), "_row", "left_semi"), "ngram-texts")
     edges = kept(overlaps(pairs, chosen, k).select("a", "b"), "ngram-edges")
     roots = kept(components(edges), "ngram-roots")
     families = components(led).withColumnRenamed("root", "family")
@@ -248,8 +248,8 @@ def similar_groups(docs: DataFrame, k: int = K) -> DataFrame:
 
     labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lows = labelled.groupBy("root").agg(F.min("low").alias("least"))
-    named = labelled.join(lows, "root").select("sign", "n", F.col("least.doc_id").alias("component_id"), F.col("least._row").alias("head"))
-    linked = full.join(named, ["sign", "n"]).select("_row", "doc_id", F.col("n").alias("n_shingles"), "component_id", "head")
+    named = labelled.join(lows.hint("merge"), "root").select("sign", "n", F.col("least.doc_id").alias("component_id"), F.col("least._row").alias("head"))
+    linked = full.join(named.hint("merge"), ["sign", "n"]).select("_row", "doc_id", F.col("n").alias("n_shingles"), "component_id", "head")
     alone = sketched.where("n = 0").select(
         "_row", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("_row").alias("head"))
     return linked.unionByName(alone)
@@ -258,6 +258,7 @@ def similar_groups(docs: DataFrame, k: int = K) -> DataFrame:
 def one_of_each(docs: DataFrame, k: int = K) -> DataFrame:
     """The documents with their own columns, of each group of similar ones the one with the smallest doc_id."""
     heads = similar_groups(docs, k).where("_row = head").select("_row")
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    whole = docs.select(row.alias("_doc"), F.monotonically_increasing_id().alias("_row"))
-    return whole.join(heads, "_row", "left_semi").select("_doc.*")
+    others = F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"])
+    whole = packed(numbered(docs.select(others.alias("_doc"), "text"), "_doc", "text"), "_row", "_doc")
+    left = with_text(whole.join(heads, "_row", "left_semi"), "_doc")
+    return left.select(*[F.col("text") if name == "text" else F.col(f"_doc.`{name}`") for name in docs.columns])
