@@ -235,17 +235,17 @@ def _(d):
 
 
 # ---------------------------------------------------------------- the whole matrix
-PACKS = {
-    "a1_counterparty_network": None, "a2_deviation_from_branch_median": None, "b1_channel_mix": None, "b2_entropy": None,
-    "c_1_amount_profile": None, "d1_balance_profile": None, "d2_rapid_drain": None, "d3_turnover": None,
-    "e1_calendar_shares": None, "e2_activity_span": None, "e3_rolling_peak": None, "e4_days_to_first_txn": None,
-    "f2_geo_ip_profile": None, "g1_account_profile": None, "h1_branch_context": None, "l2_residence_stats": None,
-    "l3_drain_rates": None, "l4_same_day_drain": None, "l5_post_credit_drawdown": None, "x2_cp_window_concentration": None,
-    "x3_top_counterparty_share": None, "x4_cp_branch_diversity": None, "x5_bidirectional_counterparties": None,
-    "x6_direction_unique_cp": None, "q1_inactivity_gaps": None, "q3_reactivation": None, "v1_burst_stats": None,
-    "v2_hourly_peak": None, "v3_inter_txn_gaps": None, "k6_digital_products": None, "z1_location_stats": None,
-    "z2_location_entropy": None, "z3_impossible_travel": None,
-}
+PACKS = (
+    "a1_counterparty_network", "a2_deviation_from_branch_median", "b1_channel_mix", "b2_entropy",
+    "c_1_amount_profile", "d1_balance_profile", "d2_rapid_drain", "d3_turnover",
+    "e1_calendar_shares", "e2_activity_span", "e3_rolling_peak", "e4_days_to_first_txn",
+    "f2_geo_ip_profile", "g1_account_profile", "h1_branch_context", "l2_residence_stats",
+    "l3_drain_rates", "l4_same_day_drain", "l5_post_credit_drawdown", "x2_cp_window_concentration",
+    "x3_top_counterparty_share", "x4_cp_branch_diversity", "x5_bidirectional_counterparties",
+    "x6_direction_unique_cp", "q1_inactivity_gaps", "q3_reactivation", "v1_burst_stats",
+    "v2_hourly_peak", "v3_inter_txn_gaps", "k6_digital_products", "z1_location_stats",
+    "z2_location_entropy", "z3_impossible_travel",
+)
 BODIES = {
     **{name: REGISTRY[name].sql for name in PACKS},
     "c_2_credit_debit_ratio": REGISTRY["c_2_credit_debit_ratio"].sql.replace("tx_long", "tx"),

@@ -75,6 +75,12 @@ def _(d):
     return blend.blend(d.member_scores, dict(zip(blend.MEMBERS, blend.BEST_F1_WEIGHTS)))
 
 
+@query("y8_blend_best_auc", "account_id blend:f", """
+SELECT account_id, least(greatest(a * 0.7e0 + b * 0.2e0 + c * 0.1e0, 0), 1) AS blend FROM member_scores""")
+def _(d):
+    return blend.blend(d.member_scores, dict(zip(blend.MEMBERS, blend.BEST_AUC_WEIGHTS)))
+
+
 def _grid_views(parts: int) -> dict[str, str]:
     r = f"(SELECT unnest(range({parts} + 1)) AS v)"
     return {

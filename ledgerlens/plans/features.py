@@ -16,7 +16,7 @@ from ledgerlens.session import stage_table
 from ledgerlens.sources.ledger import build_ledger
 
 _BASE_GROUPS = ("counterparty_network", "channel_mix", "amount_profile", "balance_profile", "calendar", "geo_ip_profile")
-LEDGER_MEDIANS = tuple(name for group in _BASE_GROUPS for name in FEATURES_BY_OPERATOR[group].split())
+LEDGER_MEDIANS = tuple(name for group in _BASE_GROUPS for name in FEATURES_BY_OPERATOR[group])
 STATIC_MEDIANS = ("days_since_mobile_update", "accounts_per_employee")
 # What an account without rows of a kind gets; everything not listed gets 0.
 FILLS = {

@@ -66,62 +66,76 @@ LEAKY_COLUMNS = (
 )
 LABEL_COLUMNS = ("is_mule", "mule_flag_date", "alert_reason", "flagged_by_branch", "account_opening_date")
 DUPLICATE_COLUMNS = ("account_age_days_y", "rural_branch_y", "kyc_compliant_y", "nri_flag_y")
-HELPER_COLUMNS = (
-    "first_txn_ts", "last_txn_ts", "calendar_days", "peak_90d_count", "avg_90d_count", "total_credit_amt",
-    "total_debit_amt", "avg_running_balance", "std_running_balance", "total_txns",
-)
 FOLDS = (
     ("2022-06-30", "2022-07-01", "2023-06-30"),
     ("2023-06-30", "2023-07-01", "2024-06-30"),
     ("2024-06-30", "2024-07-01", "2025-06-30"),
 )
 
-# The 125 behavioural features in their published order, grouped by the operator that makes them.
+# The 125 behavioural features in their published order, grouped by the operator that makes them.
 FEATURES_BY_OPERATOR = {
     "counterparty_network": (
-        "unique_counterparties unique_incoming_cp unique_outgoing_cp fan_asymmetry cp_incoming_ratio "
-        "cp_outgoing_ratio cp_deviation_from_branch"),
-    "channel_mix": "channel_entropy neft_imps_share atm_share channel_count top_channel_share",
+        "unique_counterparties", "unique_incoming_cp", "unique_outgoing_cp", "fan_asymmetry", "cp_incoming_ratio",
+        "cp_outgoing_ratio", "cp_deviation_from_branch",
+    ),
+    "channel_mix": (
+        "channel_entropy", "neft_imps_share", "atm_share", "channel_count", "top_channel_share",
+    ),
     "amount_profile": (
-        "structuring_share round_share median_txn_amount avg_txn_amount high_value_share micro_txn_share "
-        "txn_count credit_debit_ratio"),
-    "balance_profile": "near_zero_balance_share rapid_drain_rate avg_drain_seconds balance_cv turnover_v3",
+        "structuring_share", "round_share", "median_txn_amount", "avg_txn_amount", "high_value_share",
+        "micro_txn_share", "txn_count", "credit_debit_ratio",
+    ),
+    "balance_profile": (
+        "near_zero_balance_share", "rapid_drain_rate", "avg_drain_seconds", "balance_cv", "turnover_v3",
+    ),
     "calendar": (
-        "weekend_share sunday_share offhours_share month_boundary_share active_days activity_density "
-        "peak_to_avg_90d days_to_first_txn"),
-    "geo_ip_profile": "unique_ips lat_std lon_std ip_null_rate avg_ip_sharing geo_spread",
+        "weekend_share", "sunday_share", "offhours_share", "month_boundary_share", "active_days", "activity_density",
+        "peak_to_avg_90d", "days_to_first_txn",
+    ),
+    "geo_ip_profile": (
+        "unique_ips", "lat_std", "lon_std", "ip_null_rate", "avg_ip_sharing", "geo_spread",
+    ),
     "account_profile": (
-        "account_age_days days_since_mobile_update no_mobile_update pin_mismatch acc_per_customer sa_count "
-        "loan_count cc_count nri_flag scheme_risk kyc_compliant rural_branch"),
+        "account_age_days", "days_since_mobile_update", "no_mobile_update", "pin_mismatch", "acc_per_customer",
+        "sa_count", "loan_count", "cc_count", "nri_flag", "scheme_risk", "kyc_compliant", "rural_branch",
+    ),
     "branch_context": (
-        "accounts_per_employee branch_type_urban branch_type_semiurban branch_type_rural log_branch_turnover "
-        "log_branch_asset_size"),
+        "accounts_per_employee", "branch_type_urban", "branch_type_semiurban", "branch_type_rural",
+        "log_branch_turnover", "log_branch_asset_size",
+    ),
     "anchored_windows": (
-        "w30_txn_count w90_txn_count w30_near_zero_count w90_near_zero_count w90_large_credit_count "
-        "w90_txn_concentration w30_txn_concentration w90_credit_concentration w90_near_zero_rate "
-        "w30_near_zero_rate w90_near_zero_uplift w90_activity_concentration w90_avg_credit_ratio "
-        "w90_credit_zscore w30_w90_acceleration"),
+        "w30_txn_count", "w90_txn_count", "w30_near_zero_count", "w90_near_zero_count", "w90_large_credit_count",
+        "w90_txn_concentration", "w30_txn_concentration", "w90_credit_concentration", "w90_near_zero_rate",
+        "w30_near_zero_rate", "w90_near_zero_uplift", "w90_activity_concentration", "w90_avg_credit_ratio",
+        "w90_credit_zscore", "w30_w90_acceleration",
+    ),
     "fund_residence": (
-        "n_credit_debit_pairs median_residence_hours p25_residence_hours avg_residence_hours "
-        "min_residence_hours same_day_drain_count same_day_drain_rate drain_rate_1h drain_rate_6h "
-        "drain_rate_24h avg_post_credit_drawdown large_credit_to_zero_rate"),
+        "n_credit_debit_pairs", "median_residence_hours", "p25_residence_hours", "avg_residence_hours",
+        "min_residence_hours", "same_day_drain_count", "same_day_drain_rate", "drain_rate_1h", "drain_rate_6h",
+        "drain_rate_24h", "avg_post_credit_drawdown", "large_credit_to_zero_rate",
+    ),
     "counterparty_dynamics": (
-        "new_cp_30d new_cp_30d_rate w30_cp_concentration w90_cp_concentration top1_cp_share "
-        "unique_cp_branches top_branch_share bidirectional_cp_count bidirectional_cp_rate "
-        "outgoing_unique_cp incoming_unique_cp outgoing_incoming_cp_ratio"),
+        "new_cp_30d", "new_cp_30d_rate", "w30_cp_concentration", "w90_cp_concentration", "top1_cp_share",
+        "unique_cp_branches", "top_branch_share", "bidirectional_cp_count", "bidirectional_cp_rate",
+        "outgoing_unique_cp", "incoming_unique_cp", "outgoing_incoming_cp_ratio",
+    ),
     "dormancy": (
-        "max_inactivity_gap gaps_over_30d gaps_over_60d gaps_over_90d pre_gap_activity_days "
-        "post_gap_activity_days reactivation_volume burst_ratio_after_gap"),
+        "max_inactivity_gap", "gaps_over_30d", "gaps_over_60d", "gaps_over_90d", "pre_gap_activity_days",
+        "post_gap_activity_days", "reactivation_volume", "burst_ratio_after_gap",
+    ),
     "velocity": (
-        "max_daily_txns burst_count inter_txn_gap_p10 inter_txn_gap_p50 inter_txn_gap_p90 gap_cv "
-        "max_hourly_txns"),
+        "max_daily_txns", "burst_count", "inter_txn_gap_p10", "inter_txn_gap_p50", "inter_txn_gap_p90", "gap_cv",
+        "max_hourly_txns",
+    ),
     "digital_products": (
-        "digital_banking_score has_credit_card has_fastag product_diversity has_multiple_products "
-        "address_update_age_days passbook_update_age_days joint_account_flag"),
+        "digital_banking_score", "has_credit_card", "has_fastag", "product_diversity", "has_multiple_products",
+        "address_update_age_days", "passbook_update_age_days", "joint_account_flag",
+    ),
     "location": (
-        "unique_location_count txns_with_location max_distance_km_approx location_entropy "
-        "impossible_travel_flag atm_deposit_channel_flag"),
+        "unique_location_count", "txns_with_location", "max_distance_km_approx", "location_entropy",
+        "impossible_travel_flag", "atm_deposit_channel_flag",
+    ),
 }
-BEHAVIOURAL_FEATURES = tuple(name for names in FEATURES_BY_OPERATOR.values() for name in names.split())
+BEHAVIOURAL_FEATURES = tuple(name for names in FEATURES_BY_OPERATOR.values() for name in names)
 ENCODED_FEATURE = "risky_mcc_share"
 ALL_FEATURES = BEHAVIOURAL_FEATURES + (ENCODED_FEATURE,)
