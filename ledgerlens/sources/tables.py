@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ledgerlens.session import stage
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """One parquet table; a given schema fixes names and types at the boundary."""
@@ -80,9 +82,10 @@ def duplicate_rows(rows: DataFrame) -> DataFrame:
 
 
 def _groups(digests: DataFrame) -> DataFrame:
-    return (
-        digests.groupBy("digest")
-        .agg(F.sort_array(F.collect_set("path")).alias("paths"), F.count("*").alias("files"))
-        .where(F.col("files") > 1)
-        .select("files", "paths")
-    )
+    """digest, files and path: one row per file that shares its digest with ``files`` - 1 others.
+
+    Digests are written once, so no file is read twice, and no list of paths is gathered in one row.
+    """
+    found = stage(digests)
+    again = found.groupBy("digest").agg(F.count("*").alias("files")).where("files > 1")
+    return found.join(again, "digest").select("digest", "files", "path")

@@ -136,10 +136,10 @@ def test_duplicate_files(spark, tmp_path):
     for name, text in contents.items():
         (tmp_path / f"{name}.csv").write_text(text)
     same = tables.duplicate_bytes(spark, f"{tmp_path}/*.csv").collect()
-    assert [sorted(p[-5] for p in r.paths) for r in same] == [["a", "c"]]
+    assert sorted((r.path[-5], r.files) for r in same) == [("a", 2), ("c", 2)]
     rows = spark.read.schema("id string, v string").option("header", True).csv(f"{tmp_path}/*.csv")
     alike = tables.duplicate_rows(rows).collect()
-    assert [sorted(p[-5] for p in r.paths) for r in alike] == [["a", "b", "c"]]
+    assert sorted((r.path[-5], r.files) for r in alike) == [("a", 3), ("b", 3), ("c", 3)] and len({r.digest for r in alike}) == 1
 
 
 def test_inventory_counts_files_and_rows(spark, tmp_path):
