@@ -36,15 +36,20 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def numbered(docs: DataFrame, *columns: str) -> DataFrame:
-    """The named columns and ``_row``, a number of the row's own.
+def with_numbers(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns and ``_row``, a number of the row's own, for a plan that writes it down.
 
-    The number is the place in the scan: a repeated scan of stored files gives the same numbers, so a task that is run again after
-    an executor was lost does too. ``docs`` should therefore be a stored table, as every pipeline stage's input is.
+    The number is the place in this scan. A later scan can split the same files differently (by the number of cores, for one) and
+    would number the rows anew, so whatever is joined on ``_row`` has to come from one stored table.
     """
     return docs.select(*columns, F.monotonically_increasing_id().alias("_row"))
 
 
+def numbered(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns and ``_row``, written once: every use of the result reads the same numbers."""
+    return kept(with_numbers(docs, *columns), "numbered")
+
+
 def fields(df: DataFrame, keep: Iterable[str], more: str) -> StructType:
     """Schema of the columns ``keep`` of a frame and of further ones in SQL notation."""
     return StructType([df.schema[name] for name in keep] + StructType.fromDDL(more).fields)
@@ -96,4 +101,4 @@ def words(text: Column) -> Column:
 
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder once and read it back."""
-    return stage_table(df, name)
+    return stage_table(df, name, compression="zstd")

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlens.llm.frames import WORD, kept, numbered, packed, with_text
+from ledgerlens.llm.frames import WORD, kept, numbered, packed, with_numbers, with_text
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -28,11 +28,10 @@ SLICES = 4096
 SEED = "mix-1"
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, row number and size in words."""
+def sizes(rows: DataFrame) -> DataFrame:
+    """doc_id, source, row number and size in words of numbered rows."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return numbered(docs, "doc_id", "source", "text").select(
-        "_row", "doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"))
+    return rows.select("_row", "doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"))
 
 
 def targets(source_sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
@@ -112,7 +111,12 @@ def pareto_mix(sized: DataFrame, source_targets: DataFrame, seed: str = SEED, we
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, max_copies: int = MAX_COPIES,
         seed: str = SEED) -> DataFrame:
     """_row, doc_id, source, size, source_size, target, copies and taken of every document."""
-    sized = kept(sizes(docs), "mix-sizes")
+    return _mix_rows(with_numbers(docs, "doc_id", "source", "text"), weights, share, max_copies, seed)
+
+
+def _mix_rows(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, max_copies: int = MAX_COPIES,
+              seed: str = SEED) -> DataFrame:
+    sized = kept(sizes(rows), "mix-sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     return pareto_mix(sized, kept(targets(totals, weights, share, max_copies), "mix-targets"), seed, max_copies=max_copies)
 
@@ -120,8 +124,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The documents of the mix with their own columns, each repeated as often as the mix takes it."""
     others = F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"])
-    whole = packed(numbered(docs.select(others.alias("_doc"), "text"), "_doc", "text"), "_row", "_doc")
-    chosen = mix(docs, **settings).where("copies > 0").select("_row", "copies")
-    taken = with_text(whole.join(chosen, "_row"), "_doc", "copies")
+    rows = numbered(docs.select(others.alias("_doc"), "doc_id", "source", "text"), "_doc", "doc_id", "source", "text")
+    chosen = _mix_rows(rows, **settings).where("copies > 0").select("_row", "copies")
+    taken = with_text(packed(rows, "_row", "_doc").join(chosen, "_row"), "_doc", "copies")
     return taken.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
         *[F.col("text") if name == "text" else F.col(f"_doc.`{name}`") for name in docs.columns])

@@ -198,7 +198,11 @@ def _crowded_edges(rows: DataFrame, texts: DataFrame, k: int) -> DataFrame:
 
 def similar_groups(docs: DataFrame, k: int = K) -> DataFrame:
     """_row, doc_id, n_shingles, ``component_id`` (smallest doc_id of the component) and ``head``, the row that stands for it."""
-    texts = numbered(docs, "doc_id", "text")
+    return _similar_rows(numbered(docs, "doc_id", "text"), k)
+
+
+def _similar_rows(texts: DataFrame, k: int) -> DataFrame:
+    """``similar_groups`` of a stored table of numbered rows."""
     sketched = kept(sketches(texts, k), "sketches")
     full = sketched.where("n > 0")
     nodes = kept(full.groupBy("sign", "n").agg(
@@ -257,8 +261,8 @@ def similar_groups(docs: DataFrame, k: int = K) -> DataFrame:
 
 def one_of_each(docs: DataFrame, k: int = K) -> DataFrame:
     """The documents with their own columns, of each group of similar ones the one with the smallest doc_id."""
-    heads = similar_groups(docs, k).where("_row = head").select("_row")
     others = F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"])
-    whole = packed(numbered(docs.select(others.alias("_doc"), "text"), "_doc", "text"), "_row", "_doc")
-    left = with_text(whole.join(heads, "_row", "left_semi"), "_doc")
+    rows = numbered(docs.select(others.alias("_doc"), "doc_id", "text"), "_doc", "doc_id", "text")
+    heads = _similar_rows(rows, k).where("_row = head").select("_row")
+    left = with_text(packed(rows, "_row", "_doc").join(heads, "_row", "left_semi"), "_doc")
     return left.select(*[F.col("text") if name == "text" else F.col(f"_doc.`{name}`") for name in docs.columns])

@@ -233,7 +233,7 @@ def spread(found: DataFrame, kind: Kind, keep_first: bool) -> DataFrame:
 def marked(docs: DataFrame, kind: Kind, settle: Settle, keep_first: bool, limit: int) -> DataFrame:
     """The columns of ``docs``, its text packed, and ``marks``: intervals (first, length) of the window starts that are to be removed.
 
-    ``docs`` has _row, doc_id and text, and may have more. ``keep_first`` leaves the earliest occurrence of every repeated window unmarked.
+    ``docs`` is a stored table with _row, doc_id and text, and may have more. ``keep_first`` leaves the earliest occurrence of every repeated window unmarked.
     """
     runs = kept(anchors(docs, kind), "anchors")
     again = kept(runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "repeated-anchors")

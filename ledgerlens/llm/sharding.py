@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.ranks import global_rank
-from ledgerlens.llm.frames import kept, numbered
+from ledgerlens.llm.frames import kept, with_numbers
 
 SHARDS = 24
 BITS = 10
@@ -96,7 +96,7 @@ def hilbert_shards(df: DataFrame, dims: Sequence[Column], order: Sequence[Column
 def shard_documents(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """Shard documents by source, language and size."""
     text = F.col("text")
-    narrow = kept(numbered(docs, "doc_id", "text", "lang", "source").select(
+    narrow = kept(with_numbers(docs, "doc_id", "text", "lang", "source").select(
         "_row", "doc_id", "lang", "source",
         (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("bigint").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).cast("bigint").alias("text_crc32")), "shard-narrow")

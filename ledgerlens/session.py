@@ -66,11 +66,11 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
     For inputs that many operators scan: unlike a checkpoint, later scans read only the columns they need.
     """
     path = f"{stage_folder(df.sparkSession)}/ledgerlens-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import brute
 from conftest import LONG, ROWS
-from ledgerlens.llm import bpe, extract, licenses, mixing, ngrams, quality, repeats, sharding, simhash, substrings, suffixes
+from ledgerlens.llm import bpe, extract, frames, licenses, mixing, ngrams, quality, repeats, sharding, simhash, substrings, suffixes
 from ledgerlens.llm.components import components
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -239,6 +239,43 @@ def test_covered_windows():
     assert repeats.covered(marks, 8, 3).tolist() == [False, True, True, True, True, False, False, False]
 
 
+# Row numbers
+
+@pytest.fixture
+def restless(spark, small, tmp_path, monkeypatch):
+    """The smallest table in files whose splits differ between any two stages, as with cores that come and go."""
+    path, name, before = str(tmp_path / "documents"), "spark.sql.files.maxPartitionBytes", {}
+    small[1].repartition(3).write.option("parquet.block.size", 1024).option("parquet.page.size", 256).option(
+        "parquet.block.size.row.check.min", 1).option("parquet.page.size.row.check.min", 1).parquet(path)
+    before = {key: spark.conf.get(key) for key in (name, "spark.sql.files.openCostInBytes")}
+    sizes = iter(("1k", "128m", "3k", "40k") * 100)
+    stored = frames.stage_table
+
+    def write(df, label, **settings):
+        out = stored(df, label, **settings)
+        spark.conf.set(name, next(sizes))
+        return out
+
+    monkeypatch.setattr(frames, "stage_table", write)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set(name, "7k")
+    yield spark.read.parquet(path)
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_rows_keep_their_numbers(restless, small):
+    rows, _ = small
+    got = ngrams.similar_groups(restless)
+    assert listed(got, "doc_id", "n_shingles", "component_id") == ordered(brute.groups(rows))
+    left = {(r.doc_id, r.text) for r in ngrams.one_of_each(restless).collect()}
+    assert left == {(d, t) for (d, t) in rows if d in {d for d, _, c in brute.groups(rows) if d == c}}
+    assert listed(suffixes.without_repeats(restless), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == ordered(brute.repeats(rows))
+    assert listed(substrings.without_repeats(restless), "doc_id", "n_words", "n_removed", "kept") == ordered(brute.substrings(rows))
+    taken = {r.doc_id: r.copies for r in mixing.mix(restless).collect()}
+    assert listed(mixing.mixed(restless), "doc_id", "text") == ordered((d, t) for d, t in rows for _ in range(taken[d]))
+
+
 # Fingerprints
 
 def fingerprint(text):
