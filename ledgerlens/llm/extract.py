@@ -6,6 +6,9 @@ for links: ``C/T * log_b(C/LC * T/LT)`` with base ``b = ln(C/(C-LC) * LC + LCb/C
 node with the largest sum of child densities is the core of the article; the smallest density on its path to the body is the
 threshold that other parts of the body must reach. An article or main element around the core is taken as a whole.
 
+Names (class, id) leave elements out, but never an article or main. Outside of articles a part of a name is enough, unless an article or main lies inside;
+inside an article a whole class token or id must be such a name, ids of headings say nothing, and a named section goes only if most of it is links.
+
 Defined cases: null, empty or tagless pages (a tagless page is one block); unclosed, misnested and cut-off tags; very deep trees (no recursion);
 of equal density sums the first in page order; other columns and repeated rows do not matter; an empty table gives an empty table.
 """
@@ -33,43 +36,76 @@ SAME_KIND = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
              "option": ({"option"}, {"select"})}
 FURNITURE_TAGS = frozenset("nav footer aside form button select dialog menu label input head".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-FURNITURE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adv|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|"
+_NAMES = (
+    r"(?:ads?|advert\w*|adv|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|"
     r"overlay|subscri\w+|newsletter|paywall|side-?bar|widget|nav\w*|menu|bread-?crumbs?|footer|header|masthead|toolbar|pagination|"
-    r"pager|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|replies|reply|discussion|login|signup)(?:$|[\s_-])")
+    r"pager|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|replies|reply|discussion|login|signup)")
+FURNITURE_NAMES = re.compile(rf"(?:^|[\s_-]){_NAMES}(?:$|[\s_-])")
+# A whole class token or id made of such names and of words for boxes; one other word in it (comments-open, related-work) makes it another name.
+_BOXES = r"(?:areas?|bar|blocks?|box|buttons?|container|icons?|inner|links?|list|posts?|section|slot|wrap(?:per)?)"
+WHOLE_NAME = re.compile(rf"(?:{_BOXES}[_-]+)*{_NAMES}(?:[_-]+(?:{_NAMES}|{_BOXES}))*")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b(?:(?>[^>\"']+)|\"[^\"]*\"|'[^']*'|[\"'])*?>.*?(?:</(?P=raw)\s*>|\Z)|"
     r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:(?>[^>\"']+)|\"[^\"]*\"|'[^']*')*+)>|"
     r"<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
-NAMES = re.compile(r"(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+NAMES = re.compile(r"(?<![\w-])(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 ROLE = re.compile(r"role\s*=\s*[\"']?([\w-]+)", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 BODY_ITEM = re.compile(r"itemprop\s*=\s*[\"']?articleBody", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "skip", "whole", "within", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "kids", "skip", "loose", "doubtful", "whole", "within", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.kids = tag, parent, []
         self.skip = self.whole = False
+        self.loose = False  # left out for a part of a name only, until an article is found inside
+        self.doubtful = False  # a named section of an article, for its links to decide
         self.within = parent is not None and (parent.whole or parent.within)  # of an article
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _furniture(tag: str, attrs: str, in_article: bool) -> bool:
-    if tag in FURNITURE_TAGS or (tag == "header" and not in_article):
+def _furniture(tag: str, attrs: str) -> bool:
+    """Left out whatever its names are."""
+    if tag in FURNITURE_TAGS:
         return True
     if not attrs or tag in ("html", "body", "article", "main"):
-        return bool(attrs) and tag == "article" and bool(_named(attrs))
+        return False
     role = ROLE.search(attrs)
-    return bool((role and role[1].lower() in FURNITURE_ROLES) or HIDDEN.search(attrs) or _named(attrs))
-
-
-def _named(attrs: str) -> bool:
-    return any(FURNITURE_NAMES.search((a or b or c).lower()) for a, b, c in NAMES.findall(attrs))
+    return bool((role and role[1].lower() in FURNITURE_ROLES) or HIDDEN.search(attrs))
+
+
+def _mark(node: Node, attrs: str) -> None:
+    """Whether an element is left out. No article or main is for its names."""
+    tag = node.tag
+    never = _furniture(tag, attrs) or (tag == "header" and not node.within)
+    node.skip = node.parent.skip or never
+    node.loose = node.parent.loose and not never
+    if node.skip and not node.loose or not attrs or tag in ("html", "body", "article", "main"):
+        return
+    names = [(kind.lower(), (a or b or c).lower()) for kind, a, b, c in NAMES.findall(attrs)]
+    if node.within:
+        names = [(kind, token) for kind, value in names for token in value.split()]
+        if tag == "section" or ("class", "section") in names:
+            node.doubtful = any(WHOLE_NAME.fullmatch(token) for _, token in names)
+        elif any(WHOLE_NAME.fullmatch(token) for kind, token in names if kind == "class" or tag not in HEADINGS):
+            node.skip, node.loose = True, False
+    elif any(FURNITURE_NAMES.search(value) for _, value in names):
+        whole = any(WHOLE_NAME.fullmatch(token) for _, value in names for token in value.split())
+        node.loose = not whole and (not node.skip or node.loose)
+        node.skip = True
+
+
+def _open(node: Node) -> None:
+    """An article or main in elements that are left out for a part of a name: these are page layout."""
+    up = node
+    while up is not None and up.loose:
+        up.skip = up.loose = False
+        up = up.parent
 
 
 def parse(page: str) -> list[Node]:
@@ -99,7 +135,9 @@ def parse(page: str) -> list[Node]:
         node = Node(tag, here)
         attrs = m["attrs"] or m["attrs2"] or ""
         node.whole = tag in ("article", "main") or (bool(attrs) and bool(BODY_ITEM.search(attrs)))
-        node.skip = here.skip or _furniture(tag, attrs, node.within)
+        _mark(node, attrs)
+        if node.loose and tag in ("article", "main"):
+            _open(node)
         here.kids.append(node)
         nodes.append(node)
         if tag not in VOID and not attrs.endswith("/"):
@@ -139,6 +177,9 @@ def measure(nodes: list[Node]) -> Node:
                 node.link_tags += kid.link_tags + (kid.tag == "a")
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.tags
+        node.skip = node.doubtful and 2 * node.link_chars > node.chars
+    for node in nodes:
+        node.skip = node.skip or (node.parent is not None and node.parent.skip)
     share = body.link_chars / max(body.chars, 1)
     for node in nodes:
         c, lc, t, lt = node.chars, node.link_chars, max(node.tags, 1), max(node.link_tags, 1)

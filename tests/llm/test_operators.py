@@ -51,6 +51,24 @@ def test_main_text(spark, nothing):
     assert extract.extract(pages.limit(0)).count() == 0
 
 
+BODY = "<p>" + "A paragraph of the article itself, with enough words to be dense. " * 5 + "</p>"
+
+
+@pytest.mark.parametrize("name", ["post comments-open", "post category-social", "post tag-navigation", "has-sidebar", "comment"])
+def test_articles_are_not_left_out_by_name(name):
+    text = " ".join(BODY[3:-4].split())
+    assert extract.main_text(f'<body><div class="sidebar">{BODY}</div><article class="{name}">{BODY}</article></body>') == text
+    assert extract.main_text(f'<body><div class="layout has-sidebar"><div class="inner"><main id="{name}">{BODY}</main></div></div></body>') == text
+
+
+def test_names_inside_an_article():
+    page = (f'<body><article><header class="entry-header"><h1>Title</h1></header>{BODY}<h2 id="related-work">Related work</h2>{BODY}'
+            f'<section id="discussion"><h2 id="discussion">Discussion</h2>{BODY}</section><div class="related-posts"><p>Read on</p></div>'
+            '<section class="related"><ul><li><a href=a>One more</a><li><a href=b>Another</a></ul></section><div class="ad">Buy</div></article></body>')
+    text = " ".join(BODY[3:-4].split())
+    assert extract.main_text(page).split("\n\n") == ["Title", text, "Related work", text, "Discussion", text]
+
+
 # Mixing
 
 def test_mix_reaches_targets(spark, small):
