@@ -5,8 +5,12 @@ kept, and each gap between neighbouring anchors is aligned in the same way, afte
 and after the last anchor reach no further into the text than the template's own remaining words, so a notice in a
 very long text costs no more than in a short one. Coverage is the share of the template's words that are matched.
 
+A license may stand in a text several times, and then no word of it may be unique in the whole text. So a template is also aligned with stretches of the text, one
+around each place where it can stand: a copy with the wanted coverage lacks few enough of the template's words that one of its rarest in this text must
+be there, which gives the place. The best alignment counts.
+
 A template is only aligned if the text can reach the wanted coverage at all: each distinct template word the text lacks costs at least
-one word.
+one word, and so with each stretch.
 
 Words are runs of a-z and 0-9 of the lower-cased text. Defined cases: null and empty texts have no license; of equal coverages the longer
 template wins, then the name in order; a text may hold several licenses, all are listed; nulls in other columns, extra columns and
@@ -15,6 +19,7 @@ repeated rows change nothing; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -139,8 +144,44 @@ class Scanner:
         self.coverage = coverage
         self.templates = {name: WORDS.findall(text.lower()) for name, text in templates.items()}
         self.distinct = {name: set(words) for name, words in self.templates.items()}
+        self.bags = {name: Counter(words) for name, words in self.templates.items()}
         self.vocabulary = set().union(*self.distinct.values()) if templates else set()
 
+    def starts(self, name: str, places: Mapping[str, list[int]], spare: int) -> list[int]:
+        """Places in the text where the template can begin, one of each run of places at most ``spare`` apart.
+
+        A copy with the wanted coverage lacks fewer template words than the seeds are, so it holds a seed.
+        """
+        template = self.templates[name]
+        seeds = sorted(range(len(template)), key=lambda i: len(places.get(template[i], ())))[:self.missing(name) + 1]
+        out: list[int] = []
+        for start in sorted({j - i for i in seeds for j in places.get(template[i], ())}):
+            if not out or start - out[-1] > spare:
+                out.append(start)
+        return out
+
+    def missing(self, name: str) -> int:
+        """How many words of the template a copy may lack."""
+        size = len(self.templates[name])
+        return size - math.ceil(self.coverage * size)
+
+    def best(self, name: str, words: Sequence[str], places: Mapping[str, list[int]]) -> list[tuple[int, int]]:
+        """The pairs of the alignment that matches most, of equal ones the one of the fewest text words, then the first."""
+        template = self.templates[name]
+        best = align(template, words, places)
+        for spare in (len(template) // 8, len(template) // 2):
+            for start in self.starts(name, places, spare // 2):
+                if len(best) == len(template) == best[-1][1] - best[0][1] + 1:
+                    return best
+                a, b = max(0, start - spare), max(0, min(len(words), start + len(template) + spare))
+                stretch = words[a:b]
+                if (Counter(stretch) & self.bags[name]).total() < max(len(best), self.coverage * len(template)):
+                    continue
+                pairs = [(i, j + a) for i, j in align(template, stretch)]
+                if pairs and (-len(pairs), pairs[-1][1] - pairs[0][1]) < (-len(best), best[-1][1] - best[0][1] if best else 0):
+                    best = pairs
+        return best
+
     def scan(self, text: str | None) -> tuple[int, list[tuple[str, float, int, int, int]]]:
         """Number of words, and (name, coverage, matched words, first and last word) of every license found, the best first."""
         words = WORDS.findall(text.lower()) if text else []
@@ -156,7 +197,7 @@ class Scanner:
         found = []
         for name in hopeful:
             template = self.templates[name]
-            pairs = align(template, words, places)
+            pairs = self.best(name, words, places)
             if len(pairs) >= self.coverage * len(template):
                 found.append((name, len(pairs) / len(template), len(pairs), pairs[0][1], pairs[-1][1]))
         return len(words), sorted(found, key=lambda f: (-f[1], -f[2], f[0]))

@@ -209,6 +209,22 @@ def test_license_scan(spark, edge, nothing):
     assert licenses.license_scan(edge).where("license is not null").count() == 0 and licenses.license_scan(nothing).count() == 0
 
 
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+@pytest.mark.parametrize("times", [2, 3])
+@pytest.mark.parametrize("between", ["", " code of the software and its license, version 1, under the terms " * 40])
+def test_a_license_that_stands_several_times(name, times, between):
+    text = licenses.TEMPLATES[name]
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
+    size = len(scanner.templates[name])
+    found = {f[0]: f[1:] for f in scanner.scan("start " + between.join([f" {text} "] * times))[1]}
+    assert found[name][0] == 1.0 and found[name][3] - found[name][2] == size - 1
+    # Every eighth word of each copy is another one.
+    altered = [" ".join("other" if i % 8 == 3 else w for i, w in enumerate(scanner.templates[name])) for _ in range(times)]
+    found = {f[0]: f[1:] for f in scanner.scan("start " + f" {between} ".join(altered))[1]}
+    kept = sum(i % 8 != 3 for i in range(size))
+    assert size < 20 or found[name][1] >= kept
+
+
 @given(st.lists(st.integers(0, 30), max_size=9, unique=True))
 def test_increasing_is_longest(places):
     line = [places[i] for i in licenses.increasing(places)]
