@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.catalog.matrix import SMALL, _small
+from ledgerlens.catalog.matrix import _dimensions
 from ledgerlens.catalog.registry import query
-from ledgerlens.operators import assemble, blend, decision, encoding, members, metrics
-from ledgerlens.schema import FOLDS
+from ledgerlens.operators import blend, decision, encoding, members, metrics
+from ledgerlens.plans.features import build_features
+from ledgerlens.schema import BEHAVIOURAL_FEATURES, FOLDS
+from ledgerlens.session import stage_table
 
 # ---------------------------------------------------------------- Y1-Y4
 FOLD_ROWS = "\nUNION ALL ".join(
@@ -214,8 +216,15 @@ def _(d):
 
 
 # ---------------------------------------------------------------- models: rows only
+def _features(d):
+    """The whole feature matrix, stored once per application."""
+    if "model_matrix" not in d.__dict__:
+        d.__dict__["model_matrix"] = stage_table(build_features(d.tx, d.ext, _dimensions(d), hot=d.hot), "model-matrix")
+    return d.__dict__["model_matrix"]
+
+
 def _model_inputs(d):
-    features = assemble.impute(_small(d), SMALL)
+    features = _features(d)
     labelled = features.join(_dated(d), "account_id")
     test = features.join(d.test_accounts, "account_id", "left_semi")
     return labelled, test, encoding.code_counts(d.ledger)
@@ -224,30 +233,30 @@ def _model_inputs(d):
 @query("y5_train_members", "model trees:i")
 def _(d):
     labelled, _, counts = _model_inputs(d)
-    specs = members.small_specs()
+    specs = members.MEMBER_SPECS
     train = members.with_encoding(labelled, counts, encoding.risky_codes(counts, labelled))
-    models = members.train_members(train, SMALL, specs)
+    models = members.train_members(train, BEHAVIOURAL_FEATURES, specs)
     return d.spark.createDataFrame([(n, m.getNumTrees) for n, m in models.items()], "model string, trees int")
 
 
 @query("y6_oof_predictions", "account_id is_mule:i fold:i a:f b:f c:f x:f cat:f")
 def _(d):
     labelled, _, counts = _model_inputs(d)
-    return members.oof_predictions(labelled, counts, SMALL, members.small_specs())
+    return members.oof_predictions(labelled, counts, BEHAVIOURAL_FEATURES, members.MEMBER_SPECS)
 
 
 @query("y7_refit_and_score", "account_id a:f b:f c:f x:f cat:f")
 def _(d):
     labelled, test, counts = _model_inputs(d)
-    return members.refit_and_score(labelled, test, counts, SMALL, members.small_specs())[1]
+    return members.refit_and_score(labelled, test, counts, BEHAVIOURAL_FEATURES, members.MEMBER_SPECS)[1]
 
 
 @query("b_2_importance_table", "feature importance:f rank:i")
 def _(d):
     labelled, test, counts = _model_inputs(d)
-    specs = members.small_specs()
-    models, _ = members.refit_and_score(labelled, test, counts, SMALL, specs)
-    long = members.member_importances(models, SMALL, specs, labelled)
+    specs = members.MEMBER_SPECS
+    models, _ = members.refit_and_score(labelled, test, counts, BEHAVIOURAL_FEATURES, specs)
+    long = members.member_importances(models, BEHAVIOURAL_FEATURES, specs, labelled)
     return blend.importance_table(long, dict(zip(blend.MEMBERS, blend.BEST_F1_WEIGHTS)))
 
 

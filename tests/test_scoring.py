@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import assemble, audit, blend, encoding, members, metrics
+from ledgerlens.schema import BEHAVIOURAL_FEATURES
 from ledgerlens.sources import tables
 
 
@@ -177,3 +178,31 @@ def test_whole_scoring_plan(spark):
     assert len(sheet) == 60 and _auc([(sheet.is_mule[a], y) for a, y in truth.items()]) > 0.9
     assert got.importances.first().feature == "s"
     assert {r.model for r in got.report.collect()} == {"a", "c", "blend"}
+
+
+@pytest.mark.parametrize("name", ["y5_train_members", "y6_oof_predictions", "y7_refit_and_score", "b_2_importance_table"])
+def test_model_queries_take_the_published_members(monkeypatch, data, name):
+    """All features of the whole matrix, rounds and depths; the training itself is replaced."""
+    from ledgerlens.catalog import scoring
+    from ledgerlens.catalog.registry import REGISTRY
+
+    class Stop(Exception):
+        pass
+
+    def caught(*args):
+        raise Stop(args)
+
+    monkeypatch.setattr(scoring, "stage_table", lambda df, name: df)
+    monkeypatch.setattr(scoring, "build_features", lambda *_, **__: data.ids.select(
+        "account_id", *[F.lit(0.0).alias(c) for c in BEHAVIOURAL_FEATURES]))
+    for function in ("train_members", "oof_predictions", "refit_and_score"):
+        monkeypatch.setattr(members, function, caught)
+    data.__dict__.pop("model_matrix", None)
+    try:
+        with pytest.raises(Stop) as stopped:
+            REGISTRY[name].build(data)
+    finally:
+        data.__dict__.pop("model_matrix", None)
+    args = stopped.value.args[0]
+    assert args[-1] == members.MEMBER_SPECS and tuple(args[-2]) == tuple(BEHAVIOURAL_FEATURES)
+    assert set(BEHAVIOURAL_FEATURES) < set(args[0].columns)
