@@ -90,18 +90,29 @@ COPIES_SQL = """
 SELECT folder, 2 AS files FROM (VALUES ('a'), ('b')) AS copies (folder) WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey <= 1)"""
 
 
+PART_KEYS = 1000  # customer keys per file
+
+
+def _export(rows, path: str, order, own: bool = False) -> None:
+    """One CSV file per range of keys; an export of its own lacks one row of every range."""
+    kept = rows.where(F.col("c_custkey") % PART_KEYS != 1) if own else rows
+    parts = kept.withColumn("part", F.floor(F.col("c_custkey") / PART_KEYS)).repartition("part")
+    parts.sortWithinPartitions("part", order).write.partitionBy("part").option("header", True).csv(path)
+
+
 def _with_folder(found):
-    return found.withColumn("folder", F.regexp_extract("path", "/([abc])/[^/]*$", 1))
+    """One row per folder and number of equal files."""
+    return found.select(F.regexp_extract("path", "/([abc])/part=[^/]*/[^/]*$", 1).alias("folder"), "files").distinct()
 
 
 @query("s10_duplicate_files_bytes", "folder files:i", COPIES_SQL)
 def _(d):
     """Two copies of one export and one export of its own: the copies form one group."""
     root = _scratch(d, "copies")
-    rows = d.table("customer").select("c_custkey", "c_name").coalesce(1)
-    for name, frame in (("a", rows), ("b", rows), ("c", rows.where("c_custkey > 1"))):
-        frame.write.option("header", True).csv(f"{root}/{name}")
-    found = tables.duplicate_bytes(d.spark, f"{root}/*/*.csv")
+    rows = d.table("customer").select("c_custkey", "c_name")
+    for name in "abc":
+        _export(rows, f"{root}/{name}", F.col("c_custkey"), own=name == "c")
+    found = tables.duplicate_bytes(d.spark, f"{root}/*/*/*.csv")
     return _with_folder(found)
 
 
@@ -109,12 +120,10 @@ def _(d):
 def _(d):
     """The same rows in two different orders count as copies."""
     root = _scratch(d, "orders")
-    rows = d.table("customer").select("c_custkey", "c_name").repartition(1)
-    up = rows.sortWithinPartitions("c_custkey")
-    down = rows.sortWithinPartitions(F.desc("c_custkey"))
-    for name, frame in (("a", up), ("b", down), ("c", up.where("c_custkey > 1"))):
-        frame.write.option("header", True).csv(f"{root}/{name}")
-    read = d.spark.read.schema("c_custkey string, c_name string").option("header", True).csv(f"{root}/*")
+    rows = d.table("customer").select("c_custkey", "c_name")
+    for name in "abc":
+        _export(rows, f"{root}/{name}", F.desc("c_custkey") if name == "b" else F.col("c_custkey"), own=name == "c")
+    read = d.spark.read.schema("c_custkey string, c_name string").option("header", True).csv(f"{root}/*/*/*.csv")
     return _with_folder(tables.duplicate_rows(read))
 
 

@@ -143,6 +143,25 @@ def test_duplicate_files(spark, tmp_path):
     assert sorted((r.path[-5], r.files) for r in alike) == [("a", 3), ("b", 3), ("c", 3)] and len({r.digest for r in alike}) == 1
 
 
+def test_equal_bytes_in_blocks(spark, tmp_path):
+    lines = [f"line {i} é\n" for i in range(2000)]
+    swapped = [lines[1], lines[0], *lines[2:]]
+    late = [*lines[:-2], lines[-1], lines[-2]]
+    contents = {"a": lines, "b": lines, "c": swapped, "d": late, "e": late, "f": lines[:-1]}
+    for name, text in contents.items():
+        (tmp_path / f"{name}.csv").write_text("".join(text))
+    before = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.sources.binaryFile.maxLength")}
+    try:
+        for size in ("5k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")  # no file is read as one row
+            same = tables.duplicate_bytes(spark, f"{tmp_path}/*.csv").collect()
+            assert sorted((r.path[-5], r.files) for r in same) == [(x, 2) for x in "abde"] and len({r.digest for r in same}) == 2
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_inventory_counts_files_and_rows(spark, tmp_path):
     spark.range(10).repartition(3).write.parquet(f"{tmp_path}/batch-1")
     spark.range(5).repartition(1).write.parquet(f"{tmp_path}/batch-2")
