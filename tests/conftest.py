@@ -35,15 +35,6 @@ def data(spark):
     return data_for(spark, TESTDATA)
 
 
-def rows_by_key(df, key="account_id"):
-    """{key: {column: value}} of a small frame."""
-    out = {}
-    for row in df.collect():
-        assert row[key] not in out, f"two rows for {row[key]}"
-        out[row[key]] = row.asDict()
-    return out
-
-
 @pytest.fixture
 def ledger(spark):
     """Build a ledger from tuples (account, id, time, side, amount, balance) with NULL for everything else."""

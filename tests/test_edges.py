@@ -7,7 +7,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_by_key
+from frames_by_key import rows_by_key
 from ledgerlens.functions import columns as C
 from ledgerlens.functions.skew import HotKeys
 from ledgerlens.operators import (
