@@ -13,7 +13,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import brute
-from conftest import LONG, ROWS
+from corpus_rows import LONG, ROWS
 from ledgerlens.llm import bpe, extract, frames, licenses, mixing, ngrams, quality, repeats, sharding, simhash, substrings, suffixes
 from ledgerlens.llm.components import components
 
