@@ -8,7 +8,7 @@ import public_tokenizers
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import bpe, extract, licenses, mixing, ngrams, quality, sharding, simhash, substrings, suffixes
+from ledgerlens.llm import bpe, extract, licenses, mixing, multiindex, ngrams, quality, sharding, simhash, substrings, suffixes
 from ledgerlens.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,6 +175,12 @@ def op10_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query("op11_simhash_near")
+def op11_simhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.near_groups(table(spark, sf_dir, "documents")).withColumn(
+        "fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

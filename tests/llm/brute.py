@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import xxhash
+
 WORD = re.compile("[^ \t-\r]+")
 
 
@@ -69,6 +71,38 @@ def groups(rows, k=5):
     return [(doc, len(sets[i]), low[find(i)]) for i, (doc, _) in enumerate(rows)]
 
 
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def linked(rows, prints, near):
+    """Smallest id per row of the groups of prints that ``near`` links, ids being None last."""
+    up = {p: p for p in prints}
+
+    def find(a):
+        while up[a] != a:
+            a = up[a]
+        return a
+
+    different = sorted(up)
+    for i, a in enumerate(different):
+        for b in different[:i]:
+            if near(a, b):
+                up[find(a)] = find(b)
+    low = {}
+    for (doc, _), p in zip(rows, prints):
+        low[find(p)] = min([d for d in (low.get(find(p)), doc) if d is not None], default=None)
+    return [low[find(p)] for p in prints]
+
+
+def simhash(text, k=3):
+    """64 bits, one at a time."""
+    w = words(lowered(text))
+    terms = [" ".join(w[i:i + k]) for i in range(len(w) - k + 1)] if len(w) >= k else ([" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(t.encode(), 42) for t in terms]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
 def quality(text):
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
     w = words(text)
