@@ -8,7 +8,7 @@ import public_tokenizers
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import bpe, extract, licenses, mixing, multiindex, ngrams, quality, sharding, simhash, substrings, suffixes
+from ledgerlens.llm import bpe, extract, licenses, mixing, multiindex, ngrams, quality, resample, sharding, simhash, substrings, suffixes
 from ledgerlens.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,6 +181,52 @@ def op11_simhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+RESAMPLE_SQL = r"""
+WITH RECURSIVE steps AS (
+  SELECT i, 0 AS k, i AS c FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS c FROM steps WHERE k = 8
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark
+), f AS (
+  SELECT r, w, count(*) AS n FROM (SELECT r, unnest(w) AS w FROM d) GROUP BY r, w
+), h AS (
+  SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM f UNION SELECT w FROM b)
+), buckets AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))),
+    lambda a, y: xor(crc.c[(xor(a, y) & 255) + 1], a >> 8)), 4294967295) % 10000 AS bucket FROM h, crc
+), s AS (
+  SELECT bucket, sum(n) AS s FROM f JOIN buckets USING (w) GROUP BY bucket
+), t AS (
+  SELECT bucket, count(*) AS t FROM b JOIN buckets USING (w) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM s) + 10000)
+    / ((coalesce(s, 0) + 1)::DOUBLE * (coalesce((SELECT sum(t) FROM t), 0) + 10000))))::BIGINT AS gain FROM s FULL JOIN t USING (bucket)
+), weights AS (
+  SELECT r, sum(n)::BIGINT AS n_features, floor(sum(gain * n)::DOUBLE / sum(n))::BIGINT AS weight FROM f JOIN buckets USING (w) JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8) AS BIGINT) + 0.5e0) / 4294967296e0)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (r)
+), placed AS (
+  SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) END AS place,
+    count(*) FILTER (WHERE n_words >= 20) OVER () AS able FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * able // 100 THEN place END AS rank FROM placed
+"""
+
+
+@query("op12_importance_resampling", RESAMPLE_SQL)
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

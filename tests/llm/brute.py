@@ -1,7 +1,9 @@
 """Plain versions of the corpus operators for small inputs."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -103,6 +105,30 @@ def simhash(text, k=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def resampled(rows, target, most=1, buckets=10_000, seed=2024, least=20, percent=10):
+    """(doc_id, n_features, weight, score, rank) of rows (doc_id, text)."""
+    def features(text):
+        w = re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", lowered(text))
+        runs = [" ".join(w[i:i + n]) for n in range(1, most + 1) for i in range(len(w) - n + 1)]
+        return len(w), [zlib.crc32(run.encode()) % buckets for run in runs]
+
+    s, t = Counter(), Counter()
+    for _, text in rows:
+        s.update(features(text)[1])
+    for text in target:
+        t.update(features(text)[1])
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (sum(s.values()) + buckets) / ((s[b] + 1) * (sum(t.values()) + buckets)))) for b in range(buckets)]
+    out = []
+    for doc, text in rows:
+        n_words, found = features(text)
+        weight = sum(gain[b] for b in found) // len(found) if found else 0
+        h = int(hashlib.sha256(f"{seed}:{'null' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        out.append((n_words >= least, (doc, len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))))))
+    able = sorted((r for ok, r in out if ok), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1:3]))
+    draws = percent * len(able) // 100
+    return [(*r, i + 1 if i < draws else None) for i, r in enumerate(able)] + [(*r, None) for ok, r in out if not ok]
+
+
 def quality(text):
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
     w = words(text)
