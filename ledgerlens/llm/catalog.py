@@ -8,7 +8,7 @@ import public_tokenizers
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.llm import bpe, extract, licenses, mixing, multiindex, ngrams, quality, resample, sharding, simhash, substrings, suffixes
+from ledgerlens.llm import bpe, crosstokens, extract, licenses, mixing, multiindex, ngrams, quality, resample, sharding, simhash, substrings, suffixes
 from ledgerlens.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,6 +227,12 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_features", "weight", "score", "rank")
 
 
+@query("op13_cross_tokenizer")
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstokens.cross_alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
