@@ -230,33 +230,43 @@ def _model_inputs(d):
     return labelled, test, encoding.code_counts(d.ledger)
 
 
-@query("y5_train_members", "model trees:i")
+def _oof(d):
+    """Out-of-fold scores of the published members, once per application."""
+    if "oof" not in d.__dict__:
+        labelled, _, counts = _model_inputs(d)
+        d.__dict__["oof"] = stage_table(members.oof_predictions(labelled, counts, BEHAVIOURAL_FEATURES, members.MEMBER_SPECS), "oof")
+    return d.__dict__["oof"]
+
+
+def _refit(d):
+    """Stored nodes and test scores of the published members on the whole matrix, once per application."""
+    if "refit" not in d.__dict__:
+        labelled, test, counts = _model_inputs(d)
+        nodes, scores = members.refit_and_score(labelled, test, counts, BEHAVIOURAL_FEATURES, members.MEMBER_SPECS)
+        d.__dict__["refit"] = nodes, stage_table(scores, "test-scores")
+    return d.__dict__["refit"]
+
+
+@query("y5_train_members", "model tree:i node:i feature cut:f left_node:i right_node:i gain:f value:f")
 def _(d):
-    labelled, _, counts = _model_inputs(d)
-    specs = members.MEMBER_SPECS
-    train = members.with_encoding(labelled, counts, encoding.risky_codes(counts, labelled))
-    models = members.train_members(train, BEHAVIOURAL_FEATURES, specs)
-    return d.spark.createDataFrame([(n, m.getNumTrees) for n, m in models.items()], "model string, trees int")
+    return _refit(d)[0]
 
 
 @query("y6_oof_predictions", "account_id is_mule:i fold:i a:f b:f c:f x:f cat:f")
 def _(d):
-    labelled, _, counts = _model_inputs(d)
-    return members.oof_predictions(labelled, counts, BEHAVIOURAL_FEATURES, members.MEMBER_SPECS)
+    return _oof(d)
 
 
 @query("y7_refit_and_score", "account_id a:f b:f c:f x:f cat:f")
 def _(d):
-    labelled, test, counts = _model_inputs(d)
-    return members.refit_and_score(labelled, test, counts, BEHAVIOURAL_FEATURES, members.MEMBER_SPECS)[1]
+    return _refit(d)[1]
 
 
 @query("b_2_importance_table", "feature importance:f rank:i")
 def _(d):
-    labelled, test, counts = _model_inputs(d)
-    specs = members.MEMBER_SPECS
-    models, _ = members.refit_and_score(labelled, test, counts, BEHAVIOURAL_FEATURES, specs)
-    long = members.member_importances(models, BEHAVIOURAL_FEATURES, specs, labelled)
+    nodes, _ = _refit(d)
+    labelled, _, counts = _model_inputs(d)
+    long = members.member_importances(nodes, members.explained(labelled, counts), BEHAVIOURAL_FEATURES, members.MEMBER_SPECS)
     return blend.importance_table(long, dict(zip(blend.MEMBERS, blend.BEST_F1_WEIGHTS)))
 
 

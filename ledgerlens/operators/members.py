@@ -1,97 +1,238 @@
-"""Boosted-tree members on two feature views: training, out-of-fold scores, refit and scoring."""
+"""Boosted-tree members on two feature views: training, out-of-fold scores, refit, scoring and contributions (Y5-Y7, B-2).
+
+All fits are one Spark job. The labelled rows a fit may use are bounded by ``limit``; each fold's are binned once into byte codes and stored, and every
+(fold, member) is one partition that grows its trees from them. What comes out is a stored table of nodes; scoring and
+explaining read that table and no label.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
-from functools import reduce
+from collections.abc import Sequence
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from ledgerlens.operators.encoding import class_weight, risky_code_share, risky_codes, walk_forward_folds
-from ledgerlens.functions.ranks import with_single_row
+from ledgerlens.operators import boosting
+from ledgerlens.operators.blend import balanced_sample
+from ledgerlens.operators.encoding import risky_code_share, risky_codes, walk_forward_folds
+from ledgerlens.operators.trees import NODES, Forest
 from ledgerlens.schema import ENCODED_FEATURE, FOLDS
-from ledgerlens.session import stage
+from ledgerlens.session import importable, stage, stage_table
+
+MAX_LABELLED = 100_000  # labelled rows a fit may use; more are thinned by hash of the account, both classes alike
+NODES_PER_BATCH = 2_000
 
 
 @dataclass(frozen=True)
 class MemberSpec:
-    """One ensemble member. ``encoded`` members also see the fold-safe code share."""
+    """One ensemble member. ``encoded`` members also see the fold-safe code share.
+
+    ``row_every`` is the number of rounds between draws of ``row_share`` of the rows; 0 means never, the library default the reference run leaves
+    in place for a, b and c. ``stops`` ends the fit at the first round without a split.
+    """
 
     name: str
     rounds: int
-    depth: int
-    min_rows: int
     seed: int
     encoded: bool
+    leaves: int = 0
+    depth: int = 0
+    min_rows: int = 1
+    min_hessian: float = 1e-3
+    l1: float = 0.1
+    l2: float = 1.0
     rate: float = 0.05
     feature_share: float = 0.7
     row_share: float = 0.8
+    row_every: int = 0
+    stops: bool = False
+    symmetric: bool = False
+    noise: float = 0.0
+    temperature: float = 0.0
+    bins: int = boosting.BINS
 
 
-# Rounds, leaf limits, learning rate, sampling shares and seeds are the published settings of the reference run.
+# Rounds, leaves, depths, regularisation, learning rate, sampling shares and seeds are the published settings of the reference run.
 MEMBER_SPECS = (
-    MemberSpec("a", 500, 6, 100, 42, False),
-    MemberSpec("b", 500, 6, 100, 123, False),
-    MemberSpec("c", 400, 5, 150, 77, True),
-    MemberSpec("x", 600, 6, 10, 42, True),
-    MemberSpec("cat", 500, 6, 1, 42, True, feature_share=1.0),
+    MemberSpec("a", 500, 42, False, leaves=63, min_rows=100, stops=True),
+    MemberSpec("b", 500, 123, False, leaves=63, min_rows=100, stops=True),
+    MemberSpec("c", 400, 77, True, leaves=31, min_rows=150, stops=True),
+    MemberSpec("x", 600, 42, True, depth=6, min_hessian=10.0, row_every=1),
+    MemberSpec("cat", 500, 42, True, depth=6, l1=0.0, l2=5.0, feature_share=1.0, row_share=1.0, symmetric=True, noise=1.0,
+               temperature=0.5, bins=128),
 )
 
 
 def small_specs(rounds: int = 3, depth: int = 3) -> tuple[MemberSpec, ...]:
-    """The same members with few rounds, for small data."""
-    return tuple(replace(s, rounds=rounds, depth=depth, min_rows=min(s.min_rows, 2)) for s in MEMBER_SPECS)
+    """The same members with few rounds and small trees, for small data."""
+    return tuple(replace(s, rounds=rounds, depth=depth, min_rows=min(s.min_rows, 2), min_hessian=min(s.min_hessian, 0.1)) for s in MEMBER_SPECS)
 
 
 def _view(spec: MemberSpec, features: Sequence[str]) -> list[str]:
     return [*features, ENCODED_FEATURE] if spec.encoded else list(features)
 
 
-def _assembled(rows: DataFrame, specs: Sequence[MemberSpec], features: Sequence[str]) -> DataFrame:
-    """Add one vector column per view in use, so that members of one view share it."""
-    for encoded in sorted({s.encoded for s in specs}):
-        spec = next(s for s in specs if s.encoded == encoded)
-        rows = VectorAssembler(
-            inputCols=_view(spec, features), outputCol=f"view_{int(encoded)}", handleInvalid="keep").transform(rows)
-    return rows
-
-
-def train_members(
-    train: DataFrame, features: Sequence[str], specs: Sequence[MemberSpec] = MEMBER_SPECS,
-) -> dict[str, GBTClassificationModel]:
-    """Fit every member; positives are weighted by negatives per positive."""
-    weighted = with_single_row(train, class_weight(train).select("weight")).select(
-        "account_id", *features, *([ENCODED_FEATURE] if any(s.encoded for s in specs) else []),
-        F.col("is_mule").cast("double").alias("label"),
-        F.when(F.col("is_mule") == 1, F.coalesce("weight", F.lit(1.0))).otherwise(1.0).alias("weight"))
-    rows = stage(_assembled(weighted, specs, features).select("label", "weight", *sorted(
-        {f"view_{int(s.encoded)}" for s in specs})))
-    return {
-        s.name: GBTClassifier(
-            featuresCol=f"view_{int(s.encoded)}", labelCol="label", weightCol="weight", maxIter=s.rounds,
-            maxDepth=s.depth, minInstancesPerNode=s.min_rows, stepSize=s.rate, subsamplingRate=s.row_share,
-            featureSubsetStrategy=str(s.feature_share) if s.feature_share < 1 else "all", seed=s.seed,
-        ).fit(rows)
-        for s in specs
-    }
+def _columns(specs: Sequence[MemberSpec], features: Sequence[str]) -> list[str]:
+    """Features of all views; the encoded one is last, so that a view is a prefix."""
+    return [*features, ENCODED_FEATURE] if any(s.encoded for s in specs) else list(features)
+
+
+def labelled_sample(rows: DataFrame, limit: int = MAX_LABELLED, group: str = "fold", key: str = "account_id") -> DataFrame:
+    """All rows of groups up to ``limit``; of larger ones the share ``limit`` / rows, by hash of the key."""
+    sizes = rows.groupBy(group).agg((F.lit(float(limit)) / F.count("*")).alias("_share"))  # one row per fold
+    place = F.pmod(F.xxhash64(F.col(key), F.lit("labelled")), F.lit(1 << 30)) / float(1 << 30)
+    return rows.join(F.broadcast(sizes), group).where(place < F.col("_share")).drop("_share")
+
+
+def _matrix(frame: pd.DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Values as doubles; NULL and NaN are both missing."""
+    return np.column_stack([frame[c].to_numpy(dtype=float, na_value=np.nan) for c in columns]) if len(frame) else np.empty((0, len(columns)))
+
+
+def binned(train: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
+    """Codes of every row and, with a null account, the bin edges of its fold. A fold is one partition of bounded size."""
+    n_folds = int(train.agg(F.max("fold")).first()[0] or 0) + 1
+
+    def run(frames):
+        parts = list(frames)
+        rows = pd.concat(parts).sort_values("account_id", kind="stable") if parts else pd.DataFrame()
+        if rows.empty:
+            return
+        values = _matrix(rows, columns)
+        edges = [boosting.edges_of(values[:, i], bins) for i in range(len(columns))]
+        codes = np.column_stack([boosting.codes_of(values[:, i], e) for i, e in enumerate(edges)])
+        fold = int(rows.fold.iloc[0])
+        yield pd.DataFrame({"fold": [fold], "bins": [bins], "account_id": [None], "is_mule": [None], "weight": [None], "codes": [None],
+                            "edges": [[e.tolist() for e in edges]]})
+        for at in range(0, len(rows), 10_000):
+            part = rows.iloc[at:at + 10_000]
+            yield pd.DataFrame({
+                "fold": fold, "bins": bins, "account_id": part.account_id.to_numpy(), "is_mule": part.is_mule.to_numpy(float),
+                "weight": part.weight.to_numpy(float), "codes": [c.tobytes() for c in codes[at:at + 10_000]], "edges": None})
+
+    return train.select("fold", "account_id", "is_mule", "weight", *columns).repartitionById(n_folds, F.col("fold").cast("int")).mapInPandas(
+        run, "fold int, bins int, account_id string, is_mule double, weight double, codes binary, edges array<array<double>>")
+
+
+def node_rows(tree: boosting.Tree, number: int, names: Sequence[str], edges: Sequence[Sequence[float]]) -> list[tuple]:
+    """The nodes of a tree in the order of NODES without the model; cuts are the upper edges of their codes."""
+    return [
+        (number, node, names[f], float(edges[f][cut - 1]), bool(missing_left), left, right, gain, value, cover)
+        if left >= 0 else (number, node, None, None, None, None, None, gain, value, cover)
+        for node, (f, cut, missing_left, left, right, gain, value, cover) in enumerate(zip(
+            tree.feature, tree.cut, tree.missing_left, tree.left, tree.right, tree.gain, tree.value, tree.cover))]
+
+
+def fit_members(
+    train: DataFrame, features: Sequence[str], specs: Sequence[MemberSpec] = MEMBER_SPECS, limit: int = MAX_LABELLED,
+) -> DataFrame:
+    """The stored nodes (``fold`` and NODES) of every member of every fold of ``train``, which has account_id, fold, is_mule and the features.
+
+    Positives are weighted by negatives per positive of their fold. A fold without rows has no nodes.
+    """
+    columns = _columns(specs, features)
+    sample = stage(labelled_sample(train.select("fold", "account_id", "is_mule", *columns), limit))
+    balance = sample.groupBy("fold").agg(  # one row per fold
+        (F.count_if(F.col("is_mule") == 0) / F.nullif(F.count_if(F.col("is_mule") == 1), F.lit(0))).alias("_w"))
+    weighted = sample.join(F.broadcast(balance), "fold").withColumn(
+        "weight", F.when(F.col("is_mule") == 1, F.coalesce("_w", F.lit(1.0))).otherwise(1.0))
+    tables = [binned(weighted, columns, bins) for bins in sorted({s.bins for s in specs})]
+    coded = tables[0]
+    for table in tables[1:]:
+        coded = coded.unionByName(table)
+    coded = stage_table(coded, "binned")
+    folds = sorted(r.fold for r in coded.select("fold").distinct().collect())  # at most one entry per fold
+    slots = [(fold, spec) for fold in folds for spec in specs]
+    if not slots:
+        return coded.sparkSession.createDataFrame([], StructType.fromDDL(f"fold int, {NODES}"))
+    slot = F.explode(F.array(*[F.struct(F.lit(fold).alias("fold"), F.lit(spec.bins).alias("bins"), F.lit(i).alias("slot"))
+                               for i, (fold, spec) in enumerate(slots)]))
+    dealt = coded.withColumn("_s", slot).where("fold = _s.fold and bins = _s.bins").select(
+        F.col("_s.slot").alias("slot"), "account_id", "is_mule", "weight", "codes", "edges").repartitionById(len(slots), F.col("slot"))
+    plain = [(fold, asdict(spec)) for fold, spec in slots]
+
+    schema = f"fold int, {NODES}"
+    shape = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        parts = list(batches)
+        if not parts:
+            return
+        rows = pa.Table.from_batches(parts).to_pandas()
+        fold, spec = plain[int(rows.slot.iloc[0])]
+        spec = MemberSpec(**spec)
+        names = _view(spec, features)
+        edges = list(rows[rows.codes.isna()].edges.iloc[0])[:len(names)]
+        rows = rows[rows.codes.notna()].sort_values("account_id", kind="stable")
+        codes = np.frombuffer(b"".join(rows.codes), np.uint8).reshape(len(rows), len(columns))[:, :len(names)]
+        grow = boosting.symmetric if spec.symmetric else boosting.leaf_wise
+        grown = grow(codes, np.array([len(e) for e in edges]), rows.is_mule.to_numpy(), rows.weight.to_numpy(), spec,
+                     np.random.default_rng([spec.seed, fold]))
+        start = boosting.Tree()
+        start.add(next(grown), float(len(rows)))
+        rows = node_rows(start, -1, names, edges)
+        for number, tree in enumerate(grown):
+            rows += node_rows(tree, number, names, edges)
+            if len(rows) >= NODES_PER_BATCH:
+                yield batch_of(fold, spec.name, rows)
+                rows = []
+        if rows:
+            yield batch_of(fold, spec.name, rows)
+
+    def batch_of(fold: int, model: str, rows: list[tuple]) -> pa.RecordBatch:
+        columns = [[fold] * len(rows), [model] * len(rows), *zip(*rows)]
+        return pa.RecordBatch.from_arrays([pa.array(c, field.type) for c, field in zip(columns, shape)], schema=shape)
+
+    importable(train.sparkSession)
+    return stage_table(dealt.mapInArrow(run, schema), "nodes")
+
+
+def train_members(train: DataFrame, features: Sequence[str], specs: Sequence[MemberSpec] = MEMBER_SPECS, limit: int = MAX_LABELLED) -> DataFrame:
+    """The nodes of every member, fitted to all rows of ``train`` (up to ``limit``)."""
+    return fit_members(train.withColumn("fold", F.lit(0)), features, specs, limit).drop("fold")
+
+
+def _forests(nodes: DataFrame, specs: Sequence[MemberSpec], features: Sequence[str]):
+    """{fold: {member: Forest}} of a table of nodes, whose size the members' settings bound."""
+    whole = nodes.toPandas()
+    return {int(fold): {s.name: Forest(part[part.model == s.name], _view(s, features)) for s in specs if (part.model == s.name).any()}
+            for fold, part in whole.groupby("fold")}
 
 
 def score_members(
-    models: Mapping[str, GBTClassificationModel], rows: DataFrame, features: Sequence[str],
-    specs: Sequence[MemberSpec] = MEMBER_SPECS, keep: Sequence[str] = (),
+    nodes: DataFrame, rows: DataFrame, features: Sequence[str], specs: Sequence[MemberSpec] = MEMBER_SPECS, keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Positive-class probability of every member, one column each."""
-    out = _assembled(rows, specs, features)
-    for s in specs:
-        model = models[s.name].copy()
-        model.setFeaturesCol(f"view_{int(s.encoded)}").setProbabilityCol(f"_p_{s.name}")
-        model.setRawPredictionCol("").setPredictionCol("")
-        out = model.transform(out)
-    return out.select("account_id", *keep, *[vector_to_array(f"_p_{s.name}")[1].alias(s.name) for s in specs])
+    """Positive-class probability of every member, one column each, from stored nodes alone.
+
+    Where ``nodes`` has a ``fold``, so have the rows, and each row is scored by the members of its fold. NULL where there is no such member.
+    """
+    columns, by_fold = _columns(specs, features), "fold" in nodes.columns
+    spark = rows.sparkSession
+    importable(spark)
+    shared = spark.sparkContext.broadcast(_forests(nodes if by_fold else nodes.withColumn("fold", F.lit(0)), specs, features))
+    kept = list(dict.fromkeys(["account_id", *keep, *(["fold"] if by_fold else [])]))
+    chosen = rows.select(*kept, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)])
+
+    def run(batches):
+        for batch in batches:
+            x = np.column_stack([batch.column(f"_x{i}").to_numpy(zero_copy_only=False) for i in range(len(columns))]).astype(float)
+            folds = batch.column("fold").to_numpy(zero_copy_only=False) if by_fold else np.zeros(len(x), int)
+            scores = np.full((len(specs), len(x)), np.nan)
+            for fold, forests in shared.value.items():
+                own = np.flatnonzero(folds == fold)
+                for i, s in enumerate(specs):
+                    if len(own) and s.name in forests:
+                        scores[i, own] = boosting.sigmoid(forests[s.name].margin(x[own, :forests[s.name].n_features]))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), *(pa.array(v, mask=np.isnan(v)) for v in scores)], names=[*kept, *(s.name for s in specs)])
+
+    schema = StructType([chosen.schema[c] for c in kept] + StructType.fromDDL(", ".join(f"`{s.name}` double" for s in specs)).fields)
+    return chosen.mapInArrow(run, schema).select("account_id", *keep, *(s.name for s in specs))
 
 
 def with_encoding(rows: DataFrame, counts: DataFrame, codes: DataFrame) -> DataFrame:
@@ -104,36 +245,67 @@ def oof_predictions(
 ) -> DataFrame:
     """Scores of each validation row from models that saw only earlier accounts, encoding included.
 
-    ``labelled`` holds the features, ``is_mule`` and the date; rows outside every validation part are left out.
+    ``labelled`` holds the features, ``is_mule`` and the date; rows outside every validation part are left out. The members of all folds are
+    fitted in one job.
     """
     placed = stage(walk_forward_folds(labelled, date_col, folds))
-    usable = sorted(r.fold for r in placed.select("fold").distinct().collect())  # at most one entry per fold
-    scored = []
-    for fold in usable:
-        train = placed.where((F.col("fold") == fold) & (F.col("part") == "train"))
-        val = placed.where((F.col("fold") == fold) & (F.col("part") == "val"))
-        codes = stage(risky_codes(counts, train))
-        models = train_members(with_encoding(train, counts, codes), features, specs)
-        scored.append(score_members(
-            models, with_encoding(val, counts, codes), features, specs, keep=["is_mule", "fold"]))
-    return reduce(lambda left, right: left.unionByName(right), scored)
+    parts = []
+    for fold in sorted(r.fold for r in placed.select("fold").distinct().collect()):  # at most one entry per fold
+        own = placed.where(F.col("fold") == fold)
+        codes = stage(risky_codes(counts, own.where("part = 'train'")))
+        parts.append(with_encoding(own, counts, codes))
+    if not parts:
+        return placed.select("account_id", "is_mule", "fold", *[F.lit(None).cast("double").alias(s.name) for s in specs])
+    encoded = parts[0]
+    for part in parts[1:]:
+        encoded = encoded.unionByName(part)
+    encoded = stage_table(encoded, "encoded-folds")
+    nodes = fit_members(encoded.where("part = 'train'"), features, specs)
+    return score_members(nodes, encoded.where("part = 'val'"), features, specs, keep=["is_mule", "fold"])
 
 
 def refit_and_score(
     labelled: DataFrame, test: DataFrame, counts: DataFrame, features: Sequence[str],
     specs: Sequence[MemberSpec] = MEMBER_SPECS,
-) -> tuple[dict[str, GBTClassificationModel], DataFrame]:
-    """Encoding and models from all training rows, then test scores."""
+) -> tuple[DataFrame, DataFrame]:
+    """Encoding and stored nodes from all training rows, then test scores."""
     codes = stage(risky_codes(counts, labelled))
-    models = train_members(with_encoding(labelled, counts, codes), features, specs)
-    return models, score_members(models, with_encoding(test, counts, codes), features, specs)
+    nodes = train_members(with_encoding(labelled, counts, codes), features, specs)
+    return nodes, score_members(nodes, with_encoding(test, counts, codes), features, specs)
+
+
+def explained(labelled: DataFrame, counts: DataFrame, **sizes: int) -> DataFrame:
+    """The balanced sample (B-1) with the encoding of the refit, for explanations."""
+    return with_encoding(balanced_sample(labelled, **sizes), counts, stage(risky_codes(counts, labelled)))
+
+
+def contributions(
+    nodes: DataFrame, rows: DataFrame, features: Sequence[str], specs: Sequence[MemberSpec] = MEMBER_SPECS,
+) -> DataFrame:
+    """Shapley values of every member's margin: account_id, model, feature, contribution, from stored nodes alone."""
+    columns = _columns(specs, features)
+    spark = rows.sparkSession
+    importable(spark)
+    shared = spark.sparkContext.broadcast(_forests(nodes.withColumn("fold", F.lit(0)), specs, features).get(0, {}))
+    chosen = rows.select("account_id", *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)])
+    kind = chosen.schema["account_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            x = np.column_stack([batch.column(f"_x{i}").to_numpy(zero_copy_only=False) for i in range(len(columns))]).astype(float)
+            ids = batch.column("account_id")
+            for name, forest in shared.value.items():
+                shares = forest.contributions(x[:, :forest.n_features])
+                n = forest.n_features
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(np.repeat(np.arange(len(x)), n))), pa.array([name] * (n * len(x))), pa.array(columns[:n] * len(x)),
+                     pa.array(shares.ravel())], names=["account_id", "model", "feature", "contribution"])
+
+    return chosen.mapInArrow(run, f"account_id {kind}, model string, feature string, contribution double")
 
 
 def member_importances(
-    models: Mapping[str, GBTClassificationModel], features: Sequence[str], specs: Sequence[MemberSpec], like: DataFrame,
+    nodes: DataFrame, rows: DataFrame, features: Sequence[str], specs: Sequence[MemberSpec] = MEMBER_SPECS,
 ) -> DataFrame:
-    """B-2 input: (model, feature, importance), one row per model and feature."""
-    rows = [
-        (s.name, name, float(value)) for s in specs
-        for name, value in zip(_view(s, features), models[s.name].featureImportances.toArray())]
-    return like.sparkSession.createDataFrame(rows, "model string, feature string, importance double")
+    """B-2 input: (model, feature, importance), the mean absolute contribution over ``rows``, a sample as B-1 draws it."""
+    return contributions(nodes, rows, features, specs).groupBy("model", "feature").agg(F.avg(F.abs("contribution")).alias("importance"))

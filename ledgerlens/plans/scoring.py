@@ -23,6 +23,7 @@ class Scored:
     weights: dict[str, float]
     threshold: float
     importances: DataFrame
+    nodes: DataFrame
     test_scores: DataFrame
     sheet: DataFrame
 
@@ -49,8 +50,9 @@ def train_and_score(
     report = metrics.model_metrics_report(blended, [*order, "blend"])
     sweep = metrics.threshold_sweep(blended.select("account_id", "is_mule", F.col("blend").alias("score")))
     threshold = float(metrics.best_threshold(sweep).first().best_threshold)
-    models, scores = members.refit_and_score(labelled, unseen, counts, names, specs)
+    nodes, scores = members.refit_and_score(labelled, unseen, counts, names, specs)
     scores = stage(blend.blend(scores, weights))
-    importances = blend.importance_table(members.member_importances(models, names, specs, labelled), weights)
-    return Scored(oof, grid, report, weights, threshold, importances, scores,
+    importances = blend.importance_table(members.member_importances(
+        nodes, members.explained(labelled, counts), names, specs), weights)
+    return Scored(oof, grid, report, weights, threshold, importances, nodes, scores,
                   decision.score_sheet(test, scores, "blend"))

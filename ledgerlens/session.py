@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package. On a cluster it is installed or sent with ``--py-files``."""
+    home, known = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if home not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (home, known)))
+
+
 def stage_folder(spark: SparkSession) -> str:
     """Shared folder for stage tables: the cluster's ``spark.checkpoint.dir``.
 
