@@ -230,7 +230,7 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_cross_tokenizer")
 def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosstokens.cross_alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                                       public_tokenizers.path("piece_bpe_32k.model"))
+                                       public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
 
 
 QUERIES["pipeline"] = corpus_pipeline.run

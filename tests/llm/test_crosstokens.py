@@ -13,6 +13,7 @@ from corpus_rows import ROWS
 from ledgerlens.llm import crosstokens
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+PATTERN = public_tokenizers.PATTERN
 COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 ODD = ["tab\tand\nlines  two", "\u2581 marked", "<|endoftext|> <s> <unk> <0x41>", "a\x00b", "\ufb01ne \u2460", "\u6f22\u5b57\u304b\u306a", "  ", " lead", "e\u0301",
        "\U0001f600\U0001f3fd x"]
@@ -82,22 +83,22 @@ def test_cross_alignment(spark, edge, nothing, small, tools):
     odd = [(i, text) for i, text in enumerate(ODD * 2)]
     for docs, rows in ((edge, [(r[0], r[1]) for r in ROWS]), (small[1], small[0]),
                        (spark.createDataFrame(odd, "doc_id long, text string"), odd)):
-        got = crosstokens.cross_alignment(docs, A, B)
+        got = crosstokens.cross_alignment(docs, A, B, PATTERN)
         assert got.columns == list(COLUMNS) and listed(got) == wanted(rows, tools)
-    assert crosstokens.cross_alignment(nothing, A, B).count() == 0
+    assert crosstokens.cross_alignment(nothing, A, B, PATTERN).count() == 0
 
 
 def test_usual_pairs_take_the_merge_join(spark, small, tools, monkeypatch):
     from ledgerlens.llm import spread
     for share in (1, 1 << 40):  # all pairs usual, all pairs hot
         monkeypatch.setattr(spread, "HOT_KEYS", share)
-        assert listed(crosstokens.cross_alignment(small[1].limit(20), A, B)) == wanted(
+        assert listed(crosstokens.cross_alignment(small[1].limit(20), A, B, PATTERN)) == wanted(
             [tuple(r) for r in small[1].limit(20).select("doc_id", "text").collect()], tools)
 
 
 @pytest.fixture(scope="module")
 def both():
-    return crosstokens.Alignment(crosstokens.byte_level_side(open(A, "rb").read()), crosstokens.piece_side(open(B, "rb").read()), memo=50)
+    return crosstokens.Alignment(crosstokens.byte_level_side(open(A, "rb").read(), PATTERN), crosstokens.piece_side(open(B, "rb").read()), memo=50)
 
 
 @settings(max_examples=300, deadline=None)
@@ -115,4 +116,22 @@ def test_windows_give_the_groups_of_whole_texts(both, tools, text):
 
 def test_anchors_cut_into_words(both):
     a, b = (tuple(side.ids("some words in a line of text")) for side in (both.a, both.b))
-    assert len(both.windows(a, b)) == 7
+    assert len(list(both.windows(a, b))) == 7
+
+
+def test_ranks_give_the_ids_of_the_file(both, tools):
+    """Every code point, next to letters, digits, spaces and itself."""
+    for start in range(0, 0x110000, 64):
+        if not 0xD800 <= start < 0xE000:
+            text = "".join(f"a{c}b {c}{c}1{c} ." for c in map(chr, range(start, start + 64)))
+            assert both.a.ids(text) == tools[0].encode(" " + text, add_special_tokens=False).ids
+
+
+def test_other_vocabulary_files_go_through_their_library(tools):
+    import json
+    content = json.loads(open(A, encoding="utf-8").read())
+    assert crosstokens._ranks(content, crosstokens.byte_of_symbol()) is not None
+    content["normalizer"] = {"type": "Lowercase"}
+    side = crosstokens.byte_level_side(json.dumps(content).encode(), PATTERN)
+    assert side.ids("A Text") == tools[0].encode(" a text", add_special_tokens=False).ids
+    assert crosstokens.Alignment(side, side).align("A Text")[0] == 0  # other bytes than the text's
