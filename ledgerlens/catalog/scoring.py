@@ -8,7 +8,7 @@ from ledgerlens.catalog.matrix import _dimensions
 from ledgerlens.catalog.registry import query
 from ledgerlens.operators import blend, decision, encoding, members, metrics
 from ledgerlens.plans.features import build_features
-from ledgerlens.schema import BEHAVIOURAL_FEATURES, FOLDS
+from ledgerlens.schema import BEHAVIOURAL_FEATURES, ENCODED_FEATURE, FOLDS
 from ledgerlens.session import stage_table
 
 # ---------------------------------------------------------------- Y1-Y4
@@ -262,14 +262,78 @@ def _(d):
     return _refit(d)[1]
 
 
-@query("b_2_importance_table", "feature importance:f rank:i")
-def _(d):
+def _importances(d):
     nodes, _ = _refit(d)
     labelled, _, counts = _model_inputs(d)
     long = members.member_importances(nodes, members.explained(labelled, counts), BEHAVIOURAL_FEATURES, members.MEMBER_SPECS)
     return blend.importance_table(long, dict(zip(blend.MEMBERS, blend.BEST_F1_WEIGHTS)))
 
 
+@query("b_2_importance_table", "feature importance:f rank:i")
+def _(d):
+    return _importances(d)
+
+
+# What holds for any fit, row by row: who is scored, in which fold, within which range, and which trees may come out.
+def _in_range(names):
+    within = F.lit(True)
+    for name in names:
+        within = within & F.col(name).between(0, 1)
+    return F.coalesce(within, F.lit(False))
+
+
+@query("y6_oof_rows", "account_id fold:i is_mule:i in_range", """
+SELECT account_id, fold, is_mule, true AS in_range FROM fold_rows
+WHERE part = 'val' AND fold IN (SELECT fold FROM fold_rows WHERE part = 'val' GROUP BY fold HAVING sum(is_mule) > 0)""", {"fold_rows": FOLD_ROWS})
+def _(d):
+    return _oof(d).withColumn("in_range", _in_range(blend.MEMBERS))
+
+
+@query("y7_scored_accounts", "account_id in_range", "SELECT account_id, true AS in_range FROM test_accounts")
+def _(d):
+    return _refit(d)[1].withColumn("in_range", _in_range(blend.MEMBERS))
+
+
+@query("y5_tree_limits", "model within_rounds within_leaves whole_trees is_symmetric", "\nUNION ALL ".join(
+    f"SELECT '{s.name}' AS model, true AS within_rounds, true AS within_leaves, true AS whole_trees, {str(s.symmetric).lower()} AS is_symmetric"
+    for s in members.MEMBER_SPECS))
+def _(d):
+    nodes = _refit(d)[0].where("tree >= 0")
+    leaf = F.col("feature").isNull()
+    per_tree = nodes.groupBy("model", "tree").agg(F.count_if(leaf).alias("leaves"), F.count("*").alias("nodes"), F.max("node").alias("last"))
+    levels = nodes.where(~leaf).groupBy("model", "tree", F.floor(F.log2(F.col("node") + 1)).alias("level")).agg(
+        F.countDistinct("feature", "cut").alias("splits")).groupBy("model").agg((F.max("splits") == 1).alias("symmetric"))
+    limits = F.create_map(*[F.lit(x) for s in members.MEMBER_SPECS for x in (s.name, s.leaves or 2 ** s.depth)])
+    rounds = F.create_map(*[F.lit(x) for s in members.MEMBER_SPECS for x in (s.name, s.rounds)])
+    models = d.spark.createDataFrame([(s.name, s.symmetric) for s in members.MEMBER_SPECS], "model string, published boolean")
+    return models.join(per_tree.groupBy("model").agg(
+        F.max("tree").alias("trees"), F.max("leaves").alias("leaves"),
+        F.min((F.col("nodes") == 2 * F.col("leaves") - 1) & (F.col("last") == F.col("nodes") - 1)).alias("whole")), "model", "left").join(
+        levels, "model", "left").select(
+        "model", (F.coalesce("trees", F.lit(0)) < rounds[F.col("model")]).alias("within_rounds"),
+        (F.coalesce("leaves", F.lit(1)) <= limits[F.col("model")]).alias("within_leaves"), F.coalesce("whole", F.lit(True)).alias("whole_trees"),
+        (F.col("published") & F.coalesce("symmetric", F.lit(False))).alias("is_symmetric"))
+
+
+@query("b_2_ranked_features", "feature in_range", "\nUNION ALL ".join(
+    f"SELECT '{name}' AS feature, true AS in_range" for name in (*BEHAVIOURAL_FEATURES, ENCODED_FEATURE)))
+def _(d):
+    table = _importances(d)
+    n = len(BEHAVIOURAL_FEATURES) + 1
+    return table.select("feature", ((F.col("importance") >= 0) & F.col("rank").between(1, n)).alias("in_range"))
+
+
+# From out-of-fold scores to the report and the weights, on the members' own scores.
+@query("e_5_oof_report", "model auc:f pr_auc:f best_threshold:f best_f1:f precision_at_5pct:f recall_at_Npos:f")
+def _(d):
+    return metrics.model_metrics_report(_oof(d), blend.MEMBERS)
+
+
+@query("y9_oof_best_weights")
+def _(d):
+    return blend.best_weights(blend.blend_grid(_oof(d)))
+
+
 # ---------------------------------------------------------------- D: decisions
 @query("d_1_score_sheet", "account_id is_mule:f suspicious_start suspicious_end", """
 SELECT t.account_id, least(greatest(s.score * 1.2e0 - 0.1e0, 0), 1) AS is_mule, '' AS suspicious_start, '' AS suspicious_end

@@ -71,8 +71,8 @@ class Forest:
             left, right = int(self.left[node]), int(self.right[node])
             waiting.append((left, {**above, name: (low, min(high, cut), misses and missing, share * self.cover[left] / self.cover[node])}))
             waiting.append((right, {**above, name: (max(low, cut), high, misses and not missing, share * self.cover[right] / self.cover[node])}))
-        return {size: [np.array([f for f, _, _ in leaves], np.int64).reshape(-1, size),
-                       *(np.array([[c[i] for c in conditions] for _, conditions, _ in leaves], kind).reshape(-1, size)
+        return {size: [np.array([f for f, _, _ in leaves], np.int64).reshape(len(leaves), size),
+                       *(np.array([[c[i] for c in conditions] for _, conditions, _ in leaves], kind).reshape(len(leaves), size)
                          for i, kind in enumerate((float, float, bool, float))),
                        np.array([v for _, _, v in leaves])] for size, leaves in found.items()}
 

@@ -209,6 +209,13 @@ def test_contributions_equal_the_enumeration_of_coalitions(spec):
     np.testing.assert_allclose(got.contributions(x).sum(axis=1) + got.expected(), got.margin(x), atol=1e-9)
 
 
+def test_trees_without_a_split():
+    x, label, weight = matrix(30)
+    got, trees, _ = forest(x, label, weight, replace(DEPTH, rounds=2, min_hessian=1e9))
+    assert len(trees) == 2 and got.depth == 0 and len(set(got.margin(x))) == 1
+    assert not got.contributions(x).any() and got.expected() == pytest.approx(got.margin(x)[0])
+
+
 @pytest.fixture(scope="module")
 def people(spark):
     x, label, _ = matrix(300, 3)

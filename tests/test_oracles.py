@@ -12,7 +12,7 @@ TESTDATA = "/root/testdata/sf0.01"
 ORACLES = entry.oracle_sql()
 QUERIES = entry.queries()
 # Whole builds and models have tests of their own.
-SLOW = {"m2_feature_matrix", "y5_train_members", "y6_oof_predictions", "y7_refit_and_score", "b_2_importance_table", "pipeline"}
+SLOW = {"m2_feature_matrix", "pipeline"}
 
 
 @pytest.fixture(scope="module")
