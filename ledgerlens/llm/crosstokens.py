@@ -50,7 +50,7 @@ class Side:
 
     def __init__(self, entries: Sequence[bytes], ids):
         self.entries, self.ids = entries, ids
-        self.sizes, self.names = [len(e) for e in entries], [str(i) for i in range(len(entries))]
+        self.sizes = [len(e) for e in entries]
         self.lengths = np.array(self.sizes, np.int64)
         self.marked = np.array([e.startswith(b" ") for e in entries])
 
@@ -107,22 +107,6 @@ class Alignment:
     def __init__(self, a: Side, b: Side, memo: int = MEMO):
         self.a, self.b, self.memo, self.known = a, b, memo, {}
 
-    def groups(self, a: Sequence[int], b: Sequence[int]) -> list[tuple[Sequence[int], Sequence[int]]]:
-        """The groups of two id sequences over the same bytes: both walked to their next common end."""
-        size_a, size_b, out = self.a.sizes, self.b.sizes, []
-        i = j = at_i = at_j = end_a = end_b = 0
-        while i < len(a) or j < len(b):
-            if i < len(a) and end_a <= end_b:
-                end_a += size_a[a[i]]
-                i += 1
-            else:
-                end_b += size_b[b[j]]
-                j += 1
-            if end_a == end_b:
-                out.append((a[at_i:i], b[at_j:j]))
-                at_i, at_j = i, j
-        return out
-
     def windows(self, a: Sequence[int], b: Sequence[int]) -> Iterator[tuple[tuple[int, ...], tuple[int, ...]]]:
         """The id sequences cut at anchors."""
         at, bt = np.array(a), np.array(b)
@@ -141,14 +125,31 @@ class Alignment:
             yield a[i:k], b[j:m]
             i, j = k, m
 
-    def window(self, key: tuple[tuple[int, ...], tuple[int, ...]]):
-        """(text of the groups, pairs) of a window seen for the first time; a pair is a number made of both ids."""
-        parts, size = self.groups(*key), len(self.b.entries)
-        name_a, name_b = self.a.names.__getitem__, self.b.names.__getitem__
+    def window(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> tuple[str, tuple[int, ...]]:
+        """Text of the groups and linked pairs of a window; a pair is a number made of both ids. Both sides are walked to their next common end."""
+        size_a, size_b, b_ids, (a, b) = self.a.sizes, self.b.sizes, len(self.b.entries), key
+        said, pairs, i, j = [], [], 0, 0
+        while i < len(a):
+            at_i, at_j = i, j
+            end_a, end_b = size_a[a[i]], size_b[b[j]]
+            i, j = i + 1, j + 1
+            while end_a != end_b:
+                if end_a < end_b:
+                    end_a += size_a[a[i]]
+                    i += 1
+                else:
+                    end_b += size_b[b[j]]
+                    j += 1
+            if i - at_i == j - at_j == 1:
+                x, y = a[at_i], b[at_j]
+                said.append(f"{x}|{y}")
+                pairs.append(x * b_ids + y)
+            else:
+                said.append(f"{','.join(map(str, a[at_i:i]))}|{','.join(map(str, b[at_j:j]))}")
+                pairs += [x * b_ids + y for x in a[at_i:i] for y in b[at_j:j]]
         # Tuples of numbers and strings alone, which the garbage collector need not follow.
-        found = (";".join([f"{','.join(map(name_a, x))}|{','.join(map(name_b, y))}" for x, y in parts]),
-                 tuple([i * size + j for x, y in parts for i in x for j in y]))
-        if len(key[0]) + len(key[1]) <= MEMO_TOKENS:
+        found = ";".join(said), tuple(pairs)
+        if len(a) + len(b) <= MEMO_TOKENS:
             if len(self.known) >= self.memo:
                 self.known.clear()
             self.known[key] = found
