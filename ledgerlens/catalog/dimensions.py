@@ -34,14 +34,16 @@ def _(d):
                               SCHEMAS["events"])
 
 
-INVENTORY = ("events", "orders", "lineitem", "customer", "nation")
+INVENTORY = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark",
+             "labels", "conversations")
 
 
-@query("s4_table_inventory", "table_name files:i rows:i columns:i", "\nUNION ALL ".join(
-    f"SELECT '{t}' AS table_name, 1 AS files, (SELECT count(*) FROM {t}) AS rows, "
-    f"(SELECT count(*) FROM information_schema.columns WHERE table_name = '{t}') AS columns" for t in INVENTORY))
+@query("s4_table_inventory", "table_name files:i rows:i has_bytes columns:i column_list", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, 1 AS files, (SELECT count(*) FROM {t}) AS rows, true AS has_bytes, count(*) AS columns, "
+    f"string_agg(column_name, ',' ORDER BY ordinal_position) AS column_list FROM information_schema.columns WHERE table_name = '{t}'" for t in INVENTORY))
 def _(d):
-    return tables.table_inventory(d.spark, {t: f"{d.sf_dir}/{t}.parquet" for t in INVENTORY})
+    found = tables.table_inventory(d.spark, {t: f"{d.sf_dir}/{t}.parquet" for t in INVENTORY})
+    return found.withColumn("has_bytes", F.col("bytes") > 0)
 
 
 def _scratch(d, name: str) -> str:

@@ -286,3 +286,55 @@ def _(d):
 def _dimensions(d) -> Dimensions:
     return Dimensions(d.ids, d.accounts, d.cust_link, d.customers, d.demographics, d.product_details, d.accounts_add,
                       d.branch)
+
+
+# ---------------------------------------------------------------- the audit on all features of the whole matrix
+WHOLE_AUDIT_VIEWS = {
+    **WHOLE_VIEWS,
+    "whole": "SELECT account_id, " + ", ".join(f"round({f}, 6) + 0e0 AS {f}" for f in BEHAVIOURAL_FEATURES) + f" FROM ({_whole_sql()}) AS w",
+    "whole_lab": "SELECT w.*, l.is_mule FROM whole w JOIN acct_labels l ON w.account_id = l.account_id",
+    "long_feat": "SELECT account_id, is_mule, feature, value FROM (UNPIVOT whole_lab ON COLUMNS(* EXCLUDE (account_id, is_mule)) INTO NAME feature VALUE value)",
+    **{name: body for name, body in RANKED_VIEWS.items() if name in ("ranked", "tied", "usums", "mw", "med")},
+    # Features without any spread have no z.
+    "mw_all": RANKED_VIEWS["mw_all"].replace("SELECT s.feature", "SELECT s.feature, tie_term").replace(
+        "sign(rank_sum", "CASE WHEN m + n + 1 > t.tie_term / ((m + n) * (m + n - 1)) THEN sign(rank_sum").replace(") AS z FROM", ") END AS z FROM"),
+}
+
+
+def _whole(d):
+    """The labelled rows of the whole matrix, rounded so that ties are the same in both engines; stored once per application."""
+    if "whole_matrix" not in d.__dict__:
+        matrix = shaped(build_features(d.tx, d.ext, _dimensions(d), hot=d.hot), _all_as_float(BEHAVIOURAL_FEATURES))
+        d.__dict__["whole_matrix"] = stage_table(matrix, "whole-matrix")
+    return d.__dict__["whole_matrix"].join(d.acct_labels.select("account_id", "is_mule"), "account_id")
+
+
+def _on_whole_matrix(name: str, sql: str, build) -> None:
+    """The query ``name`` again, on all features and all accounts of the matrix. Means in the millions are compared at 2 decimals; where a bin
+    starts follows from its number."""
+    columns = " ".join(c.replace(":f", ":g") if c in ("mule_mean:f", "legit_mean:f") else c
+                       for c in REGISTRY[name].columns.split() if c != "bin_start:f")
+    query(f"{name}_whole", columns, sql, WHOLE_AUDIT_VIEWS)(build)
+
+
+for _name, _build in (("t_1_effect_size", audit.effect_size), ("t_2_mann_whitney", audit.mann_whitney), ("t_3_signal_table", audit.signal_table),
+                      ("t_4_feature_audit", audit.feature_audit), ("t_6_clipped_histogram", audit.clipped_histogram),
+                      ("t_7_median_by_class", audit.median_by_class)):
+    _on_whole_matrix(_name, REGISTRY[_name].sql, lambda d, _build=_build: _build(_whole(d), BEHAVIOURAL_FEATURES))
+
+_on_whole_matrix("t_5_correlation_matrix", """
+WITH placed AS (SELECT account_id, feature, value, list_position(""" + str(list(BEHAVIOURAL_FEATURES)) + """, feature) AS place FROM long_feat)
+SELECT a.feature AS feature_a, b.feature AS feature_b, CASE WHEN min(a.value) = max(a.value) OR min(b.value) = max(b.value) THEN 0e0
+ ELSE corr(a.value, b.value) END AS correlation FROM placed a JOIN placed b ON a.account_id = b.account_id AND a.place < b.place GROUP BY 1, 2""",
+                 lambda d: audit.correlation_matrix(_whole(d), BEHAVIOURAL_FEATURES))
+_on_whole_matrix("m3_null_inf_report", """
+SELECT feature, count(*) AS rows, 0 AS nulls, count(*) FILTER (WHERE isnan(value)) AS nans, count(*) FILTER (WHERE isinf(value)) AS infinities,
+ 0e0 AS null_pct FROM long_feat GROUP BY feature""", lambda d: assemble.null_inf_report(_whole(d), BEHAVIOURAL_FEATURES))
+_on_whole_matrix("m6_quality_gate", """
+SELECT check_name, found, CASE WHEN found = 0 THEN 1 ELSE 0 END AS passed FROM (
+SELECT 'missing_ids' AS check_name, (SELECT count(*) FROM acct_labels WHERE account_id NOT IN (SELECT account_id FROM whole_lab)) AS found
+UNION ALL SELECT 'unknown_ids', (SELECT count(*) FROM whole_lab WHERE account_id NOT IN (SELECT account_id FROM acct_labels))
+UNION ALL SELECT 'repeated_ids', (SELECT count(*) FROM (SELECT account_id FROM whole_lab GROUP BY account_id HAVING count(*) > 1) AS r)
+UNION ALL SELECT 'null_values', (SELECT count(*) * """ + str(len(BEHAVIOURAL_FEATURES)) + """ FROM whole_lab) - (SELECT count(*) FROM long_feat)
+UNION ALL SELECT 'banned_columns', 0 UNION ALL SELECT 'absent_columns', 0) AS g""",
+                 lambda d: assemble.quality_gate(_whole(d).drop("is_mule"), d.acct_labels, required=list(BEHAVIOURAL_FEATURES)))

@@ -64,6 +64,31 @@ def _(d):
     return encoding.risky_code_share(counts, encoding.risky_codes(counts, d.acct_labels), d.ids)
 
 
+FOLD_VIEWS = {
+    "fold_rows": FOLD_ROWS,
+    "fold_sizes": "SELECT fold, sum(is_mule) AS n1, count(*) - sum(is_mule) AS n0 FROM fold_rows WHERE part = 'train' GROUP BY fold",
+    "fold_lifts": """SELECT k.fold, code, (k1 * 1e0 / n1) / (k0 * 1e0 / n0 + .001e0) AS lift FROM (SELECT t.fold, l.mnemonic_code AS code,
+ count(*) FILTER (WHERE t.is_mule = 1) AS k1, count(*) FILTER (WHERE t.is_mule = 0) AS k0 FROM led l JOIN fold_rows t ON l.account_id = t.account_id
+ WHERE t.part = 'train' AND l.mnemonic_code IS NOT NULL GROUP BY 1, 2) k JOIN fold_sizes s ON k.fold = s.fold WHERE k1 > 0 AND n1 > 0 AND n0 > 0""",
+    "fold_risky": "SELECT fold, code, lift FROM (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY lift DESC, code) AS r FROM fold_lifts) AS o WHERE r <= 10",
+}
+
+
+@query("y2_fold_codes", "fold:i code lift:f", "SELECT fold, code, lift FROM fold_risky", FOLD_VIEWS)
+def _(d):
+    return encoding.fold_codes(encoding.code_counts(d.ledger), _dated(d))
+
+
+@query("y3_fold_code_share", "account_id fold:i part risky_mcc_share:f", """
+SELECT p.account_id, p.fold, p.part, coalesce(s.share, 0) AS risky_mcc_share FROM fold_rows p LEFT JOIN (
+ SELECT l.account_id, f.fold, avg(CASE WHEN r.code IS NOT NULL THEN 1e0 ELSE 0e0 END) AS share FROM led l CROSS JOIN (SELECT DISTINCT fold FROM fold_rows) f
+ LEFT JOIN fold_risky r ON r.fold = f.fold AND r.code = l.mnemonic_code GROUP BY 1, 2) s ON s.account_id = p.account_id AND s.fold = p.fold
+WHERE p.fold IN (SELECT fold FROM fold_rows WHERE part = 'val' GROUP BY fold HAVING sum(is_mule) > 0)""", FOLD_VIEWS)
+def _(d):
+    counts = encoding.code_counts(d.ledger)
+    return encoding.with_fold_encoding(encoding.walk_forward_folds(_dated(d)), counts, encoding.fold_codes(counts, _dated(d)))
+
+
 @query("y4_class_weight", "n_pos:i n_neg:i weight:f", """
 SELECT sum(is_mule) AS n_pos, count(*) - sum(is_mule) AS n_neg, (count(*) - sum(is_mule)) * 1e0 / sum(is_mule) AS weight FROM acct_labels""")
 def _(d):

@@ -7,7 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.functions.columns import age_days, count_if, flag, is_infinite, present
+from ledgerlens.functions.columns import age_days, count_if, flag, present
+from ledgerlens.functions.moments import column_statistics, moments
 from ledgerlens.functions.ranks import ranked_percentiles, with_single_row
 from ledgerlens.schema import DUPLICATE_COLUMNS, LABEL_COLUMNS, LEAKY_COLUMNS, REFERENCE_DATE
 
@@ -65,13 +66,9 @@ def impute(
 
 def null_inf_report(features: DataFrame, cols: Sequence[str]) -> DataFrame:
     """M3: rows, NULLs, NaNs, infinities and the percentage of missing values (NULL or NaN) per column."""
-    return long_form(features, cols).groupBy("feature").agg(
-        F.count("*").alias("rows"),
-        count_if(F.col("value").isNull()).alias("nulls"),
-        count_if(F.isnan("value")).alias("nans"),
-        count_if(is_infinite(F.col("value"))).alias("infinities"),
-        (F.avg(F.when(present(F.col("value")).isNull(), 1.0).otherwise(0.0)) * 100).alias("null_pct"),
-    )
+    found = column_statistics(moments(features, cols), cols)
+    return found.select("feature", "rows", "nulls", "nans", "infinities",
+                        ((F.col("nulls") + F.col("nans")) / F.nullif("rows", F.lit(0)) * 100).alias("null_pct"))
 
 
 def split_by_membership(features: DataFrame, labels: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,19 +1,19 @@
 """Class-separation statistics of features (T).
 
-All of them start from the long form, so a matrix of any width is one unpivot followed by partial aggregation.
-Order statistics go through distributed ranks: a feature's values are never sorted in one task.
+Means, deviations and correlations come from moments that tasks merge. Order statistics start from the long form and go
+through distributed ranks: a feature's values are never sorted in one task.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlens.functions.columns import flag
+from ledgerlens.functions.moments import column_statistics, moments, pair_correlations
 from ledgerlens.functions.ranks import ranked_percentiles, running_totals
 from ledgerlens.operators.assemble import long_form
 
@@ -27,11 +27,12 @@ def _by_class(function, label: int) -> Column:
 
 
 def effect_size(features: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """T-1: class means and |difference| over the pooled deviation, per feature."""
+    """T-1: class means and |difference| over the pooled deviation, per feature, from merged moments."""
+    stats = column_statistics(moments(features.where(F.col("is_mule").isin(0, 1)), cols, "is_mule"), cols)
     spread = F.sqrt((F.pow("mule_std", F.lit(2)) + F.pow("legit_std", F.lit(2))) / 2 + F.lit(1e-9))
-    return long_form(features, cols, ["is_mule"]).groupBy("feature").agg(
-        _by_class(F.avg, 1).alias("mule_mean"), _by_class(F.avg, 0).alias("legit_mean"),
-        _by_class(F.stddev_samp, 1).alias("mule_std"), _by_class(F.stddev_samp, 0).alias("legit_std"),
+    return stats.groupBy("feature").agg(*[  # two rows per feature
+        F.max(F.when(F.col("cls") == label, F.col(value))).alias(f"{name}_{value}")
+        for label, name in ((1, "mule"), (0, "legit")) for value in ("mean", "std")],
     ).withColumn("effect_size", F.abs(F.col("mule_mean") - F.col("legit_mean")) / spread)
 
 
@@ -110,14 +111,9 @@ def tier_counts(audit: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(features: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """T-5: Pearson correlation of every column pair in one pass; undefined values are 0."""
-    pairs = list(combinations(cols, 2))
-    row = features.agg(*[
-        F.coalesce(F.nanvl(F.corr(F.col(a).cast("double"), F.col(b).cast("double")), F.lit(0.0)), F.lit(0.0))
-        .alias(f"{a}|{b}") for a, b in pairs])
-    long = row.unpivot([], [F.col(f"`{c}`") for c in row.columns], "pair", "correlation")
-    names = F.split("pair", r"\|")
-    return long.select(names[0].alias("feature_a"), names[1].alias("feature_b"), "correlation")
+    """T-5: Pearson correlation of every column pair from merged co-moments; undefined values are 0."""
+    pairs = pair_correlations(moments(features, cols), cols)
+    return pairs.select("feature_a", "feature_b", F.coalesce(F.nanvl("correlation", F.lit(0.0)), F.lit(0.0)).alias("correlation"))
 
 
 def clipped_histogram(

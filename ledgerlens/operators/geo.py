@@ -98,39 +98,49 @@ def location_entropy(cells: DataFrame) -> DataFrame:
     return entropy(usable, "location_entropy")
 
 
-def impossible_travel(ledger: DataFrame, hours: float = 2, degrees: float = 5) -> DataFrame:
+def impossible_travel(ledger: DataFrame, hours: float = 2, degrees: float = 5, slices: int = 64, chunk: int = 4096) -> DataFrame:
     """Z3: 1 for accounts with two usable locations within (0, ``hours``] more than ``degrees`` apart on an axis.
 
-    Instead of pairing rows, time is cut into blocks of ``hours``. A pair can only lie in one block or in two
-    neighbouring ones, so an account needs a closer look only where the coordinate range over a block and the next
-    exceeds the limit; that test is a partial aggregate. Rows of those blocks are then compared with the range of
-    the rows that follow them in time. A window partition holds two blocks of one account and never a whole account.
+    Instead of pairing rows, time is cut into ``slices`` per span of ``hours``. The later partner of a row lies in its own slice, in one of the
+    next ``slices`` - 1, which the span always covers whole, or in the two at the span's end. Whole slices are decided by the smallest
+    and largest coordinates of slices alone, a partial aggregate; sliding extremes over slices run in chunks of bounded length that carry the
+    slices of the next chunk they look into. Rows are only compared inside a slice, or between a slice and the two at the span's end, where
+    the extremes leave it open. However many rows an account has in ``hours``, they are spread over that many slices.
     """
     width = int(hours * 3_600_000_000)
+    slices = max(1, min(slices, width))
+    step, chunk = max(1, width // slices), max(chunk, slices + 1)
     axes = ("lat_bin", "lon_bin")
     points = ledger.where(has_valid_location()).select(
         "account_id", F.unix_micros("ts").alias("us"),
         F.round("latitude", 1).alias("lat_bin"), F.round("longitude", 1).alias("lon_bin"),
-    ).withColumn("block", F.floor(F.col("us") / width))
-
-    def ranges(prefix: str):
-        return [f(axis).alias(f"{prefix}_{f.__name__}_{axis}") for axis in axes for f in (F.min, F.max)]
-
-    blocks = points.groupBy("account_id", "block").agg(*ranges("own"))
-    onward = Window.partitionBy("account_id").orderBy("block").rangeBetween(0, 1)
-    wide = [
-        F.max(f"own_max_{axis}").over(onward) - F.min(f"own_min_{axis}").over(onward) > degrees for axis in axes]
-    suspects = blocks.select("account_id", "block", (wide[0] | wide[1]).alias("wide")).where("wide").select(
-        "account_id", F.col("block").alias("home"),
-        F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block"))
-    ahead = Window.partitionBy("account_id", "home").orderBy("us").rangeBetween(1, width)
-    apart = F.lit(False)
+    ).withColumn("slice", F.floor(F.col("us") / step))
+    extremes = points.groupBy("account_id", "slice").agg(*[f(axis).alias(f"{f.__name__}_{axis}") for axis in axes for f in (F.min, F.max)])
+
+    own = F.floor(F.col("slice") / chunk)
+    ahead = slices + 1  # slices of the next chunk that a chunk looks into
+    carried = extremes.select("*", F.explode(F.when(
+        F.pmod("slice", F.lit(chunk)) < ahead, F.array(own, own - 1)).otherwise(F.array(own))).alias("chunk"))
+    order = Window.partitionBy("account_id", "chunk").orderBy("slice")
+
+    def apart(first: int, last: int) -> Column:
+        window, found = order.rangeBetween(first, last), F.lit(False)
+        for axis in axes:
+            low, high = F.min(f"min_{axis}").over(window), F.max(f"max_{axis}").over(window)
+            found = found | (high - F.col(f"min_{axis}") > degrees) | (F.col(f"max_{axis}") - low > degrees)
+        return F.coalesce(found, F.lit(False))
+
+    judged = carried.select("account_id", "slice", "chunk", apart(1, slices - 1).alias("sure") if slices > 1 else F.lit(False).alias("sure"),
+                            apart(0, 0).alias("inside"), apart(slices, slices + 1).alias("ends")).where(F.col("chunk") == own)
+    open_slices = judged.where("NOT sure AND (inside OR ends)").select(
+        "account_id", F.col("slice").alias("home"),
+        F.explode(F.array(F.col("slice"), F.col("slice") + slices, F.col("slice") + slices + 1)).alias("slice"))
+    later = Window.partitionBy("account_id", "home").orderBy("us").rangeBetween(1, width)
+    gap = F.lit(False)
     for axis in axes:
-        apart = apart | (F.max(axis).over(ahead) - F.col(axis) > degrees) | (
-            F.col(axis) - F.min(axis).over(ahead) > degrees)
-    seen = points.join(suspects, ["account_id", "block"]).withColumn("apart", F.coalesce(apart, F.lit(False)))
-    # Where a home block matches, its rows are the earlier partner; the next block's rows only serve as later ones.
-    hits = seen.where(F.col("apart")).select("account_id").distinct()
+        gap = gap | (F.max(axis).over(later) - F.col(axis) > degrees) | (F.col(axis) - F.min(axis).over(later) > degrees)
+    compared = points.join(open_slices, ["account_id", "slice"]).withColumn("apart", F.coalesce(gap, F.lit(False)))
+    hits = judged.where("sure").select("account_id").unionByName(compared.where("apart").select("account_id")).distinct()
     everyone = ledger.select("account_id").distinct()
     return everyone.join(hits.withColumn("_hit", F.lit(1)), "account_id", "left").select(
         "account_id", flag(F.col("_hit") == 1).alias("impossible_travel_flag"))

@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 
 from ledgerlens.operators import boosting
 from ledgerlens.operators.blend import balanced_sample
-from ledgerlens.operators.encoding import risky_code_share, risky_codes, walk_forward_folds
+from ledgerlens.operators.encoding import fold_codes, risky_code_share, risky_codes, walk_forward_folds, with_fold_encoding
 from ledgerlens.operators.trees import NODES, Forest
 from ledgerlens.schema import ENCODED_FEATURE, FOLDS
 from ledgerlens.session import importable, stage, stage_table
@@ -245,21 +245,12 @@ def oof_predictions(
 ) -> DataFrame:
     """Scores of each validation row from models that saw only earlier accounts, encoding included.
 
-    ``labelled`` holds the features, ``is_mule`` and the date; rows outside every validation part are left out. The members of all folds are
-    fitted in one job.
+    ``labelled`` holds the features, ``is_mule`` and the date; rows outside every validation part are left out. All folds are encoded in one
+    pass over the counts, and the members of all folds are fitted in one job.
     """
-    placed = stage(walk_forward_folds(labelled, date_col, folds))
-    parts = []
-    for fold in sorted(r.fold for r in placed.select("fold").distinct().collect()):  # at most one entry per fold
-        own = placed.where(F.col("fold") == fold)
-        codes = stage(risky_codes(counts, own.where("part = 'train'")))
-        parts.append(with_encoding(own, counts, codes))
-    if not parts:
-        return placed.select("account_id", "is_mule", "fold", *[F.lit(None).cast("double").alias(s.name) for s in specs])
-    encoded = parts[0]
-    for part in parts[1:]:
-        encoded = encoded.unionByName(part)
-    encoded = stage_table(encoded, "encoded-folds")
+    placed = walk_forward_folds(labelled, date_col, folds)
+    codes = stage(fold_codes(counts, labelled, folds, date_col))
+    encoded = stage_table(with_fold_encoding(placed, counts, codes, len(folds)), "encoded-folds")
     nodes = fit_members(encoded.where("part = 'train'"), features, specs)
     return score_members(nodes, encoded.where("part = 'val'"), features, specs, keep=["is_mule", "fold"])
 

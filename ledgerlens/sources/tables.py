@@ -60,23 +60,23 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def duplicate_bytes(spark: SparkSession, path: str) -> DataFrame:
     """S10, byte level: groups of files with equal content.
 
-    Only files of equal size are read, in the scan's own blocks and line by line: files of one size are cut alike. Each line is hashed
-    twice; sums of the hashes and of hash times line number stand for the lines and their order in a block. No line may exceed 2 GB.
+    Files are read in the scan's own blocks and line by line: files of one size are cut alike, and only blocks of files whose size
+    another one has go on. Each line is hashed twice; sums of the hashes and of hash times line number stand for the lines and their order in a block. No line may exceed 2 GB.
     Compressed text files are read unpacked; empty files are not listed by Spark's scans.
     """
     files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"), "length")
-    sizes = [r.length for r in files.groupBy("length").count().where("count > 1").select("length").collect()]
-    lines = spark.read.option("lineSep", "\n").text(path).where(F.col("_metadata.file_size").isin(sizes)).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+    shared = files.groupBy("length").agg(F.count("*").alias("_files")).where("_files > 1").select(F.col("length").alias("size"))
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).cast("decimal(12,0)").alias("at"), *[
             F.xxhash64(F.lit(seed), "value").bitwiseAND((1 << 40) - 1).cast("decimal(13,0)").alias(f"h{seed}") for seed in (1, 2)])
     first = F.min("at")
     sums = [F.sum(f"h{seed}") for seed in (1, 2)]
-    blocks = lines.groupBy("path", "start").agg(
+    blocks = lines.groupBy("path", "size", "start").agg(
         *[s.cast("string").alias(f"s{i}") for i, s in enumerate(sums)],
         *[(F.sum(F.col(f"h{i + 1}") * F.col("at")).cast("decimal(38,0)") - (first * s).cast("decimal(38,0)")).cast("string").alias(f"o{i}")
           for i, s in enumerate(sums)])
-    whole = blocks.groupBy("path").agg(
+    whole = blocks.join(shared, "size", "left_semi").groupBy("path").agg(
         F.md5(F.to_json(F.sort_array(F.collect_list(F.struct("start", "s0", "s1", "o0", "o1"))))).alias("_content"))
     return _groups(files.join(whole, "path").select("path", F.concat_ws(":", "_content", F.col("length").cast("string")).alias("digest")))
 

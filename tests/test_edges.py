@@ -248,3 +248,26 @@ def test_window_guard_keeps_two_weeks(spark):
     assert got["a"]["seed_window_days"] == 14 and got["a"]["changed"] == 0
     assert got["b"]["safe_start"] is None and got["b"]["old_window_days"] == 25
     assert got["c"]["target_window_days"] is None and str(got["c"]["safe_start"]) == "2024-01-01"
+
+
+@pytest.mark.parametrize("slices, chunk", [(64, 4096), (8, 16), (1, 4), (7, 3)])
+def test_impossible_travel_equals_pairs_of_rows(ledger, slices, chunk):
+    """Accounts with bursts inside one span, at its very end, across chunks and at equal times."""
+    import random
+    rnd, times = random.Random(slices), {}
+    for a in range(60):
+        base = rnd.randrange(0, 10_000_000)
+        for i in range(rnd.randrange(1, 14)):
+            second = base + rnd.choice([0, 0, 1, 7199, 7200, 7201, 3600, rnd.randrange(0, 20_000)])
+            times.setdefault(f"a{a}", []).append((second, rnd.choice([10.0, 12.0, 14.9, 15.0, 15.1]), rnd.choice([70.0, 72.0, 75.0, 75.1])))
+    flat = [(a, *t) for a, found in times.items() for t in found]
+    rows = [(a, str(i), "2024-01-01 00:00:00", "C", 1.0, 1.0) for i, (a, *_) in enumerate(flat)]
+    df = ledger(rows).drop("latitude", "longitude", "ts")
+    spark = df.sparkSession
+    more = spark.createDataFrame([(str(i), s, lat, lon) for i, (_, s, lat, lon) in enumerate(flat)],
+                                 "transaction_id string, s long, latitude double, longitude double")
+    df = df.join(more.withColumn("ts", F.timestamp_seconds(F.col("s") + 1_700_000_000)), "transaction_id")
+    got = rows_by_key(geo.impossible_travel(df, slices=slices, chunk=chunk))
+    for a, found in times.items():
+        want = any(0 < t - s <= 7200 and (round(abs(x - u), 6) > 5 or round(abs(y - v), 6) > 5) for s, x, y in found for t, u, v in found)
+        assert got[a]["impossible_travel_flag"] == int(want), a
