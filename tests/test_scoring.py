@@ -91,6 +91,28 @@ def test_grid_size_and_order():
     assert len(grid) == 1001 and grid[0] == (0, 0, 0, 0, 10) and grid[-1] == (10, 0, 0, 0, 0) and grid == sorted(grid)
 
 
+@pytest.mark.parametrize("block", [500_000, 7])
+def test_blend_grid_equals_metrics_of_each_blend(spark, monkeypatch, block):
+    """Ties, scores on thresholds, rows without a score, and positives in several blocks."""
+    monkeypatch.setattr(blend, "POSITIVES", block)
+    rnd = random.Random(block)
+    rows = [(int(rnd.random() < 0.3), rnd.randrange(21) / 20, rnd.randrange(5) / 4 if i % 17 else None, rnd.random()) for i in range(300)]
+    df = spark.createDataFrame(rows, "is_mule int, a double, b double, c double").repartition(3)
+    got = {r.w: r for r in blend.blend_grid(df, ["a", "b", "c"], parts=4).collect()}
+    assert len(got) == 15
+    whole = df.where("b IS NOT NULL")
+    for w, weights in list(enumerate(blend.weight_grid(3, 4)))[::4]:
+        total = sum((F.col(m) * k for m, k in zip("abc", weights)), F.lit(0.0)) / 4
+        one = whole.select("is_mule", total.alias("score"))
+        assert got[w].auc == pytest.approx(metrics.roc_auc(one).first().auc, abs=1e-12)
+        assert got[w].f1 == pytest.approx(metrics.threshold_sweep(one).agg(F.max("f1")).first()[0], abs=1e-12)
+    plan = blend.blend_grid(df, ["a", "b", "c"], parts=4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+    assert blend.blend_grid(df.limit(0), ["a", "b", "c"], parts=4).count() == 0
+    none = blend.blend_grid(df.where("is_mule = 0"), ["a", "b", "c"], parts=4).first()
+    assert none.auc is None and none.f1 == 0
+
+
 def test_blend_grid_finds_the_informative_member(spark):
     rnd = random.Random(9)
     rows = [(str(i), int(i % 4 == 0), *[rnd.randint(0, 64) / 64 for _ in range(2)], (0.75 if i % 4 == 0 else 0.25))
