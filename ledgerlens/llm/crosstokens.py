@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections import Counter
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -33,7 +33,9 @@ from tokenizers import Tokenizer
 from ledgerlens.llm.frames import fields, kept, small_batches
 from ledgerlens.llm.spread import joined
 
-MEMO = 200_000  # windows a worker remembers
+MEMO = 400_000  # windows a worker remembers
+MARK = 1 << 31
+NO_PAIRS = np.empty(0, np.int64)
 MEMO_TOKENS = 48  # longer windows hardly come again and are aligned each time
 DIGESTS = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, pairs array<bigint>, times array<bigint>"
 
@@ -107,8 +109,11 @@ class Alignment:
     def __init__(self, a: Side, b: Side, memo: int = MEMO):
         self.a, self.b, self.memo, self.known = a, b, memo, {}
 
-    def windows(self, a: Sequence[int], b: Sequence[int]) -> Iterator[tuple[tuple[int, ...], tuple[int, ...]]]:
-        """The id sequences cut at anchors."""
+    def windows(self, a: Sequence[int], b: Sequence[int]) -> Iterator[bytes]:
+        """The id sequences cut at anchors: each window as its tuple of A ids and, marked by the highest bit, B ids, 32 bits each.
+
+        Packed, a tuple is hashed and compared as one stretch of memory.
+        """
         at, bt = np.array(a), np.array(b)
         ends_a, ends_b = self.a.lengths[at].cumsum(), self.b.lengths[bt].cumsum()
         before_a = np.flatnonzero(self.a.marked[at[1:]])  # tokens before a space-marked one
@@ -120,14 +125,17 @@ class Alignment:
             before_a, before_b = before_a[shared], before_b[place[shared]]
         else:
             before_a = before_b = before_a[:0]
-        a, b, i, j = tuple(a), tuple(b), 0, 0
-        for k, m in zip([*(before_a + 1).tolist(), len(a)], [*(before_b + 1).tolist(), len(b)]):
-            yield a[i:k], b[j:m]
+        packed_a, packed_b = at.astype("<u4").tobytes(), (bt | MARK).astype("<u4").tobytes()
+        i = j = 0
+        for k, m in zip([*(4 * before_a + 4).tolist(), len(packed_a)], [*(4 * before_b + 4).tolist(), len(packed_b)]):
+            yield packed_a[i:k] + packed_b[j:m]
             i, j = k, m
 
-    def window(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> tuple[str, tuple[int, ...]]:
-        """Text of the groups and linked pairs of a window; a pair is a number made of both ids. Both sides are walked to their next common end."""
-        size_a, size_b, b_ids, (a, b) = self.a.sizes, self.b.sizes, len(self.b.entries), key
+    def window(self, key: bytes) -> tuple[bytes, bytes]:
+        """Text of the groups and linked pairs (64 bits each) of a window. Both sides are walked to their next common end."""
+        ids = array("I", key).tolist()
+        a, b = [x for x in ids if x < MARK], [x - MARK for x in ids if x >= MARK]
+        size_a, size_b, b_ids = self.a.sizes, self.b.sizes, len(self.b.entries)
         said, pairs, i, j = [], [], 0, 0
         while i < len(a):
             at_i, at_j = i, j
@@ -147,27 +155,25 @@ class Alignment:
             else:
                 said.append(f"{','.join(map(str, a[at_i:i]))}|{','.join(map(str, b[at_j:j]))}")
                 pairs += [x * b_ids + y for x in a[at_i:i] for y in b[at_j:j]]
-        # Tuples of numbers and strings alone, which the garbage collector need not follow.
-        found = ";".join(said), tuple(pairs)
-        if len(a) + len(b) <= MEMO_TOKENS:
+        found = ";".join(said).encode(), array("q", pairs).tobytes()
+        if len(ids) <= MEMO_TOKENS:
             if len(self.known) >= self.memo:
                 self.known.clear()
             self.known[key] = found
         return found
 
     def align(self, text: str | None):
-        """The values of DIGESTS for one text."""
+        """The values of DIGESTS for one text; pairs and times as arrays."""
         a, b = (self.a.ids(text), self.b.ids(text)) if text else ((), ())
         data = b" " + (text or "").encode()
         if not a or not b or not self.a.spells(a, data) or not self.b.spells(b, data):
-            return 0, 0, 0, 0, "", [], []
-        known, texts, pairs = self.known.get, [], []
-        for key in self.windows(a, b):
-            said, linked = known(key) or self.window(key)
-            texts.append(said)
-            pairs += linked
-        groups, times = ";".join(texts), Counter(pairs)
-        return (len(a), len(b), groups.count("|"), len(pairs), hashlib.sha256(groups.encode()).hexdigest(), list(times), list(times.values()))
+            return 0, 0, 0, 0, "", NO_PAIRS, NO_PAIRS
+        known, work = self.known.get, self.window
+        found = [known(key) or work(key) for key in self.windows(a, b)]
+        groups = b";".join([said for said, _ in found])
+        linked = np.frombuffer(b"".join([pairs for _, pairs in found]), np.int64)
+        pairs, times = np.unique(linked, return_counts=True)
+        return len(a), len(b), groups.count(b"|"), len(linked), hashlib.sha256(groups).hexdigest(), pairs, times
 
 
 _READY: dict[int, Alignment] = {}
@@ -192,15 +198,19 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, pattern: str, keep: tuple
     chosen = docs.select(*keep, "text")
     schema = fields(chosen, keep, DIGESTS)
     names = schema.names[len(keep):]
-    kinds = [pa.int64()] * 4 + [pa.string()] + [pa.list_(pa.int64())] * 2
+    kinds = [pa.int64()] * 4 + [pa.string()]
+
+    def lists(arrays: list[np.ndarray]) -> pa.ListArray:
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([NO_PAIRS, *arrays])))
 
     def run(batches):
         both = _alignment(shared)
         for batch in batches:
             rows = [both.align(text.as_py()) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name) for name in keep), *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds))],
-                names=[*keep, *names])
+                [*(batch.column(name) for name in keep), *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)),
+                 *(lists([r[i] for r in rows]) for i in (5, 6))], names=[*keep, *names])
 
     return small_batches(chosen).mapInArrow(run, schema)
 
