@@ -69,6 +69,15 @@ def packed(df: DataFrame, *keep: str) -> DataFrame:
     return small_batches(chosen).mapInArrow(run, fields(chosen, keep, "packed binary"))
 
 
+def numbered_packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``_row``, the named columns and the text (empty for null) compressed to ``packed``, written once.
+
+    The filter is true for every row; joins of any kind then read the table by the same scan, and so share one exchange.
+    """
+    rows = with_numbers(docs, *columns, "text").withColumn("text", F.coalesce("text", F.lit("")))
+    return kept(packed(rows, "_row", *columns), "numbered-packed").where("_row is not null")
+
+
 def unpacked(column: pa.Array) -> pa.Array:
     """The texts of an Arrow column made by ``packed``."""
     unpack = zstandard.ZstdDecompressor().decompress

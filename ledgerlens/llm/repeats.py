@@ -5,8 +5,8 @@ anchor: its leftmost run of ``k`` units with the smallest hash. Equal windows ha
 whose anchor occurs once in the corpus occurs once, and all windows that can be equal meet under one anchor. Windows in a row that share an
 anchor travel as one piece of text.
 
-1. ``anchors``: one narrow row per piece, written once; 2. anchors that occur once are dropped; 3. ``pieces``: the others' texts, equal ones
-of a task combined before the shuffle; 4. ``settle``: pieces of one anchor meet, at most ``limit`` of them in a group, and the operator's
+1. ``anchors``: one narrow row per piece; 2. one exchange by anchor counts them, and those that occur again are written down;
+3. ``pieces``: their texts, equal ones of a task combined before the shuffle; 4. ``settle``: pieces of one anchor meet, at most ``limit`` of them in a group, and the operator's
 own structure (suffix array or suffix tree) decides; anchors beyond the limit (a passage in very many documents) are split: their
 distinct pieces are cut into single windows, which are counted by their 128-bit hash with partial aggregation; 5. the
 marked windows return to their documents as intervals.
@@ -19,12 +19,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlens.llm import text as T
-from ledgerlens.llm.frames import kept, packed, small_batches, unpacked
+from ledgerlens.llm.frames import kept, small_batches, unpacked
 
-COMBINE_BYTES = 4 << 20  # pieces combined by one task before they are handed on
+COMBINE_BYTES = 16 << 20  # pieces combined by one task before they are handed on
 SETTLE_BYTES = 1 << 20  # pieces whose groups are settled together
 
 
@@ -68,12 +68,12 @@ Marks = tuple[list[tuple[int, int]], list[tuple[int, int]]]
 Settle = Callable[[list[list[Piece]]], Iterator[tuple[Piece, Marks]]]
 
 
-def anchors(docs: DataFrame, kind: Kind) -> DataFrame:
-    """_row, start, starts, offset and anchor of every run of windows with one anchor."""
+def anchors(compact: DataFrame, kind: Kind) -> DataFrame:
+    """_row, start, starts, offset and anchor of every run of windows with one anchor, in packed texts."""
     def run(batches):
         for batch in batches:
             rows = batch.column("_row").to_numpy()
-            texts = batch.column("text")
+            texts = unpacked(batch.column("packed"))
             for a, b in T.chunks(texts):
                 data, bounds = T.raw(texts.slice(a, b - a))
                 values, unit_bounds, _, _ = kind.units(data, bounds)
@@ -83,7 +83,7 @@ def anchors(docs: DataFrame, kind: Kind) -> DataFrame:
                      pa.array(at.astype(np.int32)), pa.array(anchor.view(np.int64))],
                     names=["_row", "start", "starts", "offset", "anchor"])
 
-    return small_batches(docs.select("_row", "text")).mapInArrow(
+    return small_batches(compact.select("_row", "packed")).mapInArrow(
         run, "_row bigint, start int, starts int, offset int, anchor bigint")
 
 
@@ -230,21 +230,19 @@ def spread(found: DataFrame, kind: Kind, keep_first: bool) -> DataFrame:
         F.col("o.rows").alias("_row"), (F.col("o.places") + F.col("m.j")).alias("first"), F.col("m.length").alias("length"))
 
 
-def marked(docs: DataFrame, kind: Kind, settle: Settle, keep_first: bool, limit: int) -> DataFrame:
-    """The columns of ``docs``, its text packed, and ``marks``: intervals (first, length) of the window starts that are to be removed.
+def marked(compact: DataFrame, kind: Kind, settle: Settle, keep_first: bool, limit: int) -> DataFrame:
+    """The columns of ``compact`` and ``marks``: intervals (first, length) of the window starts that are to be removed.
 
-    ``docs`` is a stored table with _row, doc_id and text, and may have more. ``keep_first`` leaves the earliest occurrence of every repeated window unmarked.
+    ``compact`` is a stored table with _row, doc_id and the packed text, and may have more. ``keep_first`` leaves the earliest occurrence of every
+    repeated window unmarked. All columns are kept to the end, so that both joins use one exchange of the texts.
     """
-    runs = kept(anchors(docs, kind), "anchors")
-    again = kept(runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "repeated-anchors")
+    occurrences = F.count("*").over(Window.partitionBy("anchor"))  # rows of a few numbers; the window spills
+    again = kept(anchors(compact, kind).withColumn("n", occurrences).where("n > 1"), "repeated-anchors")
 
-    def found(of_anchors: DataFrame) -> DataFrame:
-        wanted = runs.join(of_anchors.hint("merge"), "anchor").groupBy("_row").agg(
-            F.collect_list(F.struct("start", "starts", "offset", "anchor")).alias("runs"))
+    def found(runs: DataFrame) -> DataFrame:
+        wanted = runs.groupBy("_row").agg(F.collect_list(F.struct("start", "starts", "offset", "anchor")).alias("runs"))
         return pieces(compact.join(wanted.hint("merge"), "_row"), kind)
 
-    # The texts are shuffled once, compressed: every join takes all of their columns and so uses the same exchange.
-    compact = packed(docs, *(name for name in docs.columns if name != "text"))
     marks = settled(found(again.where(F.col("n") <= limit)), settle)
     crowded = again.where(F.col("n") > limit)
     if not crowded.isEmpty():

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.llm import text as T
-from ledgerlens.llm.frames import fields, numbered, small_batches, unpacked
+from ledgerlens.llm.frames import fields, numbered_packed, small_batches, unpacked
 from ledgerlens.llm.repeats import Kind, Marks, Piece, _intervals, covered, marked
 
 WINDOW = 20
@@ -103,7 +103,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, limit: int = LIMIT, k
                     with_text: bool = False) -> DataFrame:
     """``keep``, n_words, n_removed, kept_sha256, ``kept``, the remaining words joined by one space, and on demand the whole text."""
     kind = Kind(by_words=True, window=window, k=min(ANCHOR, max(1, window // 3)))
-    texts = numbered(docs, *dict.fromkeys(["doc_id", "text", *keep])).withColumn("text", F.coalesce(F.col("text"), F.lit("")))
+    texts = numbered_packed(docs, *dict.fromkeys(["doc_id", *keep]))
     found = marked(texts, kind, partial(settle, window=window), keep_first=True, limit=limit)
 
     def run(batches):
@@ -126,9 +126,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, limit: int = LIMIT, k
                  pa.array(digest, pa.string()), pa.array(rest, pa.string()), pa.array(whole, pa.string())],
                 names=[*keep, "n_words", "n_removed", "kept_sha256", "kept", "text"])
 
-    chosen = found.select(*keep, "packed", "marks")
-    out = small_batches(chosen).mapInArrow(
-        run, fields(chosen, keep, "n_words bigint, n_removed bigint, kept_sha256 string, kept string, text string"))
+    out = small_batches(found).mapInArrow(
+        run, fields(found, keep, "n_words bigint, n_removed bigint, kept_sha256 string, kept string, text string"))
     return out if with_text else out.drop("text")
 
 

@@ -21,10 +21,10 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ledgerlens.llm import text as T
-from ledgerlens.llm.frames import fields, numbered, small_batches, unpacked
+from ledgerlens.llm.frames import fields, numbered_packed, small_batches, unpacked
 from ledgerlens.llm.repeats import Kind, Marks, Piece, _intervals, covered, marked
 
 WINDOW = 200
@@ -223,8 +223,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, limit: int = LIMIT) -
     Every byte in a string of ``window`` bytes that also starts anywhere else in the corpus is removed.
     """
     kind = Kind(by_words=False, window=window, k=min(ANCHOR, max(1, window // 3)))
-    texts = numbered(docs, "doc_id", "text").select("_row", "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    found = marked(texts, kind, partial(settle, window=window), keep_first=False, limit=limit)
+    found = marked(numbered_packed(docs, "doc_id"), kind, partial(settle, window=window), keep_first=False, limit=limit)
 
     def run(batches):
         for batch in batches:
@@ -244,5 +243,5 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, limit: int = LIMIT) -
                  pa.array(digest, pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    return small_batches(found.select("doc_id", "packed", "marks")).mapInArrow(
+    return small_batches(found).mapInArrow(
         run, fields(docs, ["doc_id"], "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string"))
