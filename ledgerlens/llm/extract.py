@@ -4,7 +4,8 @@ A page's tags become a tree; elements that never hold the article (menus, forms,
 has C characters and T tags below it, of which LC characters and LT tags belong to links. Its density is characters per tag, adjusted
 for links: ``C/T * log_b(C/LC * T/LT)`` with base ``b = ln(C/(C-LC) * LC + LCb/Cb * C + e)``, b for the body and zero denominators as 1. The
 node with the largest sum of child densities is the core of the article; the smallest density on its path to the body is the
-threshold that other parts of the body must reach. An article or main element around the core is taken as a whole.
+threshold that other parts of the body must reach. The innermost article around the core, or else its main element, is taken as a whole but
+for articles in it that are named as furniture (comments) and for blocks of three links or more that are mostly links and thinner than the threshold.
 
 Names (class, id) leave elements out, but never an article or main. Outside of articles a part of a name is enough, unless an article or main lies inside;
 inside an article a whole class token or id must be such a name, ids of headings say nothing, and a named section goes only if most of it is links.
@@ -44,6 +45,7 @@ FURNITURE_NAMES = re.compile(rf"(?:^|[\s_-]){_NAMES}(?:$|[\s_-])")
 # A whole class token or id made of such names and of words for boxes; one other word in it (comments-open, related-work) makes it another name.
 _BOXES = r"(?:areas?|bar|blocks?|box|buttons?|container|icons?|inner|links?|list|posts?|section|slot|wrap(?:per)?)"
 WHOLE_NAME = re.compile(rf"(?:{_BOXES}[_-]+)*{_NAMES}(?:[_-]+(?:{_NAMES}|{_BOXES}))*")
+LINK_BLOCKS = frozenset("div section ul ol dl table".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 
 TOKEN = re.compile(
@@ -57,15 +59,16 @@ BODY_ITEM = re.compile(r"itemprop\s*=\s*[\"']?articleBody", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "skip", "loose", "doubtful", "whole", "within", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "kids", "skip", "loose", "doubtful", "whole", "named", "within", "chars", "tags", "link_chars", "link_tags", "links", "density", "sum")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.kids = tag, parent, []
         self.skip = self.whole = False
+        self.named = False  # an article whose class says that it is furniture, such as a reader's comment
         self.loose = False  # left out for a part of a name only, until an article is found inside
         self.doubtful = False  # a named section of an article, for its links to decide
         self.within = parent is not None and (parent.whole or parent.within)  # of an article
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.chars = self.tags = self.link_chars = self.link_tags = self.links = 0
         self.density = self.sum = 0.0
 
 
@@ -135,6 +138,9 @@ def parse(page: str) -> list[Node]:
         node = Node(tag, here)
         attrs = m["attrs"] or m["attrs2"] or ""
         node.whole = tag in ("article", "main") or (bool(attrs) and bool(BODY_ITEM.search(attrs)))
+        if tag == "article" and attrs:
+            node.named = any(WHOLE_NAME.fullmatch(token.lower()) for kind, a, b, c in NAMES.findall(attrs) if kind.lower() == "class"
+                             for token in (a or b or c).split())
         _mark(node, attrs)
         if node.loose and tag in ("article", "main"):
             _open(node)
@@ -175,6 +181,7 @@ def measure(nodes: list[Node]) -> Node:
                 node.tags += kid.tags + 1
                 node.link_chars += kid.link_chars
                 node.link_tags += kid.link_tags + (kid.tag == "a")
+                node.links += kid.links + (kid.tag == "a")
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.tags
         node.skip = node.doubtful and 2 * node.link_chars > node.chars
@@ -195,6 +202,39 @@ def measure(nodes: list[Node]) -> Node:
     return body
 
 
+def _article(path: list[Node], nodes: list[Node]) -> Node | None:
+    """The article around the core, whose path to the root is given.
+
+    Innermost article first, one with a furniture name only if there is no other; then main or the marked body. Where the core lies between the articles of
+    such an element, the one with more than half of its characters is meant; with no such article it is a list, and stays whole.
+    """
+    wholes = [n for n in path if n.whole]
+    found = next((n for n in wholes if n.tag == "article" and not n.named), next((n for n in wholes if not n.named), wholes[-1] if wholes else None))
+    if found is not None and found.tag != "article":
+        below = {found}
+        for node in nodes:
+            if node.parent in below and not node.skip:
+                if node.tag == "article" and not node.named and 2 * node.chars > found.chars:
+                    return node
+                below.add(node)
+    return found
+
+
+def _leave_out(nodes: list[Node], article: Node, path: list[Node], threshold: float) -> None:
+    """Leave out of an article what is another one with a furniture name, and blocks of links thinner than the path of the core."""
+    inside, above = {article}, set(path)
+    for node in nodes:
+        if node.parent in inside and not node.skip:
+            menu = (node.tag in LINK_BLOCKS and node not in above and 2 * node.link_chars > node.chars and node.links >= 3
+                    and node.density < threshold)
+            node.skip = node.named or menu
+            inside.add(node)
+        elif node.parent in inside:
+            inside.add(node)
+    for node in nodes:
+        node.skip = node.skip or (node.parent is not None and node.parent.skip)
+
+
 def _blocks(top: Node, chosen: set[Node] | None) -> list[str]:
     """Texts of the blocks below ``top`` in page order; with ``chosen``, only what lies in those subtrees."""
     out: list[str] = []
@@ -240,12 +280,13 @@ def main_text(page: str | None) -> str:
     while up is not None:
         path.append(up)
         up = up.parent
-    around = next((n for n in reversed(path) if n.whole), None)
+    threshold = min(n.density for n in path)
+    around = _article(path, nodes)
     if around is not None:
+        _leave_out(nodes, around, path, threshold)
         return "\n\n".join(_blocks(around, None))
     if core.sum <= 0:
         return "\n\n".join(_blocks(body, None))
-    threshold = min(n.density for n in path)
     above = set(path)
     # Other parts count where they are as dense as the thinnest node between the core and the body.
     chosen = {core} | {n for n in nodes if not n.skip and n not in above and n.tag in BLOCKS and n.density >= threshold}

@@ -69,6 +69,30 @@ def test_names_inside_an_article():
     assert extract.main_text(page).split("\n\n") == ["Title", text, "Related work", text, "Discussion", text]
 
 
+LINKS = "<ul>" + "".join(f"<li><a href=/{i}>Another story number {i} of today</a>" for i in range(8)) + "</ul>"
+OTHER = "<p>" + "I read this and think quite differently about it, dear author. " * 3 + "</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<main><article>{BODY}{BODY}</article><div><h3>More stories</h3>{LINKS}</div></main>",
+    f"<main><article>{BODY}{BODY}</article><article class='comment'>{OTHER}</article></main>",
+    f"<main><article>{BODY}{BODY}<article class='comment'>{OTHER}</article></article></main>",
+    f"<main><div class='adbox'><p>Buy two of these now and save</p></div><article>{BODY}{BODY}</article></main>",
+    f"<article>{BODY}<div><h3>More stories</h3>{LINKS}</div>{BODY}</article>",
+    f"<main>{BODY}{BODY}<div><h3>More stories</h3>{LINKS}</div></main>",
+    f"<div id=x>{BODY}{BODY}</div><div><h3>More stories</h3>{LINKS}</div>"])
+def test_densities_decide_inside_articles(page):
+    text = " ".join(BODY[3:-4].split())
+    assert extract.main_text(f"<html><body>{page}</body></html>").split("\n\n") == [text, text]
+
+
+def test_a_list_of_articles_stays_whole():
+    page = "<body><main>" + f"<article>{BODY}</article>" * 4 + "</main></body>"
+    assert len(extract.main_text(page).split("\n\n")) == 4
+    linked = BODY.replace("itself", "<a href=x>itself</a>")
+    assert extract.main_text(f"<body><article>{linked}{BODY}</article></body>").count("itself") == 10
+
+
 # Mixing
 
 def test_mix_reaches_targets(spark, small):
