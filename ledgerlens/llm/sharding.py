@@ -2,7 +2,7 @@
 
 Several metadata dimensions are quantised to a grid, rows are ordered by the index of their cell on the Hilbert curve and the order is cut
 into runs, one per shard. Neighbouring cells of the curve are neighbours in every dimension, so each shard spans a small box of the
-metadata and files can be pruned by any of the dimensions. Law: ``rows`` - the shards' row counts differ by one at most.
+metadata and files can be pruned by any of the dimensions (``write_shards``, ``read_shards``). Law: ``rows`` - the shards' row counts differ by one at most.
 
 Ordering is one range-partitioned sort of narrow rows (no texts); a hot cell is split by id, digest and row number.
 
@@ -16,10 +16,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlens.functions.ranks import global_rank
-from ledgerlens.llm.frames import kept, with_numbers
+from ledgerlens.llm.frames import kept, numbered, with_numbers
 
 SHARDS = 24
 BITS = 10
@@ -93,14 +93,52 @@ def hilbert_shards(df: DataFrame, dims: Sequence[Column], order: Sequence[Column
     return numbered_rows.withColumn("slot", (at - first).cast("bigint")).drop("_rank", "_rows")
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
-    """Shard documents by source, language and size."""
-    text = F.col("text")
-    narrow = kept(with_numbers(docs, "doc_id", "text", "lang", "source").select(
-        "_row", "doc_id", "lang", "source",
-        (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("bigint").alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).cast("bigint").alias("text_crc32")), "shard-narrow")
-    cells = by_order(by_order(narrow, "source", "_source_cell", bits), "lang", "_lang_cell", bits)
+def _placed(rows: DataFrame, shards: int, bits: int) -> DataFrame:
+    """Shards of stored rows (_row, doc_id, lang, source, size, text_crc32) by source, language and size."""
+    cells = by_order(by_order(rows, "source", "_source_cell", bits), "lang", "_lang_cell", bits)
     dims = [F.col("_source_cell"), F.col("_lang_cell"), by_magnitude(F.col("size"), bits)]
     return hilbert_shards(cells, dims, [F.col("doc_id"), F.col("text_crc32"), F.col("_row")], shards, bits).drop(
         "_source_cell", "_lang_cell")
+
+
+def _narrow(rows: DataFrame) -> DataFrame:
+    text = F.col("text")
+    return rows.select(
+        "_row", "doc_id", "lang", "source", (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("bigint").alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).cast("bigint").alias("text_crc32"))
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
+    """Shard documents by source, language and size."""
+    return _placed(kept(_narrow(with_numbers(docs, "doc_id", "text", "lang", "source")), "shard-narrow"), shards, bits)
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
+    """Write the documents' own columns to ``path``, one folder ``shard=s`` per shard, in slot order; returns the bounds per shard.
+
+    The texts are shuffled once, to ranges of (shard, slot), so a shard may be many files and no task holds a whole one. Bounds are the
+    smallest and largest source, language and size and the rows of every shard, written to ``<path>-bounds``.
+    """
+    others = F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"])
+    rows = numbered(docs.select(others.alias("_doc"), "doc_id", "lang", "source", "text"), "_doc", "doc_id", "lang", "source", "text")
+    placed = kept(_placed(_narrow(rows), shards, bits), "shard-placed")
+    whole = rows.select("_row", "_doc", "text").join(placed.select("_row", "shard", "slot", "size").hint("merge"), "_row")
+    own = [F.col("text") if name == "text" else F.col(f"_doc.`{name}`").alias(name) for name in docs.columns if name not in ("shard", "slot")]
+    whole.repartitionByRange(F.col("shard"), F.col("slot")).sortWithinPartitions("shard", "slot").select(
+        *own, "slot", "shard").write.partitionBy("shard").parquet(path)
+    bounds = placed.groupBy("shard").agg(F.count("*").alias("rows"), *[
+        f(name).alias(f"{f.__name__}_{name}") for name in ("source", "lang", "size") for f in (F.min, F.max)])
+    bounds.write.parquet(f"{path}-bounds")
+    return docs.sparkSession.read.schema(bounds.schema).parquet(f"{path}-bounds")
+
+
+def read_shards(spark: SparkSession, path: str, **ranges: tuple) -> DataFrame:
+    """The written documents of shards that can hold rows within all ``ranges``, such as ``size=(100, 200)``; both ends belong to a range.
+
+    Only whole shards are left out: the rows themselves are for the caller to filter. There is one row of bounds per shard.
+    """
+    bounds = spark.read.parquet(f"{path}-bounds")
+    for name, (low, high) in ranges.items():
+        bounds = bounds.where((F.col(f"min_{name}") <= F.lit(high)) & (F.col(f"max_{name}") >= F.lit(low)))
+    wanted = [r.shard for r in bounds.select("shard").collect()]
+    return spark.read.parquet(path).where(F.col("shard").isin(wanted) if wanted else F.lit(False))
