@@ -25,6 +25,8 @@ from ledgerlens.llm import text as T
 from ledgerlens.llm.frames import kept, small_batches, unpacked
 
 COMBINE_BYTES = 16 << 20  # pieces combined by one task before they are handed on
+SAMPLE = 64  # one text in so many tells which anchors are hot
+HOT_ROWS = 64  # rows of the sample that make an anchor hot, if they are a large part, too
 SETTLE_BYTES = 1 << 20  # pieces whose groups are settled together
 
 
@@ -87,6 +89,18 @@ def anchors(compact: DataFrame, kind: Kind) -> DataFrame:
         run, "_row bigint, start int, starts int, offset int, anchor bigint")
 
 
+def hot_anchors(compact: DataFrame, kind: Kind) -> DataFrame:
+    """``anchor`` of those with more than a thousandth of all rows, by a sample of the texts: fewer than a thousand, so they are broadcast.
+
+    The sample only chooses the route of an anchor. Both routes mark the same windows, and a sampled anchor that counts ``HOT_ROWS`` rows does
+    occur more than once.
+    """
+    part = compact.where(F.pmod(F.xxhash64("_row"), F.lit(SAMPLE)) == 0)
+    sampled = kept(anchors(part, kind).groupBy("anchor").agg(F.count("*").alias("n")), "sampled-anchors")
+    total = sampled.agg(F.sum("n")).first()[0] or 0
+    return sampled.where((F.col("n") >= HOT_ROWS) & (F.col("n") > total / 1000)).select("anchor", F.lit(True).alias("_hot"))
+
+
 def pieces(texts: DataFrame, kind: Kind) -> DataFrame:
     """Pieces with their occurrences; ``texts`` has _row, doc_id, the packed text and the runs that are wanted."""
     schema = ("anchor bigint, body binary, starts int, offset int, rows array<bigint>, docs array<bigint>, "
@@ -236,8 +250,12 @@ def marked(compact: DataFrame, kind: Kind, settle: Settle, keep_first: bool, lim
     ``compact`` is a stored table with _row, doc_id and the packed text, and may have more. ``keep_first`` leaves the earliest occurrence of every
     repeated window unmarked. All columns are kept to the end, so that both joins use one exchange of the texts.
     """
-    occurrences = F.count("*").over(Window.partitionBy("anchor"))  # rows of a few numbers; the window spills
-    again = kept(anchors(compact, kind).withColumn("n", occurrences).where("n > 1"), "repeated-anchors")
+    # An anchor that the sample shows to be hot is crowded without a count, and its rows are dealt by row number.
+    runs = anchors(compact, kind).join(F.broadcast(hot_anchors(compact, kind)), "anchor", "left")
+    hot = F.col("_hot").isNotNull()
+    dealt = Window.partitionBy("anchor", F.when(hot, F.pmod(F.xxhash64("_row"), F.lit(1024))).otherwise(0))
+    counted = runs.withColumn("n", F.when(hot, F.lit(limit + 1)).otherwise(F.count("*").over(dealt)))
+    again = kept(counted.where("n > 1").drop("_hot"), "repeated-anchors")
 
     def found(runs: DataFrame) -> DataFrame:
         wanted = runs.groupBy("_row").agg(F.collect_list(F.struct("start", "starts", "offset", "anchor")).alias("runs"))
