@@ -20,7 +20,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlens.llm.frames import kept, let, numbered, words
+from ledgerlens.llm.frames import kept, let, words
 
 TERM = 2
 BITS = 64
@@ -79,27 +79,29 @@ def _id_ranges(docs: DataFrame, n: int) -> Column:
 
 
 def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
-    """_row, doc_id, text and the row number and text of the next row in descending ``doc_id`` order (the first after the last).
+    """_row, doc_id, text and the place and text of the next row in descending ``doc_id`` order (the first after the last).
 
-    Each range of ids is one window partition; the first row of a range is passed to the range before it through a table of
-    one row per range.
+    ``_row`` is the place in that order, a function of the rows alone: whoever reads the table again, split as it may be, gives equal rows
+    equal places. Each range of ids is one window partition; the first text of a range is passed to the range before it through a
+    table of one row per range.
     """
     n = ranges or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = numbered(docs, "doc_id", "text").select(
-        "_row", "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("_range", _id_ranges(docs, n))
+    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("_range", _id_ranges(docs, n))
     at = F.col("doc_id")
-    first = rows.groupBy("_range").agg(F.min_by(
-        F.struct("_row", "text"), F.struct(at.isNull(), -F.coalesce(at, F.lit(0)), "text", "_row")).alias("_first"))
+    first = rows.groupBy("_range").agg(
+        F.count("*").alias("_n"), F.min_by("text", F.struct(at.isNull(), -F.coalesce(at, F.lit(0)), "text")).alias("_first"))
     # One row per range reaches this window. The last range finds no later one and takes the head of the first.
     around = Window.partitionBy().orderBy("_range")
-    heads = first.select("_range", F.coalesce(
-        F.lead("_first").over(around), F.first("_first").over(around.rowsBetween(Window.unboundedPreceding, 0)),
-    ).alias("_head"))
-    inside = Window.partitionBy("_range").orderBy(at.desc_nulls_last(), "text", "_row")
-    stepped = rows.withColumn("_next", F.lead(F.struct("_row", "text")).over(inside))
+    before, whole = around.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
+    heads = first.select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"), F.sum("_n").over(whole).alias("_all"), F.coalesce(
+            F.lead("_first").over(around), F.first("_first").over(around.rowsBetween(Window.unboundedPreceding, 0))).alias("_head"))
+    inside = Window.partitionBy("_range").orderBy(at.desc_nulls_last(), "text")
+    stepped = rows.select("*", F.lead("text").over(inside).alias("_next"), F.row_number().over(inside).alias("_at"))
     # The heads are few but hold whole texts: joined without a broadcast hint.
-    return stepped.join(heads, "_range").withColumn("_next", F.coalesce("_next", "_head")).select(
-        "_row", "doc_id", "text", F.col("_next._row").alias("_next_row"), F.col("_next.text").alias("_next_text"))
+    row = F.col("_offset") + F.col("_at")
+    return stepped.join(heads, "_range").select(
+        row.alias("_row"), "doc_id", "text", (row % F.col("_all") + 1).alias("_next_row"), F.coalesce("_next", "_head").alias("_next_text"))
 
 
 def edited(text: Column, other: Column) -> Column:
