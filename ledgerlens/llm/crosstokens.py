@@ -48,16 +48,20 @@ def byte_of_symbol() -> dict[str, int]:
 
 
 class Side:
-    """One tokenizer: ids of a text, and bytes, lengths and space marks by id."""
+    """One tokenizer: ids of a text as an array, and bytes, lengths and space marks by id. A ``lossless`` one spells every text by its making."""
 
-    def __init__(self, entries: Sequence[bytes], ids):
-        self.entries, self.ids = entries, ids
+    def __init__(self, entries: Sequence[bytes], ids, lossless: bool = False):
+        self.entries, self.ids, self.lossless = entries, ids, lossless
         self.sizes = [len(e) for e in entries]
         self.lengths = np.array(self.sizes, np.int64)
         self.marked = np.array([e.startswith(b" ") for e in entries])
 
-    def spells(self, ids: Sequence[int], data: bytes) -> bool:
-        return b"".join(map(self.entries.__getitem__, ids)) == data
+    def spells(self, ids: np.ndarray, data: bytes) -> bool:
+        return self.lossless or b"".join(map(self.entries.__getitem__, ids.tolist())) == data
+
+
+def _numbers(ids: list[int]) -> np.ndarray:
+    return np.frombuffer(array("I", ids), np.uint32)
 
 
 def _ranks(config: dict, symbols: dict[str, int]) -> dict[bytes, int] | None:
@@ -70,7 +74,8 @@ def _ranks(config: dict, symbols: dict[str, int]) -> dict[bytes, int] | None:
     first = len(vocabulary) - len(merges)
     if not plain or any(vocabulary.get(a + b) != first + i for i, (a, b) in enumerate(merges)):
         return None
-    return {bytes(map(symbols.__getitem__, token)): i for token, i in vocabulary.items()}
+    ranks = {bytes(map(symbols.__getitem__, token)): i for token, i in vocabulary.items()}
+    return ranks if all(bytes([i]) in ranks for i in range(256)) else None
 
 
 def byte_level_side(config: bytes, pattern: str) -> Side:
@@ -89,8 +94,9 @@ def byte_level_side(config: bytes, pattern: str) -> Side:
     ranks = _ranks(content, symbols)
     if ranks:
         encoding = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        return Side(entries, lambda text: encoding.encode_ordinary(" " + text))
-    return Side(entries, lambda text: tokenizer.encode(" " + text, add_special_tokens=False).ids)
+        # Merges by rank start from the bytes of the text, all of which are in the vocabulary.
+        return Side(entries, lambda text: encoding.encode_to_numpy(" " + text, disallowed_special=()), lossless=True)
+    return Side(entries, lambda text: _numbers(tokenizer.encode(" " + text, add_special_tokens=False).ids))
 
 
 def piece_side(model: bytes) -> Side:
@@ -100,7 +106,7 @@ def piece_side(model: bytes) -> Side:
     for i in range(pieces.get_piece_size()):
         piece = pieces.id_to_piece(i)
         entries.append(bytes([int(piece[3:5], 16)]) if pieces.is_byte(i) else piece.replace("▁", " ").encode())
-    return Side(entries, pieces.encode)
+    return Side(entries, lambda text: _numbers(pieces.EncodeAsIds(text)))
 
 
 class Alignment:
@@ -109,12 +115,11 @@ class Alignment:
     def __init__(self, a: Side, b: Side, memo: int = MEMO):
         self.a, self.b, self.memo, self.known = a, b, memo, {}
 
-    def windows(self, a: Sequence[int], b: Sequence[int]) -> Iterator[bytes]:
+    def windows(self, at: np.ndarray, bt: np.ndarray) -> Iterator[bytes]:
         """The id sequences cut at anchors: each window as its tuple of A ids and, marked by the highest bit, B ids, 32 bits each.
 
         Packed, a tuple is hashed and compared as one stretch of memory.
         """
-        at, bt = np.array(a), np.array(b)
         ends_a, ends_b = self.a.lengths[at].cumsum(), self.b.lengths[bt].cumsum()
         before_a = np.flatnonzero(self.a.marked[at[1:]])  # tokens before a space-marked one
         before_b = np.flatnonzero(self.b.marked[bt[1:]])
@@ -125,7 +130,7 @@ class Alignment:
             before_a, before_b = before_a[shared], before_b[place[shared]]
         else:
             before_a = before_b = before_a[:0]
-        packed_a, packed_b = at.astype("<u4").tobytes(), (bt | MARK).astype("<u4").tobytes()
+        packed_a, packed_b = at.astype("<u4", copy=False).tobytes(), (bt | np.uint32(MARK)).astype("<u4", copy=False).tobytes()
         i = j = 0
         for k, m in zip([*(4 * before_a + 4).tolist(), len(packed_a)], [*(4 * before_b + 4).tolist(), len(packed_b)]):
             yield packed_a[i:k] + packed_b[j:m]
@@ -164,9 +169,9 @@ class Alignment:
 
     def align(self, text: str | None):
         """The values of DIGESTS for one text; pairs and times as arrays."""
-        a, b = (self.a.ids(text), self.b.ids(text)) if text else ((), ())
+        a, b = (self.a.ids(text), self.b.ids(text)) if text else (NO_PAIRS, NO_PAIRS)
         data = b" " + (text or "").encode()
-        if not a or not b or not self.a.spells(a, data) or not self.b.spells(b, data):
+        if not len(a) or not len(b) or not self.a.spells(a, data) or not self.b.spells(b, data):
             return 0, 0, 0, 0, "", NO_PAIRS, NO_PAIRS
         known, work = self.known.get, self.window
         found = [known(key) or work(key) for key in self.windows(a, b)]
