@@ -92,8 +92,7 @@ def anchors(compact: DataFrame, kind: Kind) -> DataFrame:
 def hot_anchors(compact: DataFrame, kind: Kind) -> DataFrame:
     """``anchor`` of those with more than a thousandth of all rows, by a sample of the texts: fewer than a thousand, so they are broadcast.
 
-    The sample only chooses the route of an anchor. Both routes mark the same windows, and a sampled anchor that counts ``HOT_ROWS`` rows does
-    occur more than once.
+    The sample only chooses how an anchor's rows are dealt for counting.
     """
     part = compact.where(F.pmod(F.xxhash64("_row"), F.lit(SAMPLE)) == 0)
     sampled = kept(anchors(part, kind).groupBy("anchor").agg(F.count("*").alias("n")), "sampled-anchors")
@@ -250,12 +249,13 @@ def marked(compact: DataFrame, kind: Kind, settle: Settle, keep_first: bool, lim
     ``compact`` is a stored table with _row, doc_id and the packed text, and may have more. ``keep_first`` leaves the earliest occurrence of every
     repeated window unmarked. All columns are kept to the end, so that both joins use one exchange of the texts.
     """
-    # An anchor that the sample shows to be hot is crowded without a count, and its rows are dealt by row number.
+    # An anchor that the sample shows to be hot is dealt by row number and counted apart; there are fewer than a thousand.
     runs = anchors(compact, kind).join(F.broadcast(hot_anchors(compact, kind)), "anchor", "left")
     hot = F.col("_hot").isNotNull()
     dealt = Window.partitionBy("anchor", F.when(hot, F.pmod(F.xxhash64("_row"), F.lit(1024))).otherwise(0))
-    counted = runs.withColumn("n", F.when(hot, F.lit(limit + 1)).otherwise(F.count("*").over(dealt)))
-    again = kept(counted.where("n > 1").drop("_hot"), "repeated-anchors")
+    stored = kept(runs.withColumn("n", F.count("*").over(dealt)).where(hot | (F.col("n") > 1)), "repeated-anchors")
+    heavy = stored.where(hot).groupBy("anchor").agg(F.count("*").alias("_n"))
+    again = stored.join(F.broadcast(heavy), "anchor", "left").withColumn("n", F.coalesce("_n", "n")).drop("_hot", "_n").where("n > 1")
 
     def found(runs: DataFrame) -> DataFrame:
         wanted = runs.groupBy("_row").agg(F.collect_list(F.struct("start", "starts", "offset", "anchor")).alias("runs"))

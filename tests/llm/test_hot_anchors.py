@@ -1,4 +1,4 @@
-"""Anchors that a sample shows to be hot take their own route and give the same marks."""
+"""Anchors that a sample shows to be hot are counted apart and give the same marks."""
 
 import brute
 from ledgerlens.llm import repeats, substrings, suffixes
