@@ -18,6 +18,7 @@ further columns are not looked at; texts are tokenised one at a time, so a long
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 from array import array
@@ -212,7 +213,12 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, pattern: str, keep: tuple
     def run(batches):
         both = _alignment(shared)
         for batch in batches:
-            rows = [both.align(text.as_py()) for text in batch.column("text")]
+            # Nothing here refers to itself; the collector would walk the remembered windows again and again.
+            gc.disable()
+            try:
+                rows = [both.align(text.as_py()) for text in batch.column("text")]
+            finally:
+                gc.enable()
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in keep), *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)),
                  *(lists([r[i] for r in rows]) for i in (5, 6))], names=[*keep, *names])
