@@ -15,6 +15,7 @@ from ledgerlens.schema import BEHAVIOURAL_FEATURES, FEATURES_BY_OPERATOR, REFERE
 from ledgerlens.session import stage_table
 from ledgerlens.sources.ledger import build_ledger
 
+GROUPS_AT_ONCE = 4  # groups joined in one stage: a task holds the sorts and aggregations of these only
 _BASE_GROUPS = ("counterparty_network", "channel_mix", "amount_profile", "balance_profile", "calendar", "geo_ip_profile")
 LEDGER_MEDIANS = tuple(name for group in _BASE_GROUPS for name in FEATURES_BY_OPERATOR[group])
 STATIC_MEDIANS = ("days_since_mobile_update", "accounts_per_employee")
@@ -100,12 +101,18 @@ def feature_groups(full: DataFrame, dims: Dimensions, hot: HotKeys, as_of: str =
 
 
 def raw_matrix(full: DataFrame, dims: Dimensions, hot: HotKeys, as_of: str = REFERENCE_DATE) -> DataFrame:
-    """M1: every id with all 125 features in published order, NULL where a group has no row."""
+    """M1: every id with all 125 features in published order, NULL where a group has no row.
+
+    Groups are joined a few at a time, and what is joined so far is stored. In one plan all groups would be sorted and aggregated in the same tasks.
+    """
     groups = []
     for group in feature_groups(full, dims, hot, as_of):
         wanted = [c for c in group.columns if c in BEHAVIOURAL_FEATURES]
         groups.append(group.select("account_id", *wanted))
-    return assemble(dims.ids, *groups).select("account_id", *BEHAVIOURAL_FEATURES)
+    joined = dims.ids
+    for at in range(0, len(groups), GROUPS_AT_ONCE):
+        joined = stage_table(assemble(joined, *groups[at:at + GROUPS_AT_ONCE]), "joined")
+    return joined.select("account_id", *BEHAVIOURAL_FEATURES)
 
 
 def build_features(
@@ -113,6 +120,6 @@ def build_features(
 ) -> DataFrame:
     """Ledger to imputed feature matrix: one row per id, no NULLs, as doubles."""
     hot = find_hot_keys(tx) if hot is None else hot
-    raw = stage_table(raw_matrix(clustered_ledger(tx, extension), dims, hot, as_of), "features")
+    raw = raw_matrix(clustered_ledger(tx, extension), dims, hot, as_of)
     filled = impute(raw, [*LEDGER_MEDIANS, *STATIC_MEDIANS], FILLS)
     return filled.select("account_id", *[F.col(c).cast("double").alias(c) for c in BEHAVIOURAL_FEATURES])

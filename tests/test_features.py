@@ -69,3 +69,28 @@ def test_quality_gate_passes_on_the_matrix(data, spark):
     twice = features.unionByName(features.limit(1)).withColumn("is_mule", F.lit(1))
     gate = {r.check_name: r.passed for r in assemble.quality_gate(twice, data.ids).collect()}
     assert gate["repeated_ids"] == 0 and gate["banned_columns"] == 0 and gate["missing_ids"] == 1
+
+
+def test_groups_are_joined_a_few_at_a_time(spark, monkeypatch):
+    """No stage of the matrix holds the joins of all groups; missing and repeated keys come out as from one join of all."""
+    from ledgerlens.operators.assemble import assemble
+    from ledgerlens.plans import features as plan
+    from ledgerlens.schema import BEHAVIOURAL_FEATURES
+    keys, parts = ["k1", "k2", "k3", None], [BEHAVIOURAL_FEATURES[at:at + 13] for at in range(0, len(BEHAVIOURAL_FEATURES), 13)]
+    groups = [spark.createDataFrame([(k, *[float(g * 100 + i)] * len(part)) for i, k in enumerate((keys * 2)[g % 4:g % 4 + 2 + (g == 6) * 3])],
+                                    "account_id string, " + ", ".join(f"{c} double" for c in part)) for g, part in enumerate(parts)]
+    ids = spark.createDataFrame([(k,) for k in keys], "account_id string")
+    calls = []
+
+    def counted(left, *some):
+        calls.append(len(some))
+        return assemble(left, *some)
+
+    monkeypatch.setattr(plan, "assemble", counted)
+    monkeypatch.setattr(plan, "feature_groups", lambda *_: groups)
+    dims = plan.Dimensions(ids, *[None] * 7)
+    found = plan.raw_matrix(None, dims, None)
+    assert max(calls) <= 4 < sum(calls) == len(groups)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    wanted = assemble(ids, *groups).select("account_id", *BEHAVIOURAL_FEATURES)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect())) and found.count() > len(keys)
