@@ -26,6 +26,7 @@ from ledgerlens.session import importable, stage, stage_table
 
 MAX_LABELLED = 100_000  # labelled rows a fit may use; more are thinned by hash of the account, both classes alike
 NODES_PER_BATCH = 2_000
+EXPLAINERS = 96  # tasks that explain rows: a sample of thousands of rows is small to a planner, but each row visits every leaf of every tree
 
 
 @dataclass(frozen=True)
@@ -146,8 +147,10 @@ def fit_members(
     for table in tables[1:]:
         coded = coded.unionByName(table)
     coded = stage_table(coded, "binned")
-    folds = sorted(r.fold for r in coded.select("fold").distinct().collect())  # at most one entry per fold
-    slots = [(fold, spec) for fold in folds for spec in specs]
+    sizes = coded.groupBy("fold").count().collect()  # at most one entry per fold
+    folds = [r.fold for r in sorted(sizes, key=lambda r: (-r["count"], r.fold))]
+    # Tasks start in the order of the slots: the longest fits first, so that none of them is left to run alone at the end.
+    slots = [(fold, spec) for fold in folds for spec in sorted(specs, key=lambda s: -s.rounds * (s.leaves or 2 ** s.depth))]
     if not slots:
         return coded.sparkSession.createDataFrame([], StructType.fromDDL(f"fold int, {NODES}"))
     slot = F.explode(F.array(*[F.struct(F.lit(fold).alias("fold"), F.lit(spec.bins).alias("bins"), F.lit(i).alias("slot"))
@@ -273,12 +276,15 @@ def explained(labelled: DataFrame, counts: DataFrame, **sizes: int) -> DataFrame
 def contributions(
     nodes: DataFrame, rows: DataFrame, features: Sequence[str], specs: Sequence[MemberSpec] = MEMBER_SPECS,
 ) -> DataFrame:
-    """Shapley values of every member's margin: account_id, model, feature, contribution, from stored nodes alone."""
+    """Shapley values of every member's margin: account_id, model, feature, contribution, from stored nodes alone.
+
+    Rows are dealt over ``EXPLAINERS`` tasks, however few bytes they have.
+    """
     columns = _columns(specs, features)
     spark = rows.sparkSession
     importable(spark)
     shared = spark.sparkContext.broadcast(_forests(nodes.withColumn("fold", F.lit(0)), specs, features).get(0, {}))
-    chosen = rows.select("account_id", *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)])
+    chosen = rows.select("account_id", *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(columns)]).repartition(EXPLAINERS, "account_id")
     kind = chosen.schema["account_id"].dataType.simpleString()
 
     def run(batches):

@@ -288,3 +288,30 @@ def test_contributions_of_rows_add_up(spark, people):
         assert len(means) == 1  # the score less its contributions is the same mean for every row
     table = members.member_importances(nodes, train, FEATURES, SMALL).collect()
     assert len(table) == sum(4 if s.encoded else 3 for s in SMALL) and all(r.importance >= 0 for r in table)
+
+
+def test_sums_of_a_leaf_do_not_depend_on_its_size(monkeypatch):
+    """Large leaves are counted feature by feature, small ones at once; both add in the order of the rows, over the drawn features only."""
+    rng = np.random.default_rng(5)
+    codes, g, h = rng.integers(0, 9, (400, 6)).astype(np.uint8), rng.normal(size=400), rng.random(400)
+    rows, features = np.sort(rng.choice(400, 150, replace=False)), np.array([1, 3, 4])
+    grower = boosting.LeafWise(codes, np.full(6, 8), members.MEMBER_SPECS[0])
+    wanted = np.zeros((3, 3, 10))
+    for row in rows:
+        for i, f in enumerate(features):
+            wanted[:, i, codes[row, f]] += (1, g[row], h[row])
+    for few in (1, 1_000):
+        monkeypatch.setattr(boosting, "FEW_ROWS", few)
+        assert (grower.sums(rows, features, g, h) == wanted).all()
+        everything = grower.sums(np.arange(400), features, g, h)
+        assert (everything[0].sum(axis=1) == 400).all()
+
+
+def test_explanations_are_spread(spark):
+    """A small sample is dealt over many tasks: its rows are few bytes, but each visits every leaf."""
+    nodes = spark.createDataFrame([("a", -1, 0, None, None, None, None, None, 0.0, 0.25, 9.0), ("a", 0, 0, "f", 0.5, True, 1, 2, 1.0, 0.0, 9.0),
+                                   ("a", 0, 1, None, None, None, None, None, 0.0, -1.0, 6.0), ("a", 0, 2, None, None, None, None, None, 0.0, 2.0, 3.0)], NODES)
+    rows = spark.createDataFrame([(str(i), float(i % 2)) for i in range(300)], "account_id string, f double").coalesce(1)
+    found = members.contributions(nodes, rows, ["f"], members.MEMBER_SPECS[:1])
+    assert found.rdd.getNumPartitions() >= 48
+    assert sorted((int(r.account_id), round(r.contribution, 9)) for r in found.collect()) == [(i, 2.0 if i % 2 else -1.0) for i in range(300)]
