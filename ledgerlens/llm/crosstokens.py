@@ -8,6 +8,11 @@ Anchors: offsets at which both end and in both the next token is marked by a spa
 words, and the same windows come again and again: a window's groups and links are worked out once per worker and looked up by its ids.
 Only ids and lengths matter inside a window, so a look-up gives what an alignment of the whole text would.
 
+Most anchors can be told from the text: a space after another character than a space and before one that is not white. Where no token of either
+vocabulary reaches over such a place and neither side merges or splits by what lies beyond it (``Side.cuts``, told from the files), a text's ids are
+those of its words one after the other. Then only words that a worker does not remember are tokenised, those of a text together, and a window is looked up
+by its spelling. Other tokenizers, and the words at the ends of a text that have white space there, are tokenised as they stand.
+
 Corpus counts: a document carries its different pairs with their numbers of occurrences, stored once. Documents per pair are summed inside
 tasks before the shuffle. Pairs that hold a large part of all entries return to the documents by a broadcast of bounded size, the others by a merge join.
 
@@ -21,6 +26,7 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
+import re
 from array import array
 from collections.abc import Iterator, Sequence
 
@@ -38,6 +44,11 @@ MEMO = 400_000  # windows a worker remembers
 MARK = 1 << 31
 NO_PAIRS = np.empty(0, np.int64)
 MEMO_TOKENS = 48  # longer windows hardly come again and are aligned each time
+MEMO_CHARS = 64  # and longer words
+GPT2_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # a match has a space at its start or is white
+SPACE_AND_WHITE = re.compile(r" \s")
+WORD_START = re.compile(r"(?<! ) (?=\S)")
+OTHER_BYTES = (0, b"", b"")  # of a word that a side spells in other bytes
 DIGESTS = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, pairs array<bigint>, times array<bigint>"
 
 
@@ -49,10 +60,13 @@ def byte_of_symbol() -> dict[str, int]:
 
 
 class Side:
-    """One tokenizer: ids of a text as an array, and bytes, lengths and space marks by id. A ``lossless`` one spells every text by its making."""
+    """One tokenizer: ids of a text as an array, and bytes, lengths and space marks by id. A ``lossless`` one spells every text by its making.
+
+    One that ``cuts`` has the same ids for a text and for its words (``spelled_words``) one after the other.
+    """
 
-    def __init__(self, entries: Sequence[bytes], ids, lossless: bool = False):
-        self.entries, self.ids, self.lossless = entries, ids, lossless
+    def __init__(self, entries: Sequence[bytes], ids, lossless: bool = False, cuts: bool = False):
+        self.entries, self.ids, self.lossless, self.cuts = entries, ids, lossless, cuts
         self.sizes = [len(e) for e in entries]
         self.lengths = np.array(self.sizes, np.int64)
         self.marked = np.array([e.startswith(b" ") for e in entries])
@@ -96,10 +110,24 @@ def byte_level_side(config: bytes, pattern: str) -> Side:
     if ranks:
         encoding = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         # Merges by rank start from the bytes of the text, all of which are in the vocabulary.
-        return Side(entries, lambda text: encoding.encode_to_numpy(" " + text, disallowed_special=()), lossless=True)
+        return Side(entries, lambda text: encoding.encode_to_numpy(" " + text, disallowed_special=()), lossless=True,
+                    cuts=pattern == GPT2_SPLIT)
     return Side(entries, lambda text: _numbers(tokenizer.encode(" " + text, add_special_tokens=False).ids))
 
 
+def _merges_inside_words(model: bytes, spelled: Sequence[str]) -> bool:
+    """Whether B takes every character as it stands and merges pairs, none of them over the end of a word."""
+    try:
+        from sentencepiece import sentencepiece_model_pb2
+    except ImportError:  # needs protobuf; whole texts then
+        return False
+    content = sentencepiece_model_pb2.ModelProto.FromString(model)
+    normal, trained = content.normalizer_spec, content.trainer_spec
+    plain = (trained.model_type == trained.BPE and not normal.precompiled_charsmap and not normal.normalization_rule_tsv and normal.add_dummy_prefix
+             and normal.escape_whitespaces and not normal.remove_extra_whitespaces and not trained.treat_whitespace_as_suffix)
+    return plain and not any("\u2581" in piece.lstrip("\u2581") for piece in spelled)
+
+
 def piece_side(model: bytes) -> Side:
     """Tokenizer B from the bytes of its model file; it adds the space itself."""
     pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -107,7 +135,19 @@ def piece_side(model: bytes) -> Side:
     for i in range(pieces.get_piece_size()):
         piece = pieces.id_to_piece(i)
         entries.append(bytes([int(piece[3:5], 16)]) if pieces.is_byte(i) else piece.replace("▁", " ").encode())
-    return Side(entries, lambda text: _numbers(pieces.EncodeAsIds(text)))
+    spelled = [pieces.id_to_piece(i) for i in range(len(entries))]
+    return Side(entries, lambda text: _numbers(pieces.EncodeAsIds(text)), cuts=_merges_inside_words(model, spelled))
+
+
+def spelled_words(text: str) -> list[str]:
+    """The text cut at every space that follows another character than a space and precedes one that is not white; those spaces left out.
+
+    Joined by one space they give the text again. Only the first can start with white space and only the last can end with a space.
+    """
+    if not SPACE_AND_WHITE.search(f" {text} "):
+        return text.split(" ")
+    first, *others = WORD_START.split(" " + text)
+    return [first[1:], *others] if first else others
 
 
 class Alignment:
@@ -137,10 +177,8 @@ class Alignment:
             yield packed_a[i:k] + packed_b[j:m]
             i, j = k, m
 
-    def window(self, key: bytes) -> tuple[bytes, bytes]:
+    def groups(self, a: list[int], b: list[int]) -> tuple[bytes, bytes]:
         """Text of the groups and linked pairs (64 bits each) of a window. Both sides are walked to their next common end."""
-        ids = array("I", key).tolist()
-        a, b = [x for x in ids if x < MARK], [x - MARK for x in ids if x >= MARK]
         size_a, size_b, b_ids = self.a.sizes, self.b.sizes, len(self.b.entries)
         said, pairs, i, j = [], [], 0, 0
         while i < len(a):
@@ -161,25 +199,70 @@ class Alignment:
             else:
                 said.append(f"{','.join(map(str, a[at_i:i]))}|{','.join(map(str, b[at_j:j]))}")
                 pairs += [x * b_ids + y for x in a[at_i:i] for y in b[at_j:j]]
-        found = ";".join(said).encode(), array("q", pairs).tobytes()
-        if len(ids) <= MEMO_TOKENS:
-            if len(self.known) >= self.memo:
-                self.known.clear()
-            self.known[key] = found
+        return ";".join(said).encode(), array("q", pairs).tobytes()
+
+    def remember(self, key: bytes | str, found: tuple) -> tuple:
+        if len(self.known) >= self.memo:
+            self.known.clear()
+        self.known[key] = found
+        return found
+
+    def window(self, key: bytes) -> tuple[bytes, bytes]:
+        """Groups and pairs of a window of ids."""
+        ids = array("I", key).tolist()
+        found = self.groups([x for x in ids if x < MARK], [x - MARK for x in ids if x >= MARK])
+        return self.remember(key, found) if len(ids) <= MEMO_TOKENS else found
+
+    def stretch(self, text: str) -> tuple[int, bytes, bytes]:
+        """Numbers of tokens (A's in the upper 32 bits), groups and pairs of a text tokenised as it stands, window by window."""
+        a, b, data = self.a.ids(text), self.b.ids(text), b" " + text.encode()
+        if not len(a) or not len(b) or not self.a.spells(a, data) or not self.b.spells(b, data):
+            return OTHER_BYTES
+        known, work = self.known.get, self.window
+        said, pairs = zip(*[known(key) or work(key) for key in self.windows(a, b)])
+        return len(a) << 32 | len(b), b";".join(said), b"".join(pairs)
+
+    def learn(self, words: list[str]) -> dict[str, tuple[int, bytes, bytes]]:
+        """What ``stretch`` says of each word, for words that neither start with white space nor end with a space: tokenised as one text and cut again."""
+        text = " ".join(words)
+        data = b" " + text.encode()
+        a, b = self.a.ids(text), self.b.ids(text)
+        if not self.a.spells(a, data) or not self.b.spells(b, data):
+            return {word: self.stretch(word) for word in words}
+        ends = np.fromiter(map(len, words) if text.isascii() else (len(word.encode()) for word in words), np.int64, len(words))
+        ends = (ends + 1).cumsum()
+        cuts_a, cuts_b = ((side.lengths[ids].cumsum().searchsorted(ends) + 1).tolist() for side, ids in ((self.a, a), (self.b, b)))
+        a, b, i, j, found = a.tolist(), b.tolist(), 0, 0, {}
+        for word, k, m in zip(words, cuts_a, cuts_b):
+            found[word] = (k - i) << 32 | (m - j), *self.groups(a[i:k], b[j:m])
+            if len(word) <= MEMO_CHARS:
+                self.remember(word, found[word])
+            i, j = k, m
+        return found
+
+    def stretches(self, text: str) -> list[tuple[int, bytes, bytes]]:
+        """Numbers of tokens, groups and pairs of the words of a text; of the whole text where a side cannot be cut."""
+        if not self.a.cuts or not self.b.cuts:
+            return [self.stretch(text)]
+        words = spelled_words(text)
+        found = list(map(self.known.get, words))
+        if None in found:
+            missing = dict.fromkeys([word for word, said in zip(words, found) if said is None])
+            ends = {word for word in (words[0], words[-1]) if word in missing and (word[0].isspace() or word[-1] == " ")}
+            new = self.learn([word for word in missing if word not in ends]) if len(missing) > len(ends) else {}
+            new.update((word, self.stretch(word)) for word in ends)
+            found = [said or new[word] for word, said in zip(words, found)]
         return found
 
     def align(self, text: str | None):
         """The values of DIGESTS for one text; pairs and times as arrays."""
-        a, b = (self.a.ids(text), self.b.ids(text)) if text else (NO_PAIRS, NO_PAIRS)
-        data = b" " + (text or "").encode()
-        if not len(a) or not len(b) or not self.a.spells(a, data) or not self.b.spells(b, data):
+        found = self.stretches(text) if text else [OTHER_BYTES]
+        if OTHER_BYTES in found:
             return 0, 0, 0, 0, "", NO_PAIRS, NO_PAIRS
-        known, work = self.known.get, self.window
-        found = [known(key) or work(key) for key in self.windows(a, b)]
-        groups = b";".join([said for said, _ in found])
-        linked = np.frombuffer(b"".join([pairs for _, pairs in found]), np.int64)
+        sizes, said, linked = zip(*found)
+        n, groups, linked = sum(sizes), b";".join(said), np.frombuffer(b"".join(linked), np.int64)
         pairs, times = np.unique(linked, return_counts=True)
-        return len(a), len(b), groups.count(b"|"), len(linked), hashlib.sha256(groups).hexdigest(), pairs, times
+        return n >> 32, n & 0xFFFFFFFF, groups.count(b"|"), len(linked), hashlib.sha256(groups).hexdigest(), pairs, times
 
 
 _READY: dict[int, Alignment] = {}

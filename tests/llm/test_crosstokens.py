@@ -135,3 +135,35 @@ def test_other_vocabulary_files_go_through_their_library(tools):
     side = crosstokens.byte_level_side(json.dumps(content).encode(), PATTERN)
     assert side.ids("A Text").tolist() == tools[0].encode(" a text", add_special_tokens=False).ids
     assert crosstokens.Alignment(side, side).align("A Text")[0] == 0  # other bytes than the text's
+
+
+def listed_values(found):
+    return [x.tolist() if hasattr(x, "tolist") else x for x in found]
+
+
+def test_remembered_words_are_not_tokenised_again(tools):
+    both = crosstokens.Alignment(crosstokens.byte_level_side(open(A, "rb").read(), PATTERN), crosstokens.piece_side(open(B, "rb").read()))
+    given = []
+    for side in (both.a, both.b):
+        assert side.cuts
+        side.ids = lambda text, ids=side.ids: given.append(text) or ids(text)
+    first = both.align("some words in some lines")
+    assert given == ["some words in lines"] * 2
+    assert listed_values(both.align("some words in some lines")) == listed_values(first)
+    both.align("lines in  some new words")
+    assert given[2:] == ["in  some new"] * 2
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab cd\n\t.'1\u3000\x1c\u00a0\u2581\u00e9\u6f22\U0001f600 "), max_size=40), min_size=1, max_size=3))
+def test_words_give_what_whole_texts_give(both, texts):
+    whole = crosstokens.Alignment(both.a, both.b)
+    whole.stretches = lambda text: [whole.stretch(text)]
+    for text in texts:
+        assert " ".join(crosstokens.spelled_words(text)) == text
+        assert listed_values(both.align(text)) == listed_values(whole.align(text))
+
+
+def test_pieces_over_word_ends_are_not_cut():
+    model = open(B, "rb").read()
+    assert crosstokens._merges_inside_words(model, ["\u2581\u2581", "\u2581a"]) and not crosstokens._merges_inside_words(model, ["a\u2581"])
