@@ -1,8 +1,8 @@
 """Boosted-tree members on two feature views: training, out-of-fold scores, refit, scoring and contributions (Y5-Y7, B-2).
 
-All fits are one Spark job. The labelled rows a fit may use are bounded by ``limit``; each fold's are binned once into byte codes and stored, and every
-(fold, member) is one partition that grows its trees from them. What comes out is a stored table of nodes; scoring and
-explaining read that table and no label.
+All fits are one Spark job over every labelled row. The rows of a fold are numbered in the order of their accounts and binned a few features a task into
+byte codes, which are stored feature by feature; every (fold, member) is one partition that lays them into a mapped file and grows its trees from
+them. What comes out is a stored table of nodes; scoring and explaining read that table and no label.
 """
 
 from __future__ import annotations
@@ -11,12 +11,12 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from ledgerlens.functions.ranks import global_rank
 from ledgerlens.operators import boosting
 from ledgerlens.operators.blend import balanced_sample
 from ledgerlens.operators.encoding import fold_codes, risky_code_share, risky_codes, walk_forward_folds, with_fold_encoding
@@ -24,7 +24,8 @@ from ledgerlens.operators.trees import NODES, Forest
 from ledgerlens.schema import ENCODED_FEATURE, FOLDS
 from ledgerlens.session import importable, stage, stage_table
 
-MAX_LABELLED = 100_000  # labelled rows a fit may use; more are thinned by hash of the account, both classes alike
+COLUMNS_AT_ONCE = 4  # columns that one task bins: it holds 8 bytes a labelled row for each
+CODES_AT_ONCE = 1 << 16  # bytes of codes in a stored row
 NODES_PER_BATCH = 2_000
 EXPLAINERS = 96  # tasks that explain rows: a sample of thousands of rows is small to a planner, but each row visits every leaf of every tree
 
@@ -83,41 +84,86 @@ def _columns(specs: Sequence[MemberSpec], features: Sequence[str]) -> list[str]:
     return [*features, ENCODED_FEATURE] if any(s.encoded for s in specs) else list(features)
 
 
-def labelled_sample(rows: DataFrame, limit: int = MAX_LABELLED, group: str = "fold", key: str = "account_id") -> DataFrame:
-    """All rows of groups up to ``limit``; of larger ones the share ``limit`` / rows, by hash of the key."""
+def labelled_sample(rows: DataFrame, limit: int, group: str = "fold", key: str = "account_id") -> DataFrame:
+    """All rows of groups up to ``limit``; of larger ones the share ``limit`` / rows, by hash of the key. For trials: no fit draws it by itself."""
     sizes = rows.groupBy(group).agg((F.lit(float(limit)) / F.count("*")).alias("_share"))  # one row per fold
     place = F.pmod(F.xxhash64(F.col(key), F.lit("labelled")), F.lit(1 << 30)) / float(1 << 30)
     return rows.join(F.broadcast(sizes), group).where(place < F.col("_share")).drop("_share")
 
 
-def _matrix(frame: pd.DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """Values as doubles; NULL and NaN are both missing."""
-    return np.column_stack([frame[c].to_numpy(dtype=float, na_value=np.nan) for c in columns]) if len(frame) else np.empty((0, len(columns)))
+@dataclass(frozen=True)
+class FoldRows:
+    """The labelled rows of a fold: their number, the rank of the first one among the rows of all folds and the weight of a positive."""
+
+    fold: int
+    n: int
+    first: int
+    weight: float
+
+
+def placed(train: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[FoldRows]]:
+    """All labelled rows with ``_rank``, their place by fold and account, and what is known of each fold. Accounts that repeat are ordered by their values."""
+    chosen = train.where("fold IS NOT NULL").select(
+        F.col("fold").cast("int").alias("fold"), "account_id", F.col("is_mule").cast("double").alias("is_mule"), *[F.col(c).cast("double").alias(c) for c in columns])
+    ranked = global_rank(chosen, [F.col("fold"), F.col("account_id").asc_nulls_last(), F.col("is_mule"), F.xxhash64(*columns)], "_rank")
+    sizes = ranked.groupBy("fold").agg(  # one row per fold
+        F.count("*").alias("n"), F.min("_rank").alias("first"),
+        F.coalesce(F.count_if(F.col("is_mule") == 0) / F.nullif(F.count_if(F.col("is_mule") == 1), F.lit(0)), F.lit(1.0)).alias("weight"))
+    return ranked, [FoldRows(r.fold, r.n, r["first"], r.weight) for r in sizes.orderBy("fold").collect()]
+
 
+def binned(ranked: DataFrame, folds: Sequence[FoldRows], columns: Sequence[str], all_bins: Sequence[int]) -> DataFrame:
+    """Codes by fold, number of bins and feature, ``CODES_AT_ONCE`` bytes a row, from place ``at`` on; the first row has the bin edges too.
 
-def binned(train: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
-    """Codes of every row and, with a null account, the bin edges of its fold. A fold is one partition of bounded size."""
-    n_folds = int(train.agg(F.max("fold")).first()[0] or 0) + 1
+    Feature -1 are the labels as doubles. A few columns of a fold are one partition, so no task holds whole rows of a fold.
+    """
+    every = ["is_mule", *columns]
+    blocks = [range(at, min(at + COLUMNS_AT_ONCE, len(every))) for at in range(0, len(every), COLUMNS_AT_ONCE)]
+
+    def deal(batches):
+        for batch in batches:
+            own_fold, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("fold", "_rank"))
+            values = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in every]).astype(float)
+            slots, places, parts = [], [], []
+            for i, f in enumerate(folds):
+                own = np.flatnonzero(own_fold == f.fold)
+                if len(own):
+                    for j, block in enumerate(blocks):
+                        slots.append(i * len(blocks) + j)
+                        places.append((rank[own] - f.first).astype(np.int64).tobytes())
+                        parts.append(values[block.start:block.stop, own].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(places, pa.binary()), pa.array(parts, pa.binary())],
+                                             names=["slot", "place", "part"])
+
+    def stored(fold: int, bins: int, feature: int, data: bytes, edges: np.ndarray | None):
+        at = range(0, len(data), CODES_AT_ONCE)
+        n = len(at)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([fold] * n, pa.int32()), pa.array([bins] * n, pa.int32()), pa.array([feature] * n, pa.int32()), pa.array(at, pa.int64()),
+             pa.array([data[i:i + CODES_AT_ONCE] for i in at], pa.binary()), pa.array([None if i or edges is None else edges for i in at], pa.list_(pa.float64()))],
+            names=["fold", "bins", "feature", "at", "codes", "edges"])
 
-    def run(frames):
-        parts = list(frames)
-        rows = pd.concat(parts).sort_values("account_id", kind="stable") if parts else pd.DataFrame()
-        if rows.empty:
+    def run(batches):
+        values = None
+        for batch in batches:
+            for slot, place, part in zip(*(batch.column(c).to_pylist() for c in ("slot", "place", "part"))):
+                if values is None:
+                    fold, block = folds[slot // len(blocks)], blocks[slot % len(blocks)]
+                    values = np.empty((len(block), fold.n))
+                values[:, np.frombuffer(place, np.int64)] = np.frombuffer(part).reshape(len(block), -1)
+        if values is None:
             return
-        values = _matrix(rows, columns)
-        edges = [boosting.edges_of(values[:, i], bins) for i in range(len(columns))]
-        codes = np.column_stack([boosting.codes_of(values[:, i], e) for i, e in enumerate(edges)])
-        fold = int(rows.fold.iloc[0])
-        yield pd.DataFrame({"fold": [fold], "bins": [bins], "account_id": [None], "is_mule": [None], "weight": [None], "codes": [None],
-                            "edges": [[e.tolist() for e in edges]]})
-        for at in range(0, len(rows), 10_000):
-            part = rows.iloc[at:at + 10_000]
-            yield pd.DataFrame({
-                "fold": fold, "bins": bins, "account_id": part.account_id.to_numpy(), "is_mule": part.is_mule.to_numpy(float),
-                "weight": part.weight.to_numpy(float), "codes": [c.tobytes() for c in codes[at:at + 10_000]], "edges": None})
-
-    return train.select("fold", "account_id", "is_mule", "weight", *columns).repartitionById(n_folds, F.col("fold").cast("int")).mapInPandas(
-        run, "fold int, bins int, account_id string, is_mule double, weight double, codes binary, edges array<array<double>>")
+        for column, own in zip(block, values):
+            for bins in all_bins:
+                if column == 0:
+                    yield stored(fold.fold, bins, -1, own.tobytes(), None)
+                else:
+                    edges = boosting.edges_of(own, bins)
+                    yield stored(fold.fold, bins, column - 1, boosting.codes_of(own, edges).tobytes(), edges)
+
+    dealt = ranked.select("fold", "_rank", *every).mapInArrow(deal, "slot int, place binary, part binary")
+    return dealt.repartitionById(len(folds) * len(blocks), F.col("slot")).mapInArrow(
+        run, "fold int, bins int, feature int, at bigint, codes binary, edges array<double>")
 
 
 def node_rows(tree: boosting.Tree, number: int, names: Sequence[str], edges: Sequence[Sequence[float]]) -> list[tuple]:
@@ -129,55 +175,50 @@ def node_rows(tree: boosting.Tree, number: int, names: Sequence[str], edges: Seq
             tree.feature, tree.cut, tree.missing_left, tree.left, tree.right, tree.gain, tree.value, tree.cover))]
 
 
-def fit_members(
-    train: DataFrame, features: Sequence[str], specs: Sequence[MemberSpec] = MEMBER_SPECS, limit: int = MAX_LABELLED,
-) -> DataFrame:
+def fit_members(train: DataFrame, features: Sequence[str], specs: Sequence[MemberSpec] = MEMBER_SPECS) -> DataFrame:
     """The stored nodes (``fold`` and NODES) of every member of every fold of ``train``, which has account_id, fold, is_mule and the features.
 
-    Positives are weighted by negatives per positive of their fold. A fold without rows has no nodes.
+    Every row of a fold takes part. Positives are weighted by negatives per positive of their fold. A fold without rows has no nodes.
     """
+    importable(train.sparkSession)
+    schema = f"fold int, {NODES}"
+    shape = to_arrow_schema(StructType.fromDDL(schema))
     columns = _columns(specs, features)
-    sample = stage(labelled_sample(train.select("fold", "account_id", "is_mule", *columns), limit))
-    balance = sample.groupBy("fold").agg(  # one row per fold
-        (F.count_if(F.col("is_mule") == 0) / F.nullif(F.count_if(F.col("is_mule") == 1), F.lit(0))).alias("_w"))
-    weighted = sample.join(F.broadcast(balance), "fold").withColumn(
-        "weight", F.when(F.col("is_mule") == 1, F.coalesce("_w", F.lit(1.0))).otherwise(1.0))
-    tables = [binned(weighted, columns, bins) for bins in sorted({s.bins for s in specs})]
-    coded = tables[0]
-    for table in tables[1:]:
-        coded = coded.unionByName(table)
-    coded = stage_table(coded, "binned")
-    sizes = coded.groupBy("fold").count().collect()  # at most one entry per fold
-    folds = [r.fold for r in sorted(sizes, key=lambda r: (-r["count"], r.fold))]
+    ranked, folds = placed(train, columns)
+    if not folds or not specs:
+        return train.sparkSession.createDataFrame([], StructType.fromDDL(schema))
+    coded = stage_table(binned(ranked, folds, columns, sorted({s.bins for s in specs})), "binned")
     # Tasks start in the order of the slots: the longest fits first, so that none of them is left to run alone at the end.
-    slots = [(fold, spec) for fold in folds for spec in sorted(specs, key=lambda s: -s.rounds * (s.leaves or 2 ** s.depth))]
-    if not slots:
-        return coded.sparkSession.createDataFrame([], StructType.fromDDL(f"fold int, {NODES}"))
-    slot = F.explode(F.array(*[F.struct(F.lit(fold).alias("fold"), F.lit(spec.bins).alias("bins"), F.lit(i).alias("slot"))
-                               for i, (fold, spec) in enumerate(slots)]))
-    dealt = coded.withColumn("_s", slot).where("fold = _s.fold and bins = _s.bins").select(
-        F.col("_s.slot").alias("slot"), "account_id", "is_mule", "weight", "codes", "edges").repartitionById(len(slots), F.col("slot"))
+    slots = [(fold, spec) for fold in sorted(folds, key=lambda f: (-f.n, f.fold)) for spec in sorted(specs, key=lambda s: -s.rounds * (s.leaves or 2 ** s.depth))]
+    choices = F.array(*[F.struct(F.lit(f.fold).alias("fold"), F.lit(spec.bins).alias("bins"), F.lit(len(_view(spec, features))).alias("width"), F.lit(i).alias("slot"))
+                        for i, (f, spec) in enumerate(slots)])
+    mine = F.filter(choices, lambda s: (s.fold == F.col("fold")) & (s.bins == F.col("bins")) & (F.col("feature") < s.width))
+    parts = ["feature", "at", "codes", "edges"]
+    dealt = coded.select(F.explode(mine).alias("_s"), *parts).select(F.col("_s.slot").alias("slot"), *parts).repartitionById(len(slots), F.col("slot"))
     plain = [(fold, asdict(spec)) for fold, spec in slots]
 
-    schema = f"fold int, {NODES}"
-    shape = to_arrow_schema(StructType.fromDDL(schema))
-
     def run(batches):
-        parts = list(batches)
-        if not parts:
+        codes = None
+        for batch in batches:
+            for slot, feature, at, part, own_edges in zip(*(batch.column(c).to_pylist() for c in ("slot", *parts))):
+                if codes is None:
+                    rows_of, spec = plain[slot]
+                    fold, spec = rows_of.fold, MemberSpec(**spec)
+                    names = _view(spec, features)
+                    codes, label, edges = boosting.byte_matrix(len(names), rows_of.n), np.empty(rows_of.n), [()] * len(names)
+                if feature < 0:
+                    label.view(np.uint8)[at:at + len(part)] = np.frombuffer(part, np.uint8)
+                    continue
+                codes[feature, at:at + len(part)] = np.frombuffer(part, np.uint8)
+                if own_edges is not None:
+                    edges[feature] = own_edges
+        if codes is None:
             return
-        rows = pa.Table.from_batches(parts).to_pandas()
-        fold, spec = plain[int(rows.slot.iloc[0])]
-        spec = MemberSpec(**spec)
-        names = _view(spec, features)
-        edges = list(rows[rows.codes.isna()].edges.iloc[0])[:len(names)]
-        rows = rows[rows.codes.notna()].sort_values("account_id", kind="stable")
-        codes = np.frombuffer(b"".join(rows.codes), np.uint8).reshape(len(rows), len(columns))[:, :len(names)]
         grow = boosting.symmetric if spec.symmetric else boosting.leaf_wise
-        grown = grow(codes, np.array([len(e) for e in edges]), rows.is_mule.to_numpy(), rows.weight.to_numpy(), spec,
+        grown = grow(codes.T, np.array([len(e) for e in edges]), label, np.where(label == 1, rows_of.weight, 1.0), spec,
                      np.random.default_rng([spec.seed, fold]))
         start = boosting.Tree()
-        start.add(next(grown), float(len(rows)))
+        start.add(next(grown), float(len(label)))
         rows = node_rows(start, -1, names, edges)
         for number, tree in enumerate(grown):
             rows += node_rows(tree, number, names, edges)
@@ -191,13 +232,12 @@ def fit_members(
         columns = [[fold] * len(rows), [model] * len(rows), *zip(*rows)]
         return pa.RecordBatch.from_arrays([pa.array(c, field.type) for c, field in zip(columns, shape)], schema=shape)
 
-    importable(train.sparkSession)
     return stage_table(dealt.mapInArrow(run, schema), "nodes")
 
 
-def train_members(train: DataFrame, features: Sequence[str], specs: Sequence[MemberSpec] = MEMBER_SPECS, limit: int = MAX_LABELLED) -> DataFrame:
-    """The nodes of every member, fitted to all rows of ``train`` (up to ``limit``)."""
-    return fit_members(train.withColumn("fold", F.lit(0)), features, specs, limit).drop("fold")
+def train_members(train: DataFrame, features: Sequence[str], specs: Sequence[MemberSpec] = MEMBER_SPECS) -> DataFrame:
+    """The nodes of every member, fitted to all rows of ``train``."""
+    return fit_members(train.withColumn("fold", F.lit(0)), features, specs).drop("fold")
 
 
 def _forests(nodes: DataFrame, specs: Sequence[MemberSpec], features: Sequence[str]):

@@ -277,6 +277,44 @@ def test_labelled_rows_are_bounded(spark, people):
     assert all(0 <= r[s.name] < 0.5 for r in scored for s in SMALL)  # one class alone
 
 
+def test_every_labelled_row_is_fitted(spark):
+    """A fold of more than 100,000 rows is fitted whole: its start and the roots of rounds without a draw cover every row."""
+    n = 100_700
+    rows = spark.range(n).select(F.format_string("%07d", "id").alias("account_id"), (F.col("id") % 7 == 0).cast("int").alias("is_mule"),
+                                 (F.col("id") % 50).cast("double").alias("f0"), F.lit(0.0).alias("risky_mcc_share"))
+    specs = [replace(s, rounds=1, depth=1, leaves=s.leaves and 2) for s in (LEAF, LEVEL)]
+    nodes = members.train_members(rows, ["f0"], specs).where("node = 0").collect()
+    assert {(r.model, r.tree): r.cover for r in nodes} == {(s.name, t): n for s in specs for t in (-1, 0)}
+
+
+def test_rows_keep_their_place_in_every_feature(spark, monkeypatch):
+    """Repeated and null accounts, missing values, more columns than a task bins and more codes than a stored row holds."""
+    monkeypatch.setattr(members, "CODES_AT_ONCE", 60)
+    x, label, _ = matrix(200, 9)
+    accounts = [None if i % 40 == 0 else f"{(i * 37 % 200) // 2:03d}" for i in range(200)]
+    names = [f"f{i}" for i in range(9)]
+    rows = [(a, int(y), *[None if math.isnan(v) else float(v) for v in r]) for a, y, r in zip(accounts, label, x)]
+    frame = spark.createDataFrame(rows, "account_id string, is_mule int, " + ", ".join(f"{c} double" for c in names)).withColumn(
+        "fold", (F.col("f0").isNotNull() & (F.col("f0") < 1)).cast("int"))
+    ranked, folds = members.placed(frame.repartition(5), names)
+    assert {(f.fold, f.n) for f in folds} == {tuple(r) for r in frame.groupBy("fold").count().collect()}
+    coded = members.binned(ranked, folds, names, [254]).collect()
+    wanted = frame.toPandas()
+    for f in folds:
+        own = wanted[wanted.fold == f.fold]
+        got = {}
+        for r in sorted((r for r in coded if r.fold == f.fold), key=lambda r: (r.feature, r.at)):
+            assert r.at == len(got.setdefault(r.feature, b"")) and len(r.codes) <= 60 and (r.edges is None) == (r.at > 0 or r.feature < 0)
+            got[r.feature] += r.codes
+        edges, codes = prepared(own[names].to_numpy(float))
+        assert all(r.edges == edges[r.feature].tolist() for r in coded if r.fold == f.fold and r.edges is not None)
+        whole = [(float(y), *c) for y, c in zip(np.frombuffer(got[-1]), zip(*(got[i] for i in range(9))))]
+        assert sorted(whole) == sorted((float(y), *c) for y, c in zip(own.is_mule, codes.tolist()))
+        known = own.sort_values("account_id", kind="stable", na_position="last").account_id.tolist()
+        place = {r["_rank"] - f.first: r.account_id for r in ranked.where(f"fold = {f.fold}").collect()}
+        assert [place[i] for i in range(f.n)] == known
+
+
 def test_contributions_of_rows_add_up(spark, people):
     train = people.where("fold = 0").drop("fold")
     nodes = members.train_members(train, FEATURES, SMALL)
