@@ -7,10 +7,11 @@ per pair, the same order as a collision of the 64-bit hashes; rows of up to ``SK
 
 1. Columns of one row only are dropped. 2. Columns of up to ``LIGHT`` rows are multiplied out as a join; overlap counts are
 accumulated per pair, and pairs of too different size or with too small an overlap are discarded. 3. A pair that is not seen there has all its
-shared columns among the crowded ones, so only rows with ``COMMON`` crowded columns go on: passages that many otherwise different
-documents share end here. What is left are large groups of near copies: families connected by crowded columns. In each crowded column every
-row is first compared with one leader. Then only rows outside the family's main component are multiplied, chunk by chunk, with the
-rows of the family, this time over all columns, and only edges that connect something leave a task. 4. Pairs are decided on the whole rows.
+shared columns among the crowded ones, so only rows with ``COMMON`` crowded columns go on. Of their whole sets the rarest quarter of the columns and one more is
+kept, by one order for all rows: two similar rows share one of those. So a passage that many otherwise different documents have connects nothing.
+Columns that few rows keep are multiplied out again, bounded by their places in the order. Those that many keep connect families, groups of near copies: every
+row is first compared with one leader of the column. Then only rows outside the family's main component are multiplied, chunk by chunk, with the
+rows of the family, over all columns, and only edges that connect something leave a task. 4. Pairs are decided on the whole rows.
 
 Words are runs of anything but ASCII white space, with A-Z lower-cased. Defined cases: a null, empty or blank text has no shingles and is linked
 with nothing; a text with fewer than k words is one shingle; a null doc_id takes part but never names a component unless all
@@ -83,6 +84,35 @@ def _alike(a: str, b: str) -> Column:
     return (SIMILAR[1] * F.least(a, b) >= SIMILAR[0] * F.greatest(a, b))
 
 
+def prefixes(crowd: DataFrame, texts: DataFrame, k: int = K) -> DataFrame:
+    """Of the rows ``node`` of ``crowd`` the columns that decide: node, n, weight, col, its place ``pos`` in the row and how many rows keep it (``held``).
+
+    Similar rows share three quarters of the larger one at least. In an order of all columns, here from the rarest among these rows to the commonest, the first
+    shared column is therefore within the first quarter of either row or is the next one. Columns of one row take up places, but are left out then.
+    """
+    def run(batches):
+        for batch in batches:
+            sets = [s.view(np.int64) for s in shingle_sets(unpacked(batch.column("packed")), k)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "columns"])
+
+    rows = texts.withColumnRenamed("_row", "node").join(crowd.select("node").hint("merge"), "node", "left_semi").select("node", "packed")
+    entries = kept(small_batches(rows).mapInArrow(run, "node bigint, columns array<bigint>"), "ngram-sets").select("node", F.explode("columns").alias("col"))
+    common = entries.groupBy("col").agg(F.count("*").alias("df"))
+    ordered = entries.join(common.hint("merge"), "col").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("df", "col"))).alias("all"), F.sum("df").alias("weight")).withColumn("n", F.size("all").cast("bigint"))
+    first = kept(ordered.select("node", "n", "weight", F.posexplode(F.slice("all", F.lit(1), (F.floor(F.col("n") / 4) + 1).cast("int"))).alias("pos", "_c")).where(
+        "_c.df > 1").select("node", "n", "weight", "pos", F.col("_c.col").alias("col")), "ngram-first")
+    held = first.groupBy("col").agg(F.count("*").alias("held")).where("held > 1")
+    return kept(first.join(held.hint("merge"), "col"), "ngram-prefixes")
+
+
+def _met_early(prefix: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share a column of ``prefix`` early enough: from their first shared one on, the shorter rest holds all that they share."""
+    x, y = (prefix.select("col", F.col("node").alias(name), F.col("n").alias(f"n{name}"), (F.col("n") - F.col("pos")).alias(f"rest_{name}")) for name in ("a", "b"))
+    return x.join(y.hint("merge"), "col").where(
+        (F.col("a") > F.col("b")) & (sum(SIMILAR) * F.least("rest_a", "rest_b") >= SIMILAR[0] * (F.col("na") + F.col("nb")))).select("a", "b").distinct()
+
+
 def overlaps(pairs: DataFrame, texts: DataFrame, k: int = K) -> DataFrame:
     """The pairs (a, b) of rows that are similar as whole sets, with their overlap. ``texts`` has _row and packed texts."""
     def count(batches):
@@ -221,27 +251,24 @@ def _similar_rows(texts: DataFrame, k: int) -> DataFrame:
     met = x.join(y.hint("merge"), "col").where((F.col("a") > F.col("b")) & _alike("na", "nb")).groupBy("a", "b", "na", "nb").agg(
         F.count("*").alias("both"))
     crowded = entries.where(F.col("df") > LIGHT)
-    load = crowded.groupBy("node", "n").agg(F.count("*").alias("h"), F.sort_array(F.collect_list("col")).alias("columns"),
-                                            F.sum("df").alias("weight"))
+    load = crowded.groupBy("node", "n").agg(F.count("*").alias("h"))
     met = met.join(load.select(F.col("node").alias("a"), F.col("h").alias("ha")), "a", "left").join(
         load.select(F.col("node").alias("b"), F.col("h").alias("hb")), "b", "left")
     unseen = F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
-    light_pairs = met.where(F.col("both") + unseen >= _least_common(F.least("na", "nb"), F.greatest("na", "nb"))).select("a", "b")
+    light_pairs = kept(met.where(F.col("both") + unseen >= _least_common(F.least("na", "nb"), F.greatest("na", "nb"))).select("a", "b"), "ngram-pairs")
 
-    # Rows that can be linked through crowded columns alone. A family is connected by crowded columns.
-    crowd = kept(load.where(F.col("h") >= F.least(F.col("n") - F.floor(F.col("n") / 4), F.lit(COMMON))).select(
-        "node", "n", "columns", "weight"), "ngram-crowd")
-    blocks = crowd.select("node", "n", "weight", F.explode("columns").alias("col"))
-    # The leader is the row with the most crowded columns of all: the one the others were made from, if there is one.
+    # Rows that can be linked through crowded columns alone. Only texts of these or of a candidate pair go on, compressed.
+    crowd = kept(load.where(F.col("h") >= F.least(F.col("n") - F.floor(F.col("n") / 4), F.lit(COMMON))).select("node"), "ngram-crowd")
+    wanted = light_pairs.select(F.explode(F.array("a", "b")).alias("_row")).unionByName(crowd.select(F.col("node").alias("_row"))).distinct()
+    chosen = kept(packed(texts, "_row").join(wanted.hint("merge"), "_row", "left_semi"), "ngram-texts")
+    prefix = prefixes(crowd, chosen, k)
+    # A family is connected by crowded columns of the prefixes. The leader is the row whose columns are the most crowded: the one the others were made from, if there is one.
+    blocks = prefix.where(F.col("held") > LIGHT)
     leaders = blocks.groupBy("col").agg(F.max(F.struct("weight", "node", "n")).alias("lead"))
-    led = kept(blocks.join(leaders, "col").where("node <> lead.node").select(
+    led = kept(blocks.join(leaders.hint("merge"), "col").where("node <> lead.node").select(
         F.greatest("node", "lead.node").alias("a"), F.least("node", "lead.node").alias("b"),
         _alike("n", "lead.n").alias("alike")).distinct(), "ngram-led")
-    pairs = kept(light_pairs.unionByName(led.where("alike").select("a", "b")).distinct(), "ngram-pairs")
-
-    # Only texts of rows in a candidate pair or a family go on, compressed.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_row")).unionByName(crowd.select(F.col("node").alias("_row"))).distinct()
-    chosen = kept(packed(texts, "_row").join(wanted.hint("merge"), "_row", "left_semi"), "ngram-texts")
+    pairs = light_pairs.unionByName(_met_early(prefix.where(F.col("held") <= LIGHT))).unionByName(led.where("alike").select("a", "b")).distinct()
     edges = kept(overlaps(pairs, chosen, k).select("a", "b"), "ngram-edges")
     roots = kept(components(edges), "ngram-roots")
     families = components(led).withColumnRenamed("root", "family")
